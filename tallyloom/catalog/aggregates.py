@@ -123,7 +123,7 @@ def distinct_rows(spark, d):
 WITH {fx.SERIES} SELECT site, month, numerator, denominator, network, aggregation FROM series UNION ALL
 SELECT network || ' Network', month, sum(numerator), sum(denominator), network, 'Network' FROM series GROUP BY network, month""")
 def agg_rollup_level(spark, d):
-    detail = fx.nation_series(spark, d).drop("measure")
+    detail = fx.stored_series(spark, d).drop("measure")
     both = groups.append_level(
         detail, ["network", "month"], ["numerator", "denominator"], {"site": "", "aggregation": "Network"}
     )
@@ -176,7 +176,7 @@ SELECT site, month, numerator, denominator FROM series s
 WHERE NOT EXISTS (SELECT 1 FROM new n WHERE n.site = s.site AND n.month = s.month)
 UNION ALL SELECT * FROM new""")
 def upsert_by_key(spark, d):
-    old = fx.nation_series(spark, d).select("site", "month", "numerator", "denominator")
+    old = fx.stored_series(spark, d).select("site", "month", "numerator", "denominator")
     new = old.filter(F.col("month") >= dates.day("2000-06-01")).withColumn("numerator", F.col("numerator") + 1000)
     return setops.upsert(old, new, ["site", "month"])
 
@@ -190,7 +190,7 @@ s1 AS (SELECT * FROM s0 ANTI JOIN a USING (site, month) UNION ALL SELECT * FROM
 s2 AS (SELECT * FROM s1 UNION ALL SELECT * FROM b)
 SELECT * FROM s2 ANTI JOIN c USING (site, month) UNION ALL SELECT * FROM c""")
 def upsert_chain(spark, d):
-    s0 = fx.nation_series(spark, d).select("site", "month", "numerator")
+    s0 = fx.stored_series(spark, d).select("site", "month", "numerator")
     m = F.col("month")
 
     def delivery(add, where):

@@ -416,6 +416,9 @@ def unmatched_claims(spark, d):
     return reconcile.unmatched(claims, mapped, ["o_orderkey"], reported, ["o_custkey", "month", "code"])
 
 
+SOURCE_NUMBER = {"purchase": 1.0, "signup": 2.0, "click": 2.1, "view": 3.0, "error": 4.0}
+
+
 @query("merge_sources_priority", f"""
 WITH {fx.EVENTS} SELECT user_id, day, CAST(source AS DOUBLE) AS source, skey FROM (
   SELECT user_id, day, event_id, CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 2.0 WHEN 'click' THEN 2.1
@@ -425,17 +428,15 @@ WITH {fx.EVENTS} SELECT user_id, day, CAST(source AS DOUBLE) AS source, skey FRO
 QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY source, event_id) = 1""")
 def merge_sources_priority(spark, d):
     ev = fx.events(spark, d)
-    number = {"purchase": 1.0, "signup": 2.0, "click": 2.1, "view": 3.0, "error": 4.0}
-
-    def source(kind):
-        own = F.concat(F.lit("X."), F.col("event_id").cast("string"))
-        claim = F.concat_ws(".", F.col("user_id").cast("string"), F.col("event_id").cast("string"))
-        return ev.filter(F.col("event_type") == kind).select(
-            "user_id", "day", "event_id", F.lit(number[kind]).alias("source"),
-            (claim if kind == "click" else own).alias("skey"),
-        )
-
-    merged = reconcile.merge_priority([source(k) for k in number], ["user_id", "day"], "source", [F.col("event_id")])
+    kind, user, event = F.col("event_type"), F.col("user_id").cast("string"), F.col("event_id").cast("string")
+    number = F.create_map(*[F.lit(x) for kv in SOURCE_NUMBER.items() for x in kv])
+    encounters = ev.filter(kind != "click").select(
+        "user_id", "day", "event_id", number[kind].alias("source"), F.concat(F.lit("X."), event).alias("skey")
+    )
+    claims = ev.filter(kind == "click").select(
+        "user_id", "day", "event_id", F.lit(SOURCE_NUMBER["click"]).alias("source"), F.concat_ws(".", user, event).alias("skey")
+    )
+    merged = reconcile.merge_priority([encounters, claims], ["user_id", "day"], "source", [F.col("event_id")])
     return merged.select("user_id", "day", "source", "skey")
 
 

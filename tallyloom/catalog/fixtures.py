@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import materialise
 from tallyloom.sources.tables import read_table
 
 ORDERS_AS_OF = "2001-08-16"
@@ -92,6 +93,11 @@ def nation_series(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_series(spark: SparkSession, folder: str) -> DataFrame:
+    """The same rows stored once, for queries that read them several times."""
+    return materialise(nation_series(spark, folder))
+
+
 SERIES = counts_sql() + """, series AS (
   SELECT site, 'Initial Intake' AS measure, month, CAST(n_f AS DOUBLE) AS numerator,
          CAST(n AS DOUBLE) AS denominator, network, 'Practice' AS aggregation FROM counts)"""

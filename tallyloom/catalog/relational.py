@@ -204,7 +204,7 @@ def join_inner(spark, d):
 SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def join_left(spark, d):
     docs = fx.t(spark, d, "documents").select("doc_id", "lang")
-    return docs.join(fx.t(spark, d, "labels"), "doc_id", "left")
+    return joins.left_join_where(docs, fx.t(spark, d, "labels"), ["doc_id"])
 
 
 @query("join_right", """
@@ -268,7 +268,9 @@ def join_theta_left(spark, d):
     ends = fx.t(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("end_date"), "l_linenumber"
     )
-    return joins.join_where(starts, ends, ["o_orderkey"], F.col("start_date") < F.col("end_date"), "left")
+    return joins.left_join_where(
+        starts, ends, ["o_orderkey"], F.col("start_date") < F.col("end_date"), ["end_date"]
+    )
 
 
 @query("join_point_in_interval", f"""
@@ -310,9 +312,10 @@ def join_then_range(spark, d):
     o = fx.orders(spark, d).select("o_orderkey", "o_orderpriority", "o_date")
     lines = fx.t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("day"))
     inside = F.col("day").between(F.col("o_date"), F.date_add("o_date", 90))
+    per_day = lines.groupBy("o_orderkey", "day").agg(F.count("*").alias("k"))
     per_order = (
-        joins.join_where(o, lines, ["o_orderkey"], inside)
-        .groupBy("o_orderkey", "o_orderpriority").agg(F.count("*").alias("n"))
+        joins.join_where(o, per_day, ["o_orderkey"], inside)
+        .groupBy("o_orderkey", "o_orderpriority").agg(F.sum("k").alias("n"))
     )
     return per_order.groupBy("o_orderpriority").agg(F.sum("n").alias("n_lines"), F.count("*").alias("n_orders"))
 
@@ -386,7 +389,8 @@ def join_left_residual(spark, d):
     lines = fx.t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_returnflag")
     on = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 30)
     o = fx.t(spark, d, "orders").select("o_orderkey")
-    return joins.join_where(o, lines, ["o_orderkey"], on, "left").drop("l_returnflag")
+    # a condition on the right side alone filters it before the join
+    return joins.left_join_where(o, lines.filter(on).drop("l_returnflag"), ["o_orderkey"])
 
 
 @query("join_left_is_null", """
@@ -401,7 +405,7 @@ WITH {fx.SERIES} SELECT b.site, b.month, coalesce(o.numerator, b.numerator) AS n
 FROM series b LEFT JOIN (SELECT site, month, nullif(numerator, 3) + 100 AS numerator, denominator FROM series
                          WHERE month >= DATE '1999-01-01') o ON b.site = o.site AND b.month = o.month""")
 def join_coalesce_pair(spark, d):
-    base = fx.nation_series(spark, d).select("site", "month", "numerator", "denominator")
+    base = fx.stored_series(spark, d).select("site", "month", "numerator", "denominator")
     over = base.filter(F.col("month") >= dates.day("1999-01-01")).withColumn(
         "numerator", F.nullif(F.col("numerator"), F.lit(3.0)) + 100
     )
@@ -413,7 +417,7 @@ WITH {fx.SERIES} SELECT s.site, s.month, p.denominator AS before, n.denominator
 JOIN series p ON p.site = s.site AND p.month = s.month - INTERVAL 1 MONTH
 JOIN series n ON n.site = s.site AND n.month = s.month + INTERVAL 1 MONTH""")
 def join_neighbours(spark, d):
-    rows = fx.nation_series(spark, d).select("site", "month", "denominator")
+    rows = fx.stored_series(spark, d).select("site", "month", "denominator")
     at = rows.withColumns({"prev": F.add_months("month", -1), "next": F.add_months("month", 1)})
     found = joins.neighbour_values(
         at.drop("denominator"), ["site"], {"before": "prev", "after": "next"}, "month", rows, "denominator"

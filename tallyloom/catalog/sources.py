@@ -202,15 +202,20 @@ r AS (SELECT site, month, CAST(count(*) FILTER (WHERE o_totalprice > 450000) AS
       WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 250000 GROUP BY 1, 2)
 SELECT f.site, f.month, numerator, denominator FROM f LEFT JOIN r ON f.site = r.site AND f.month = r.month""")
 def placeholder_row(spark, d):
-    o = fx.orders(spark, d).join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
-    rows = (
-        o.filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 250000))
-        .groupBy("site", "month")
+    per_customer = (
+        fx.orders(spark, d)
+        .filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 250000))
+        .groupBy("o_custkey", "month")
         .agg(
             F.sum(F.when(F.col("o_totalprice") > 450000, 1.0).otherwise(0.0)).alias("numerator"),
             F.count("*").cast("double").alias("denominator"),
         )
     )
+    rows = (
+        per_customer.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("site", "month")
+        .agg(F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"))
+    )
     return forms.or_placeholder(fx.counts(spark, d), rows, ["site", "month"])
 
 

@@ -94,7 +94,8 @@ SELECT site, month, n, srn FROM r WHERE n_f >= 2 QUALIFY srn = max(srn) OVER (PA
 def keep_last_in_filtered(spark, d):
     srn = F.row_number().over(windows.series(["site"], "month"))
     kept = site_months(spark, d).withColumn("srn", srn).filter("n_f >= 2")
-    return groups.keep_extreme(kept, ["site"], "srn").select("site", "month", "n", "srn")
+    # one row per month and site, so the sequence numbers are unique
+    return groups.head_per(kept, ["site"], [F.desc("srn")]).select("site", "month", "n", "srn")
 
 
 @query("win_baseline_n", f"""

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -52,14 +53,20 @@ def keep_extreme(
 def keep_chain(df: DataFrame, keys: Sequence[str], order: Sequence[tuple[str, bool]]) -> DataFrame:
     """Successive extremes: ``order`` lists ``(column, largest)``; ties of all kept.
 
-    Rank 1 is pruned in each map task before the shuffle.
+    Neighbouring columns of one direction are compared as one struct, so "latest, then
+    latest documented" is one aggregation and one semi join.
     """
-    by = [F.desc_nulls_last(c) if largest else F.asc_nulls_last(c) for c, largest in order]
-    ranked = df.withColumn("__rank", F.rank().over(Window.partitionBy(*keys).orderBy(*by)))
-    kept = ranked.filter("__rank = 1").drop("__rank")
-    for c, _ in order:
-        kept = kept.filter(F.col(c).isNotNull())
-    return kept
+    out = df
+    for largest, block in groupby(order, key=lambda o: o[1]):
+        cols = [c for c, _ in block]
+        # a missing value ranks behind every present one in either direction
+        ranked = F.struct(
+            *[e for c in cols for e in ((F.col(c).isNotNull() == F.lit(largest)).alias("p_" + c), F.col(c))]
+        )
+        best = out.groupBy(*keys).agg((F.max if largest else F.min)(ranked).alias("__best"))
+        side = best.select(*keys, *[F.col("__best")[c].alias(c) for c in cols]).dropna(subset=cols)
+        out = null_safe_join(out, side, [*keys, *cols], "left_semi")
+    return out
 
 
 def head_per(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:

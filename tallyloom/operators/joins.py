@@ -1,9 +1,9 @@
 """Join shapes beyond a plain equi join.
 
 None of these ends as a cross product: every helper leaves at least one hash key, or
-fans a row out over the calendar with ``explode``. Skewed keys are left to adaptive
-skew-join splitting, which ``session.tune`` turns on; sides are broadcast by Spark's own
-size check, never by hint.
+fans a row out over the calendar with ``explode``. Skewed keys are split by adaptive
+skew-join handling, which ``session.tune`` turns on, and joins are shaped so that it can
+act; sides are broadcast by Spark's own size check.
 """
 
 from __future__ import annotations
@@ -65,6 +65,23 @@ def join_where(
     return joined if how in ("left_semi", "left_anti") else joined.drop(*[_R + k for k in keys])
 
 
+def left_join_where(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], where: Column | None = None, tested: Sequence[str] = ()
+) -> DataFrame:
+    """Left outer join whose right side may hold most of its rows under one key.
+
+    A skewed partition can be split on either side of an inner join, but not on the right
+    of an outer one. So the matches come from an inner join, and the rows without a match
+    from an anti join against the distinct keys and ``tested`` columns, the right columns
+    ``where`` looks at.
+    """
+    where = F.lit(True) if where is None else where
+    matched = join_where(left, right, keys, where)
+    probes = right.select(*keys, *tested).distinct()
+    lone = join_where(left, probes, keys, where, "left_anti")
+    return matched.unionByName(lone, allowMissingColumns=True)
+
+
 def join_in_month(
     events: DataFrame, spans: DataFrame, keys: Sequence[str], date: str, month: str = "month"
 ) -> DataFrame:

@@ -38,18 +38,20 @@ def site_and_network_rates(
     values are the sums of the site values.
     """
 
-    def rates(pop: DataFrame, ev: DataFrame, by: Sequence[str]) -> DataFrame:
-        den = pop.groupBy(*by).agg(F.countDistinct(member).cast("double").alias("denominator"))
-        num = ev.groupBy(*by).agg(F.countDistinct(event).cast("double").alias("numerator"))
-        return groups.ratio(num, den, by, zero_fill)
-
-    by_site = rates(population, events, ["month", "site"])
     inside = F.col("site").isin(list(network_sites))
-    if recount:
-        total = rates(population.filter(inside), events.filter(inside), ["month"])
-    else:
-        total = by_site.filter(inside).groupBy("month").agg(
+    # a row counts for its site and, inside the network, for the network: one pass for both
+    levels = F.explode(F.array_compact(F.array(F.col("site"), F.when(inside, F.lit(network)))))
+
+    def distinct(df: DataFrame, column: str, name: str) -> DataFrame:
+        spread = df.withColumn("site", levels) if recount else df
+        return spread.groupBy("month", "site").agg(F.countDistinct(column).cast("double").alias(name))
+
+    out = groups.ratio(
+        distinct(events, event, "numerator"), distinct(population, member, "denominator"), ["month", "site"], zero_fill
+    )
+    if not recount:
+        out = out.withColumn("site", levels).groupBy("month", "site").agg(
             F.sum("denominator").alias("denominator"), F.sum("numerator").alias("numerator")
         )
-    total = total.withColumns({"site": F.lit(network), "aggregation": F.lit("Network")})
-    return by_site.withColumn("aggregation", F.lit("Practice")).unionByName(total)
+    level = F.when(F.col("site") == network, "Network").otherwise("Practice")
+    return out.withColumn("aggregation", level)
