@@ -72,7 +72,7 @@ def month_no(name: Column) -> Column:
 
 
 def month_name(d: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), F.month(d))
+    return F.date_format(d, "MMMM")
 
 
 def months_spanned(first: Column, last: Column) -> Column:

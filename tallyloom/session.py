@@ -24,6 +24,7 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8) -> SparkSession:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("tallyloom")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )

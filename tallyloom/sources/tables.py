@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A landed warehouse table; filters and column choice reach the Parquet scan."""
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """A landed warehouse table; filters and column choice reach the Parquet scan.
+
+    A known schema spares the look into the files that infers it.
+    """
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet")
 
 
 def read_jdbc(
