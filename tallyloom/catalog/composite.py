@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates
-from tallyloom.operators import groups
-from tallyloom.plans import episodes, measures, population, reconcile, scores
+from tallyloom.operators import groups, joins
+from tallyloom.plans import episodes, facts, measures, population, reconcile, scores, utilisation
 from tallyloom.session import materialise
 
 # ---------------------------------------------------------------- simple measures
@@ -229,8 +229,7 @@ def subject_first_last(spark, d):
     return scores.first_last(fx.events(spark, d), ["user_id"], "day", "value")
 
 
-@query("discharge_split", f"""
-WITH {fx.EVENTS}, base AS (SELECT user_id * 4 + event_id % 4 AS subject, day, event_type = 'error' AS dis,
+DISCHARGED = f"""{fx.EVENTS}, base AS (SELECT user_id * 4 + event_id % 4 AS subject, day, event_type = 'error' AS dis,
   CASE WHEN event_type = 'view' THEN value ELSE 0 END AS a, CASE WHEN event_type = 'click' THEN value ELSE 0 END AS b,
   CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN 0 ELSE value END AS c
   FROM ev WHERE event_type = 'error' OR user_id % 4 <> event_id % 4),
@@ -247,11 +246,21 @@ both_lists AS (
   UNION ALL SELECT fl.*, k, last_day + 2,
     CASE WHEN k >= 3 AND last_day + 2 <= DATE '2024-01-31' THEN 'Yes' ELSE 'Not Yet' END,
     CAST(date_trunc('month', last_day + 2) + INTERVAL 1 MONTH AS DATE) FROM fl JOIN sc2 ON fl.subject = sc2.subject),
-zeros AS (SELECT subject FROM base GROUP BY 1 HAVING max(a) = 0 AND max(b) = 0 AND max(c) = 0)
-SELECT subject, first_day, last_day, round(first_score, 6) AS first_score, round(last_score, 6) AS last_score,
-  session_days, follow_up, lost, month FROM both_lists
-WHERE subject NOT IN (SELECT subject FROM zeros) QUALIFY count(*) OVER (PARTITION BY subject) = 1""")
+zeros AS (SELECT subject FROM base GROUP BY 1 HAVING max(a) = 0 AND max(b) = 0 AND max(c) = 0),
+split AS (SELECT * FROM both_lists WHERE subject NOT IN (SELECT subject FROM zeros)
+          QUALIFY count(*) OVER (PARTITION BY subject) = 1)"""
+
+
+@query("discharge_split", f"""
+WITH {DISCHARGED} SELECT subject, first_day, last_day, round(first_score, 6) AS first_score,
+  round(last_score, 6) AS last_score, session_days, follow_up, lost, month FROM split""")
 def discharge_split(spark, d):
+    return _discharged(spark, d).withColumns(
+        {"first_score": F.round("first_score", 6), "last_score": F.round("last_score", 6)}
+    )
+
+
+def _discharged(spark, d):
     v, kind, err = F.col("value"), F.col("event_type"), F.col("event_type") == "error"
     base = fx.events(spark, d).filter(err | (F.col("user_id") % 4 != F.col("event_id") % 4)).select(
         (F.col("user_id") * 4 + F.col("event_id") % 4).alias("subject"), "day", "event_type",
@@ -259,12 +268,47 @@ def discharge_split(spark, d):
         F.when(kind == "click", v).otherwise(0.0).alias("b"),
         F.when(err & (F.col("user_id") % 2 == 0), 0.0).otherwise(v).alias("c"),
     )
-    split = scores.discharge_split(
+    return scores.discharge_split(
         base, "subject", "day", F.col("event_type") == "error", ["a", "b", "c"], dates.day("2024-02-15"), quiet=2, min_days=3
     )
-    return split.withColumns(
-        {"first_score": F.round("first_score", 6), "last_score": F.round("last_score", 6)}
+
+
+@query("measure_improved_log", f"""
+WITH {DISCHARGED} SELECT month, CAST(count(*) AS DOUBLE) AS denominator, CAST(sum(CASE WHEN last_score <= 40
+  OR (first_score <> 0 AND (first_score - last_score) / first_score >= 0.4) THEN 1 ELSE 0 END) AS DOUBLE) AS numerator
+FROM split WHERE month < DATE '2024-03-01' GROUP BY 1""")
+def measure_improved_log(spark, d):
+    split = _discharged(spark, d).withColumnsRenamed({"last_score": "final_score", "month": "report_month"})
+    return episodes.improved_measure(split, dates.day(AS_OF), [], RULES)
+
+
+FORM_ROWS = f"""{fx.ORDERS}, {fx.SITES}, form_rows AS (
+  SELECT site, month, o_orderkey, o_totalprice / 10000 AS start_score,
+    CASE WHEN o_orderstatus = 'F' THEN o_date + CAST(o_orderkey % 25 AS INTEGER) END AS end_date,
+    o_totalprice / 10000 * (o_orderkey % 11) / 10 AS end_score,
+    o_date - CAST(o_orderkey % 150 AS INTEGER) AS last_seen, o_orderkey % 10 AS sessions,
+    CASE WHEN o_orderpriority = '5-LOW' THEN NULL ELSE o_orderkey END AS pat_id
+  FROM orders_d JOIN sites ON o_custkey = c_custkey)"""
+
+
+@query("measure_improved_forms", f"""
+WITH {FORM_ROWS}, k AS (SELECT site, month, CAST(count(*) AS DOUBLE) AS denominator,
+    CAST(sum(CASE WHEN end_score <= 9 OR (start_score <> 0 AND (start_score - end_score) / start_score >= 0.4) THEN 1 ELSE 0 END) AS DOUBLE) AS numerator
+  FROM form_rows WHERE pat_id IS NOT NULL AND (date_trunc('month', end_date) = month
+    OR (sessions >= 6 AND last_seen < CAST(month + INTERVAL 1 MONTH AS DATE) - 91)) GROUP BY 1, 2)
+SELECT f.site, f.month, numerator, denominator FROM (SELECT DISTINCT site, month FROM form_rows) f
+LEFT JOIN k ON k.site = f.site AND k.month = f.month""")
+def measure_improved_forms(spark, d):
+    key, price = F.col("o_orderkey"), F.col("o_totalprice")
+    rows = fx.orders(spark, d).join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey")).select(
+        "site", "month", (price / 10000).alias("start_score"),
+        F.when(F.col("o_orderstatus") == "F", F.date_add("o_date", (key % 25).cast("int"))).alias("end_date"),
+        (price / 10000 * (key % 11) / 10).alias("end_score"),
+        F.date_sub("o_date", (key % 150).cast("int")).alias("last_seen"), (key % 10).alias("sessions"),
+        F.when(F.col("o_orderpriority") != "5-LOW", key).alias("pat_id"),
     )
+    flag = episodes.improved(F.col("start_score"), F.col("end_score"))
+    return facts.form_outcomes(rows, fx.counts(spark, d), ["site", "month"], flag)
 
 
 # ---------------------------------------------------------------- populations
@@ -478,3 +522,68 @@ def _population_and_events(spark, d):
     pop = o.select("o_custkey", "month").distinct().join(site, "o_custkey")
     num = o.filter("o_orderstatus = 'P' AND o_totalprice > 300000").select("o_custkey", "o_orderkey", "month").join(site, "o_custkey")
     return pop, num
+
+
+MEMBERS = fx.SPANS + f""", {fx.SITES}, {fx.MONTHS}, pop AS (
+  SELECT months.month, month_end, o_custkey AS subject, site, DATE '1975-01-01' + CAST(o_custkey * 37 % 9000 AS INTEGER) AS birth
+  FROM spans JOIN months ON start_date <= month_end JOIN sites ON o_custkey = c_custkey)"""
+
+UTILISATION = MEMBERS + f""", {CODES},
+vs AS (SELECT DISTINCT p_size AS dx, p_brand AS code FROM part),
+cl AS (SELECT dx, string_agg(code, '; ' ORDER BY code) AS code_list
+       FROM (SELECT *, row_number() OVER (PARTITION BY dx ORDER BY code) AS rn FROM vs) WHERE rn <= 3 GROUP BY 1),
+enc AS (SELECT o_orderkey AS encounter, o_custkey AS subject, o_date AS day, o_orderkey % 60 AS dx,
+    CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 5 = 1 THEN 4 ELSE 1 END AS source,
+    CASE o_orderstatus WHEN 'F' THEN 'Inpatient Admissions' WHEN 'O' THEN 'ED Visits (Discharged)' END AS measure FROM orders_d),
+clm AS (SELECT l_orderkey, CASE WHEN (obs = 1 OR ip = 1) AND ed = 0 AND uc = 0 THEN 'Inpatient Admissions'
+    WHEN ed = 1 AND uc = 0 AND obs = 0 AND ip = 0 AND adm = 0 THEN 'ED Visits (Discharged)' END AS claim_measure
+  FROM (SELECT l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS uc, max(CAST(code IN ('0981', '0450') AS INTEGER)) AS ed,
+      max(CAST(code = '0762' AS INTEGER)) AS obs, max(CAST(code IN ('0120', '0210', '1001') AS INTEGER)) AS ip, max(admitted) AS adm
+    FROM lines GROUP BY 1)),
+src AS (SELECT encounter, subject, day, dx, source, measure FROM enc WHERE measure IS NOT NULL
+  UNION ALL SELECT encounter, subject, day, dx, 2, claim_measure FROM enc JOIN clm ON l_orderkey = encounter WHERE claim_measure IS NOT NULL),
+inpop AS (SELECT pop.month, site, src.subject, encounter, day, source, measure, code_list FROM src
+  JOIN pop ON pop.subject = src.subject AND src.day >= pop.month AND src.day <= pop.month_end JOIN cl ON cl.dx = src.dx
+  WHERE year(day) - year(birth) - CASE WHEN strftime(day, '%m%d') < strftime(birth, '%m%d') THEN 1 ELSE 0 END < 18),
+merged AS (SELECT * FROM inpop QUALIFY row_number() OVER (
+  PARTITION BY month, measure, site, subject, day, code_list ORDER BY source, 'X.' || CAST(encounter AS VARCHAR)) = 1),
+young AS (SELECT * FROM pop WHERE year(month_end) - year(birth)
+  - CASE WHEN strftime(month_end, '%m%d') < strftime(birth, '%m%d') THEN 1 ELSE 0 END < 18),
+nets AS (SELECT * FROM (VALUES ('NATION_0'), ('NATION_1'), ('NATION_2'), ('NATION_7'), ('NATION_13')) v(site)),
+both_m AS (SELECT * FROM (VALUES ('Inpatient Admissions'), ('ED Visits (Discharged)')) v(measure)),
+dd AS (SELECT month, site, CAST(count(DISTINCT subject) AS DOUBLE) AS denominator, 'Practice' AS aggregation FROM young GROUP BY 1, 2
+  UNION ALL SELECT month, 'Main Network', CAST(count(DISTINCT subject) AS DOUBLE), 'Network' FROM young WHERE site IN (SELECT site FROM nets) GROUP BY 1),
+nn AS (SELECT month, measure, site, CAST(count(DISTINCT encounter) AS DOUBLE) AS numerator FROM merged GROUP BY 1, 2, 3
+  UNION ALL SELECT month, measure, 'Main Network', CAST(count(DISTINCT encounter) AS DOUBLE) FROM merged WHERE site IN (SELECT site FROM nets) GROUP BY 1, 2)"""
+
+
+@query("measure_utilisation", f"""
+WITH {UTILISATION} SELECT dd.month, both_m.measure, dd.site, denominator, coalesce(numerator, 0) AS numerator, aggregation
+FROM dd CROSS JOIN both_m LEFT JOIN nn ON nn.month = dd.month AND nn.measure = both_m.measure AND nn.site = dd.site""")
+def measure_utilisation(spark, d):
+    birth = F.date_add(dates.day("1975-01-01"), (F.col("o_custkey") * 37 % 9000).cast("int"))
+    members = fx.spans(spark, d).join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+    lo, hi = bounds()
+    pop = joins.expand_months(members, F.col("start_date"), hi, lo, hi)
+    pop = pop.select("month", F.col("o_custkey").alias("subject"), "site", birth.alias("birth"))
+    key = F.col("o_orderkey")
+    enc = fx.orders(spark, d).select(
+        key.alias("encounter"), F.col("o_custkey").alias("subject"), F.col("o_date").alias("day"), (key % 60).alias("dx"),
+        F.when(key % 5 == 0, 3).when(key % 5 == 1, 4).otherwise(1).alias("source"), "o_orderstatus",
+    )
+    value_set = fx.t(spark, d, "part").select(F.col("p_size").alias("dx"), "p_brand")
+    # read by the encounters and by the claims
+    young = materialise(utilisation.with_codes(utilisation.in_population(enc, pop), value_set, "dx", "p_brand"))
+    own = reconcile.classify(
+        young, [(F.col("o_orderstatus") == "F", reconcile.INPATIENT), (F.col("o_orderstatus") == "O", reconcile.ED)]
+    )
+    claims = reconcile.claim_class(claim_lines(spark, d), ["l_orderkey"], "code", F.col("is_admission")).select(
+        F.col("l_orderkey").alias("encounter"), "measure"
+    )
+    skey = utilisation.encounter_key(F.col("encounter"))
+    sources = [
+        utilisation.shaped(own, skey),
+        utilisation.shaped(young.join(claims, "encounter"), skey, F.lit(2)),
+    ]
+    return utilisation.utilisation_rates(pop, F.last_day("month"), sources, NETWORK_SITES, "Main Network")
+

@@ -8,7 +8,7 @@ from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates, logic
 from tallyloom.operators import calendar, joins, project
-from tallyloom.plans import population
+from tallyloom.plans import facts, population
 from tallyloom.sources import tables
 
 # ---------------------------------------------------------------- projection, predicates
@@ -181,12 +181,8 @@ def date_guarded_attribution(spark, d):
     lines = fx.t(spark, d, "lineitem").select(
         "l_suppkey", "l_returnflag", F.to_date("l_shipdate").alias("day"), (F.col("l_suppkey") % 10).cast("int").alias("member")
     )
-    before = logic.open_or(F.col("valid_to"), F.col("day") < F.col("valid_to").cast("date"))
-    flagged = logic.open_or(F.col("flag"), F.col("l_returnflag") == F.col("flag"))
-    return (
-        joins.join_where(lines, rules, ["member"], before & flagged)
-        .groupBy("l_suppkey", "site").agg(F.count("*").alias("n"))
-    )
+    mine = facts.attributed(lines, rules, "member", "day", "l_returnflag")
+    return mine.groupBy("l_suppkey", "site").agg(F.count("*").alias("n"))
 
 
 # ---------------------------------------------------------------- joins

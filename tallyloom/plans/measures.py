@@ -30,13 +30,14 @@ def events_after_first(
 
 def site_and_network_rates(
     population: DataFrame, events: DataFrame, member: str, event: str, network_sites: Sequence[str],
-    network: str, zero_fill: bool = True, recount: bool = True,
+    network: str, zero_fill: bool = True, recount: bool = True, extra: Sequence[str] = (),
 ) -> DataFrame:
     """Monthly rates per site and for a network of sites.
 
     ``recount`` counts distinct members and events again for the network; otherwise its
-    values are the sums of the site values.
+    values are the sums of the site values. ``extra`` columns split the rates further.
     """
+    by = [*extra, "month", "site"]
 
     inside = F.col("site").isin(list(network_sites))
     # a row counts for its site and, inside the network, for the network: one pass for both
@@ -44,13 +45,13 @@ def site_and_network_rates(
 
     def distinct(df: DataFrame, column: str, name: str) -> DataFrame:
         spread = df.withColumn("site", levels) if recount else df
-        return spread.groupBy("month", "site").agg(F.countDistinct(column).cast("double").alias(name))
+        return spread.groupBy(*by).agg(F.countDistinct(column).cast("double").alias(name))
 
     out = groups.ratio(
-        distinct(events, event, "numerator"), distinct(population, member, "denominator"), ["month", "site"], zero_fill
+        distinct(events, event, "numerator"), distinct(population, member, "denominator"), by, zero_fill
     )
     if not recount:
-        out = out.withColumn("site", levels).groupBy("month", "site").agg(
+        out = out.withColumn("site", levels).groupBy(*by).agg(
             F.sum("denominator").alias("denominator"), F.sum("numerator").alias("numerator")
         )
     level = F.when(F.col("site") == network, "Network").otherwise("Practice")
