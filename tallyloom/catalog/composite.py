@@ -51,19 +51,23 @@ def measure_after_first(spark, d):
 # ---------------------------------------------------------------- scores and episodes
 
 
+def owner(n):
+    return F.concat(F.lit("P"), (F.col("event_id") % n).cast("string"))
+
+
 def user_scores(spark, d, kind, prefix):
     """Best score of one kind per user-day, and who entered it."""
     ev = fx.events(spark, d).filter(F.col("event_type") == kind)
     return ev.groupBy("user_id", "day").agg(
-        F.max("value").alias(prefix + "_score"), F.min(F.col("event_id") % 5).alias(prefix + "_owner")
+        F.max("value").alias(prefix + "_score"), F.min(owner(5)).alias(prefix + "_owner")
     )
 
 
 @query("preferred_score", f"""
 WITH {fx.EVENTS}, v AS (SELECT user_id, day, event_id, event_type FROM ev WHERE event_type IN ('view', 'signup')
   QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY event_type DESC, event_id DESC) = 1),
-a AS (SELECT user_id, day, max(value) AS s, min(event_id % 5) AS o FROM ev WHERE event_type = 'click' GROUP BY 1, 2),
-b AS (SELECT user_id, day, max(value) AS s, min(event_id % 5) AS o FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2)
+a AS (SELECT user_id, day, max(value) AS s, min('P' || CAST(event_id % 5 AS VARCHAR)) AS o FROM ev WHERE event_type = 'click' GROUP BY 1, 2),
+b AS (SELECT user_id, day, max(value) AS s, min('P' || CAST(event_id % 5 AS VARCHAR)) AS o FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2)
 SELECT v.user_id, v.day, v.event_id, coalesce(b.s, a.s) AS score,
   CASE WHEN b.s IS NOT NULL THEN b.o WHEN a.s IS NOT NULL THEN a.o END AS entered_by
 FROM v LEFT JOIN a ON a.user_id = v.user_id AND a.day = v.day LEFT JOIN b ON b.user_id = v.user_id AND b.day = v.day""")
@@ -89,7 +93,7 @@ AS_OF = "2024-03-01"
 def user_days(spark, d):
     """Subject-days: sign-ups are intake visits, errors end markers, the rest visits."""
     ev = fx.events(spark, d).select(
-        "user_id", "day", (F.col("event_id") % 2).alias("owner"), "event_type",
+        "user_id", "day", owner(2).alias("owner"), "event_type",
         F.when(F.col("event_type") != "view", F.col("value")).alias("score"),
     )
     visits = ev.filter("event_type <> 'error'").select(
@@ -101,7 +105,7 @@ def user_days(spark, d):
 
 
 DAYS = f"""{fx.EVENTS}, raw AS (
-  SELECT user_id, day, event_id % 2 AS owner, CASE WHEN event_type <> 'view' THEN value END AS score,
+  SELECT user_id, day, 'P' || CAST(event_id % 2 AS VARCHAR) AS owner, CASE WHEN event_type <> 'view' THEN value END AS score,
     CASE WHEN event_type = 'error' THEN '' ELSE upper(event_type) END AS code,
     CASE WHEN event_type = 'error' THEN 'end of treatment' ELSE '' END AS value,
     CAST(event_type = 'signup' AS DOUBLE) AS s, CAST(event_type = 'error' AS DOUBLE) AS e,
@@ -383,11 +387,11 @@ def eligibility_flag(spark, d):
 
 
 @query("classify_encounter", """
-SELECT measure, source, count(*) AS n FROM (
+SELECT measure, CAST(src AS DOUBLE) AS source, count(*) AS n FROM (
   SELECT CASE WHEN o_orderstatus = 'F' AND coalesce(seg, '') <> 'FURNITURE' THEN 'Inpatient Admissions'
     WHEN o_orderpriority LIKE '1-%' AND NOT coalesce(seg IN ('MACHINERY', 'HOUSEHOLD'), FALSE) THEN 'ED Visits (Discharged)' END AS measure,
   CASE WHEN f1 = 1 AND f2 = 0 AND f3 = 0 AND f4 = 0 THEN 1 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 1 THEN 2
-    WHEN f1 = 0 AND f2 = 0 AND f3 = 1 AND f4 = 0 THEN 3 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 0 THEN 4 END AS source
+    WHEN f1 = 0 AND f2 = 0 AND f3 = 1 AND f4 = 0 THEN 3 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 0 THEN 4 END AS src
   FROM (SELECT o_orderstatus, o_orderpriority, nullif(c_mktsegment, 'BUILDING') AS seg,
       CAST(o_orderkey % 3 = 0 AS INTEGER) AS f1, CAST(o_orderkey % 4 >= 2 AS INTEGER) AS f2,
       CAST(o_orderkey % 3 > 0 AS INTEGER) AS f3, CAST(o_orderkey % 8 >= 6 AS INTEGER) AS f4
@@ -401,7 +405,7 @@ def classify_encounter(spark, d):
         }
     )
     source = reconcile.source_class(F.col("f1"), F.col("f2"), F.col("f3"), F.col("f4"))
-    combined = o.groupBy("o_custkey", "o_orderstatus", "o_orderpriority", source.alias("source")).agg(F.count("*").alias("k"))
+    combined = o.groupBy("o_custkey", "o_orderstatus", "o_orderpriority", source.cast("double").alias("source")).agg(F.count("*").alias("k"))
     enc = combined.join(fx.t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn(
         "seg", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))
     )

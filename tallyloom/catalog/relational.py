@@ -197,10 +197,11 @@ def join_inner(spark, d):
 
 
 @query("join_left", """
-SELECT d.doc_id, d.lang, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
+SELECT d.doc_id, d.lang, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS DOUBLE) AS toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id""")
 def join_left(spark, d):
     docs = fx.t(spark, d, "documents").select("doc_id", "lang")
-    return joins.left_join_where(docs, fx.t(spark, d, "labels"), ["doc_id"])
+    labels = fx.t(spark, d, "labels").withColumns({c: F.col(c).cast("double") for c in ("quality", "toxic")})
+    return joins.left_join_where(docs, labels, ["doc_id"])
 
 
 @query("join_right", """
@@ -257,12 +258,12 @@ def join_renamed_keys(spark, d):
 
 
 @query("join_theta_left", """
-SELECT o_orderkey, CAST(o_orderdate AS DATE) AS start_date, CAST(l_shipdate AS DATE) AS end_date, l_linenumber
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS start_date, CAST(l_shipdate AS DATE) AS end_date, l_quantity
 FROM orders LEFT JOIN lineitem ON o_orderkey = l_orderkey AND o_orderdate < l_shipdate""")
 def join_theta_left(spark, d):
     starts = fx.orders(spark, d).select("o_orderkey", F.col("o_date").alias("start_date"))
     ends = fx.t(spark, d, "lineitem").select(
-        F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("end_date"), "l_linenumber"
+        F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("end_date"), "l_quantity"
     )
     return joins.left_join_where(
         starts, ends, ["o_orderkey"], F.col("start_date") < F.col("end_date"), ["end_date"]
@@ -379,10 +380,10 @@ def join_star(spark, d):
 
 
 @query("join_left_residual", """
-SELECT o_orderkey, l_linenumber, l_quantity FROM orders
+SELECT o_orderkey, l_extendedprice, l_quantity FROM orders
 LEFT JOIN lineitem ON l_orderkey = o_orderkey AND l_returnflag = 'R' AND l_quantity > 30""")
 def join_left_residual(spark, d):
-    lines = fx.t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_quantity", "l_returnflag")
+    lines = fx.t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_extendedprice", "l_quantity", "l_returnflag")
     on = (F.col("l_returnflag") == "R") & (F.col("l_quantity") > 30)
     o = fx.t(spark, d, "orders").select("o_orderkey")
     # a condition on the right side alone filters it before the join

@@ -52,7 +52,7 @@ rb2 AS (SELECT rb0.site, rb0.measure, rb0.month, rb0.denominator, rb0.k, bn2 * r
         FROM rb0 JOIN rb1 ON rb1.site = rb0.site AND rb1.measure = rb0.measure AND rb1.season = rb0.season WHERE rn2 <= 24),
 rb3 AS (SELECT *, CASE WHEN c2 + 3 * sqrt(k * c2 / denominator) > 1 AND measure = 'PRO BOS' THEN 1 ELSE c2 + 3 * sqrt(k * c2 / denominator) END AS u2,
     greatest(c2 - 3 * sqrt(k * c2 / denominator), 0) AS l2 FROM rb2),
-fin AS (SELECT ch2.site, ch2.measure, ch2.month, ch2.numerator, ch2.denominator, ch2.network, ch2.aggregation, ch2.season, ch2.rn,
+fin AS (SELECT ch2.site, ch2.measure, ch2.month, ch2.numerator, ch2.denominator, ch2.network, ch2.aggregation, ch2.season, CAST(ch2.rn AS INTEGER) AS rn,
   round(ch2.rate, 6) AS rate, round(c, 6) AS base_c, round(u, 6) AS base_u, round(l, 6) AS base_l, shift_start,
   round(shift_period, 6) AS shift_period, round(coalesce(c2, c), 6) AS centerline, round(coalesce(u2, u), 6) AS ucl, round(coalesce(l2, l), 6) AS lcl,
   right(CAST(year(ch2.month) AS VARCHAR), 2) || '-' || strftime(ch2.month, '%B') || ' (n = ' || format('{{:,}}', CAST(round_even(ch2.denominator, 0) AS BIGINT)) || ')' AS label
@@ -98,7 +98,7 @@ def shift_rebaseline(spark, d):
     )
 
 
-@query("season_class", f"WITH {SEGMENT} SELECT season, measure, month(month) AS m, count(*) AS n FROM fin GROUP BY 1, 2, 3")
+@query("season_class", f"WITH {SEGMENT} SELECT season, measure, CAST(month(month) AS INTEGER) AS m, count(*) AS n FROM fin GROUP BY 1, 2, 3")
 def season_class(spark, d):
     seasoned = series.with_season(fx.segment_series(spark, d), UTILISATION, RULES)
     return seasoned.groupBy("season", "measure", F.month("month").alias("m")).agg(F.count("*").alias("n"))

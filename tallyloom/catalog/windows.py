@@ -18,17 +18,17 @@ SM = fx.counts_sql() + ", sm AS (SELECT site, month, n, n_f FROM counts)"
 
 
 @query("win_row_number", f"""
-WITH {SM} SELECT site, month, n, row_number() OVER (PARTITION BY site ORDER BY month) AS rn FROM sm""")
+WITH {SM} SELECT site, month, n, CAST(row_number() OVER (PARTITION BY site ORDER BY month) AS INTEGER) AS rn FROM sm""")
 def win_row_number(spark, d):
     rn = F.row_number().over(windows.series(["site"], "month"))
     return site_months(spark, d).select("site", "month", "n", rn.alias("rn"))
 
 
 @query("win_lag", f"""
-WITH {SM} SELECT site, month, n, lag(n) OVER (PARTITION BY site ORDER BY month) AS previous FROM sm""")
+WITH {SM} SELECT site, month, n, CAST(lag(n) OVER (PARTITION BY site ORDER BY month) AS DOUBLE) AS previous FROM sm""")
 def win_lag(spark, d):
     lag = F.lag("n").over(windows.series(["site"], "month"))
-    return site_months(spark, d).select("site", "month", "n", lag.alias("previous"))
+    return site_months(spark, d).select("site", "month", "n", lag.cast("double").alias("previous"))
 
 
 @query("win_lead", f"""
@@ -90,7 +90,7 @@ def keep_first_ordered(spark, d):
 
 @query("keep_last_in_filtered", f"""
 WITH {SM}, r AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY month) AS srn FROM sm)
-SELECT site, month, n, srn FROM r WHERE n_f >= 2 QUALIFY srn = max(srn) OVER (PARTITION BY site)""")
+SELECT site, month, n, CAST(srn AS INTEGER) AS srn FROM r WHERE n_f >= 2 QUALIFY r.srn = max(r.srn) OVER (PARTITION BY site)""")
 def keep_last_in_filtered(spark, d):
     srn = F.row_number().over(windows.series(["site"], "month"))
     kept = site_months(spark, d).withColumn("srn", srn).filter("n_f >= 2")
@@ -101,9 +101,9 @@ def keep_last_in_filtered(spark, d):
 @query("win_baseline_n", f"""
 WITH {SM}, s AS (SELECT *, CASE WHEN month(month) IN (2, 3, 4, 5, 9, 10, 11) THEN 'School' ELSE 'Break' END AS season,
     row_number() OVER (PARTITION BY site ORDER BY month) AS rn FROM sm)
-SELECT site, month, season, rn,
-  CAST(sum(CASE WHEN rn <= 24 THEN n_f END) OVER (PARTITION BY site, season) AS BIGINT) AS base_num,
-  CAST(sum(CASE WHEN rn <= 24 THEN n END) OVER (PARTITION BY site, season) AS BIGINT) AS base_den FROM s""")
+SELECT site, month, season, CAST(rn AS INTEGER) AS rn,
+  CAST(sum(CASE WHEN s.rn <= 24 THEN n_f END) OVER (PARTITION BY site, season) AS BIGINT) AS base_num,
+  CAST(sum(CASE WHEN s.rn <= 24 THEN n END) OVER (PARTITION BY site, season) AS BIGINT) AS base_den FROM s""")
 def win_baseline_n(spark, d):
     season = F.when(F.month("month").isin(2, 3, 4, 5, 9, 10, 11), "School").otherwise("Break")
     rows = site_months(spark, d).withColumn("season", season)
@@ -118,7 +118,7 @@ g AS (SELECT *, row_number() OVER (PARTITION BY site ORDER BY month)
              - row_number() OVER (PARTITION BY site, side ORDER BY month) AS grp FROM v),
 f AS (SELECT *, min(month) OVER (PARTITION BY site, side, grp) AS run_start FROM g)
 SELECT site, month, side, CAST(dense_rank() OVER (PARTITION BY site ORDER BY run_start) AS BIGINT) AS run_no,
-  row_number() OVER (PARTITION BY site, run_start ORDER BY month) AS run_pos,
+  CAST(row_number() OVER (PARTITION BY site, run_start ORDER BY month) AS INTEGER) AS run_pos,
   count(*) OVER (PARTITION BY site, run_start) AS run_len FROM f""")
 def run_length(spark, d):
     rows = site_months(spark, d).select(
@@ -128,10 +128,10 @@ def run_length(spark, d):
 
 
 @query("fill_previous_once", f"""
-WITH {SM}, v AS (SELECT site, month, nullif(n_f, 2) AS value FROM sm)
+WITH {SM}, v AS (SELECT site, month, CAST(nullif(n_f, 2) AS DOUBLE) AS value FROM sm)
 SELECT site, month, coalesce(value, lag(value) OVER (PARTITION BY site ORDER BY month)) AS value FROM v""")
 def fill_previous_once(spark, d):
-    rows = site_months(spark, d).select("site", "month", F.nullif(F.col("n_f"), F.lit(2)).alias("value"))
+    rows = site_months(spark, d).select("site", "month", F.nullif(F.col("n_f"), F.lit(2)).cast("double").alias("value"))
     return windows.fill1(rows, ["site"], ["month"], "value")
 
 
