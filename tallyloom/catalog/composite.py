@@ -233,10 +233,9 @@ def subject_first_last(spark, d):
     return scores.first_last(fx.events(spark, d), ["user_id"], "day", "value")
 
 
-DISCHARGED = f"""{fx.EVENTS}, base AS (SELECT user_id * 4 + event_id % 4 AS subject, day, event_type = 'error' AS dis,
+DISCHARGED = f"""{fx.EVENTS}, base AS (SELECT user_id * 40 + day(day) % 10 * 4 + hour(ts) % 4 AS subject, day, event_type = 'error' AS dis,
   CASE WHEN event_type = 'view' THEN value ELSE 0 END AS a, CASE WHEN event_type = 'click' THEN value ELSE 0 END AS b,
-  CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN 0 ELSE value END AS c
-  FROM ev WHERE event_type = 'error' OR user_id % 4 <> event_id % 4),
+  CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN 0 ELSE value END AS c FROM ev),
 dis AS (SELECT subject, max(day) AS dis_day FROM base WHERE dis GROUP BY 1),
 post AS (SELECT DISTINCT base.subject FROM base JOIN dis ON base.subject = dis.subject WHERE day > dis_day),
 sc1 AS (SELECT subject, count(DISTINCT day) AS k FROM base WHERE dis AND subject NOT IN (SELECT subject FROM post) GROUP BY 1),
@@ -266,8 +265,8 @@ def discharge_split(spark, d):
 
 def _discharged(spark, d):
     v, kind, err = F.col("value"), F.col("event_type"), F.col("event_type") == "error"
-    base = fx.events(spark, d).filter(err | (F.col("user_id") % 4 != F.col("event_id") % 4)).select(
-        (F.col("user_id") * 4 + F.col("event_id") % 4).alias("subject"), "day", "event_type",
+    base = fx.events(spark, d).select(
+        (F.col("user_id") * 40 + F.dayofmonth("day") % 10 * 4 + F.hour("ts") % 4).alias("subject"), "day", "event_type",
         F.when(kind == "view", v).otherwise(0.0).alias("a"),
         F.when(kind == "click", v).otherwise(0.0).alias("b"),
         F.when(err & (F.col("user_id") % 2 == 0), 0.0).otherwise(v).alias("c"),
@@ -449,7 +448,7 @@ def classify_claim_lines(spark, d):
 
 
 @query("unmatched_claims", """
-WITH mapped AS (SELECT l_orderkey FROM lineitem WHERE l_linenumber <= 2),
+WITH mapped AS (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F'),
 rep AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, nullif(o_orderpriority, '5-LOW') AS code
         FROM orders WHERE o_orderstatus = 'F')
 SELECT o_orderkey, o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, nullif(o_orderpriority, '5-LOW') AS code
@@ -459,7 +458,7 @@ FROM orders o WHERE NOT EXISTS (SELECT 1 FROM mapped WHERE l_orderkey = o_orderk
 def unmatched_claims(spark, d):
     o = fx.orders(spark, d).withColumn("code", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
     claims = o.select("o_orderkey", "o_custkey", "month", "code")
-    mapped = fx.t(spark, d, "lineitem").filter("l_linenumber <= 2").select(F.col("l_orderkey").alias("o_orderkey"))
+    mapped = fx.t(spark, d, "lineitem").filter("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"))
     reported = o.filter("o_orderstatus = 'F'")
     return reconcile.unmatched(claims, mapped, ["o_orderkey"], reported, ["o_custkey", "month", "code"])
 

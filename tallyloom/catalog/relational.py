@@ -168,20 +168,20 @@ def sentinel_null(spark, d):
 @query("date_guarded_attribution", """
 SELECT l_suppkey, site, count(*) AS n FROM (
   SELECT l_suppkey, CASE
-      WHEN l_suppkey % 10 = 3 AND l_shipdate < TIMESTAMP '1998-03-09' THEN 'guarded'
-      WHEN l_suppkey % 10 = 5 AND l_returnflag = 'N' THEN 'by flag'
-      WHEN l_suppkey % 10 = 7 THEN 'always' END AS site
+      WHEN l_returnflag = 'A' AND l_shipdate < TIMESTAMP '1998-03-09' THEN 'guarded'
+      WHEN l_returnflag = 'N' AND l_linestatus = 'O' THEN 'by flag'
+      WHEN l_returnflag = 'R' THEN 'always' END AS site
   FROM lineitem) WHERE site IS NOT NULL GROUP BY 1, 2""")
 def date_guarded_attribution(spark, d):
     rules = tables.params(
         spark,
-        [(3, "guarded", "1998-03-09", None), (5, "by flag", None, "N"), (7, "always", None, None)],
-        "member int, site string, valid_to string, flag string",
+        [("A", "guarded", "1998-03-09", None), ("N", "by flag", None, "O"), ("R", "always", None, None)],
+        "member string, site string, valid_to string, flag string",
     )
     lines = fx.t(spark, d, "lineitem").select(
-        "l_suppkey", "l_returnflag", F.to_date("l_shipdate").alias("day"), (F.col("l_suppkey") % 10).cast("int").alias("member")
+        "l_suppkey", "l_returnflag", "l_linestatus", F.to_date("l_shipdate").alias("day")
     )
-    mine = facts.attributed(lines, rules, "member", "day", "l_returnflag")
+    mine = facts.attributed(lines, rules, "l_returnflag", "day", "l_linestatus")
     return mine.groupBy("l_suppkey", "site").agg(F.count("*").alias("n"))
 
 

@@ -30,26 +30,28 @@ def events_after_first(
 
 def site_and_network_rates(
     population: DataFrame, events: DataFrame, member: str, event: str, network_sites: Sequence[str],
-    network: str, zero_fill: bool = True, recount: bool = True, extra: Sequence[str] = (),
+    network: str, zero_fill: bool = True, recount: bool = True, measure_names: Sequence[str] = (),
 ) -> DataFrame:
     """Monthly rates per site and for a network of sites.
 
     ``recount`` counts distinct members and events again for the network; otherwise its
-    values are the sums of the site values. ``extra`` columns split the rates further.
+    values are the sums of the site values. With ``measure_names`` events carry a
+    ``measure`` column, and every measure is set against the one population.
     """
-    by = [*extra, "month", "site"]
-
     inside = F.col("site").isin(list(network_sites))
     # a row counts for its site and, inside the network, for the network: one pass for both
     levels = F.explode(F.array_compact(F.array(F.col("site"), F.when(inside, F.lit(network)))))
 
-    def distinct(df: DataFrame, column: str, name: str) -> DataFrame:
+    def distinct(df: DataFrame, by: Sequence[str], column: str, name: str) -> DataFrame:
         spread = df.withColumn("site", levels) if recount else df
         return spread.groupBy(*by).agg(F.countDistinct(column).cast("double").alias(name))
 
-    out = groups.ratio(
-        distinct(events, event, "numerator"), distinct(population, member, "denominator"), by, zero_fill
-    )
+    by = ["month", "site"]
+    den = distinct(population, by, member, "denominator")
+    if measure_names:
+        by = ["measure", *by]
+        den = den.withColumn("measure", F.explode(F.array(*[F.lit(m) for m in measure_names])))
+    out = groups.ratio(distinct(events, by, event, "numerator"), den, by, zero_fill)
     if not recount:
         out = out.withColumn("site", levels).groupBy(*by).agg(
             F.sum("denominator").alias("denominator"), F.sum("numerator").alias("numerator")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,12 +15,28 @@ from tallyloom.operators import groups, joins, setops
 INPATIENT = "Inpatient Admissions"
 ED = "ED Visits (Discharged)"
 
-# Revenue code classes, as anchored patterns on the whole code.
+@dataclass(frozen=True)
+class CodeClass:
+    """Codes listed exactly, or by prefix unless a longer prefix rules them out."""
+
+    exact: Sequence[str] = ()
+    prefixes: Sequence[str] = ()
+    unless: Sequence[str] = ()
+
+    def holds(self, code: Column) -> Column:
+        # prefix tests work on the bytes of the code and are cheaper than patterns
+        def any_prefix(values: Sequence[str]) -> Column:
+            return reduce(lambda a, b: a | b, [code.startswith(v) for v in values], F.lit(False))
+
+        return code.isin(list(self.exact)) | (any_prefix(self.prefixes) & ~any_prefix(self.unless))
+
+
+# Revenue code classes.
 REVENUE_CLASS = {
-    "urgent": r"^0456$",
-    "emergency": r"^(0981|045([^6].*)?)$",
-    "observation": r"^(0760|0762|0769)$",
-    "inpatient": r"^(01([^8].*)?|02[01].*|1000|1001|1002)$",
+    "urgent": CodeClass(exact=("0456",)),
+    "emergency": CodeClass(exact=("0981",), prefixes=("045",), unless=("0456",)),
+    "observation": CodeClass(exact=("0760", "0762", "0769")),
+    "inpatient": CodeClass(exact=("1000", "1001", "1002"), prefixes=("01", "020", "021"), unless=("018",)),
 }
 
 
@@ -39,16 +57,16 @@ def source_class(own: Column, claims: Column, hidden: Column, billing: Column) -
     )
 
 
-def line_flags(df: DataFrame, code: str, classes: Mapping[str, str] = REVENUE_CLASS) -> DataFrame:
+def line_flags(df: DataFrame, code: str, classes: Mapping[str, CodeClass] = REVENUE_CLASS) -> DataFrame:
     """0/1 flag per code class."""
     return df.withColumns(
-        {name: F.when(F.col(code).rlike(p), 1).otherwise(0) for name, p in classes.items()}
+        {name: F.when(c.holds(F.col(code)), 1).otherwise(0) for name, c in classes.items()}
     )
 
 
 def claim_class(
     lines: DataFrame, keys: Sequence[str], code: str, admission: Column | None = None,
-    classes: Mapping[str, str] = REVENUE_CLASS,
+    classes: Mapping[str, CodeClass] = REVENUE_CLASS,
 ) -> DataFrame:
     """Line codes to claim flags to claim class; unclassified claims are dropped.
 

@@ -54,8 +54,7 @@ def utilisation_rates(
     """
     young = population.filter(dates.age_at(F.col("birth"), as_of_age) < max_age)
     merged = reconcile.merge_priority(sources, MERGE_KEY, "source", [F.col("skey")])
-    names = F.explode(F.array(F.lit(reconcile.INPATIENT), F.lit(reconcile.ED)))
     return measures.site_and_network_rates(
-        young.withColumn("measure", names), merged, "subject", "skey", network_sites, network, zero_fill, recount,
-        extra=("measure",),
+        young, merged, "subject", "skey", network_sites, network, zero_fill, recount,
+        measure_names=(reconcile.INPATIENT, reconcile.ED),
     )

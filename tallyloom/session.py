@@ -58,8 +58,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Cut the lineage of a frame several branches read, surviving executor loss."""
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(scratch_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Store a frame several branches read, so that it is computed once.
+
+    A Parquet table in the shared folder: it cuts the lineage, survives executor loss,
+    and each branch reads only the columns and rows it needs.
+    """
+    path = scratch_path(df.sparkSession, "stage")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
