@@ -28,7 +28,7 @@ def frame(spark):
         """Rows as tuples; ISO text becomes a date in date columns."""
         from pyspark.sql import types as T
 
-        parsed = T._parse_datatype_string(schema) if hasattr(T, "_parse_datatype_string") else None
+        parsed = T._parse_datatype_string(schema)
         kinds = [f.dataType for f in parsed.fields]
         cast = [
             tuple(date(v) if isinstance(k, T.DateType) else v for v, k in zip(r, kinds)) for r in rows
