@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
+import atexit
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -41,28 +42,49 @@ def tune(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in spark.checkpoint.dir.
 
-    Only a local-mode session, where driver and executors are one process, may fall back
-    to a temporary folder of its own.
+    Where nothing is named, a folder of the warehouse, which driver and executors share as
+    well; the rule is the same in every mode.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    named = named or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return tempfile.mkdtemp(prefix="tallyloom-")
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+
+
+_stored: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder, remembered for `clear_scratch`."""
+    path = f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _stored:
+        atexit.register(clear_scratch, spark)
+    _stored.append(path)
+    return path
+
+
+def clear_scratch(spark: SparkSession, since: int = 0) -> None:
+    """Delete what this process has stored, or what it stored after the first `since` tables."""
+    conf = spark._jsc.hadoopConfiguration()
+    while len(_stored) > since:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_stored.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Tables stored inside the block are deleted at its end."""
+    before = len(_stored)
+    try:
+        yield
+    finally:
+        clear_scratch(spark, before)
 
 
-def materialise(df: DataFrame) -> DataFrame:
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Store a frame several branches read, so that it is computed once.
 
     A Parquet table in the shared folder: it cuts the lineage, survives executor loss,
     and each branch reads only the columns and rows it needs.
     """
-    path = scratch_path(df.sparkSession, "stage")
+    path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,7 +6,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from tallyloom.session import local_session  # noqa: E402
+from tallyloom.session import clear_scratch, local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -15,6 +15,7 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     session.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoint")))
     yield session
+    clear_scratch(session)
     session.stop()
 
 

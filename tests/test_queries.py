@@ -47,4 +47,4 @@ def test_entry_runs(spark):
     import __spark_entry__ as entry
 
     df = entry.entry(spark)
-    assert df.count() > 0 and set(entry.queries()) == set(QUERIES)
+    assert df.count() > 0 and set(QUERIES) <= set(entry.queries())
