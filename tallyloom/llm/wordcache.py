@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 # Chunks a worker keeps (about 200 bytes each); a full cache starts anew.
 MAX_CHUNKS = 800_000
+# Longer chunks are encoded each time.
+MAX_CHUNK_BYTES = 4096
 # Bytes of text looked up together.
 GROUP_BYTES = 4_000_000
 
@@ -48,7 +50,10 @@ class ChunkCache:
             for chunk, ids in zip(new, self.encode(new)):
                 self.ids[chunk] = np.asarray(ids, "<u4").tobytes()
         get = self.ids.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+        out = [b"".join(map(get, c)) for c in chunks]
+        for chunk in [c for c in missing if len(c) > MAX_CHUNK_BYTES]:
+            del self.ids[chunk]
+        return out
 
 
 _caches: dict[tuple, ChunkCache] = {}
