@@ -1,4 +1,4 @@
 """All operators' queries; importing this module registers them."""
 
-from tallyloom.llm import bpe, chat, packing  # noqa: F401
+from tallyloom.llm import ann, bpe, chat, embed_dedup, packing  # noqa: F401
 from tallyloom.llm.registry import ORACLE, QUERIES  # noqa: F401
