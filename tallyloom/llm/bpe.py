@@ -14,6 +14,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -61,15 +62,9 @@ class ByteBPE:
 
     def __init__(self, path: str, leaf: int = LEAF):
         self.tokenizer, self.leaf = load_tokenizer(path), leaf
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        spec |= {"pre_tokenizer": None, "added_tokens": [], "decoder": None, "normalizer": None, "post_processor": None}
-        from tokenizers import Tokenizer
-
-        self.merger = Tokenizer.from_str(json.dumps(spec))
-        self.letters = byte_letters()
-        back = {c: b for b, c in self.letters.items()}
-        self.names = {i: t for t, i in spec["model"]["vocab"].items()}
+        self.path = path
+        back = {c: b for b, c in byte_letters().items()}
+        self.names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
         self.bytes = {i: bytes(back[c] for c in t) for i, t in self.names.items()}
         self.added = {}
         for i, t in self.tokenizer.get_added_tokens_decoder().items():
@@ -78,6 +73,16 @@ class ByteBPE:
         words = sorted(map(re.escape, self.added), key=len, reverse=True)
         self.controls = re.compile("(" + "|".join(words) + ")") if words else None
 
+    @cached_property
+    def merger(self):
+        """The same merges without any splitting; only long runs need it."""
+        from tokenizers import Tokenizer
+
+        with open(self.path, encoding="utf-8") as f:
+            spec = json.load(f)
+        spec |= {"pre_tokenizer": None, "added_tokens": [], "decoder": None, "normalizer": None, "post_processor": None}
+        return Tokenizer.from_str(json.dumps(spec))
+
     def encode_chunks(self, chunks: list[bytes]) -> list[list[int]]:
         texts = [(c[1:] if c[:1] == _AS_IS else b" " + c).decode() for c in chunks]
         short = [t for t in texts if len(t) <= self.leaf]
@@ -120,23 +125,32 @@ class ByteBPE:
         return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
 
 
-def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", decoded: bool = False,
+) -> DataFrame:
     """Id, n_tokens and ids (little-endian unsigned 32-bit integers) of every whole text.
 
-    Null text is empty and has no tokens. Rows stay one to one, repeated ids too; other columns
+    With `decoded`, the text that the ids decode to as well, without a second pass. Null text
+    is empty and has no tokens. Rows stay one to one, repeated ids too; other columns
     are left out, whatever their names.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = shared(("bytes", tokenizer), lambda: ChunkCache(ByteBPE(tokenizer).encode_chunks))
+        codec = shared(("codec", tokenizer), lambda: ByteBPE(tokenizer))
+        cache = shared(("bytes", tokenizer), lambda: ChunkCache(codec.encode_chunks))
         for batch, texts in text_groups(batches, "text"):
             ids = cache.join([split(t) for t in texts])
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), n, pa.array(ids, pa.binary())], ["id", "n_tokens", "ids"])
+            columns = [batch.column("id"), n, pa.array(ids, pa.binary())]
+            if decoded:
+                columns.append(pa.array([codec.decode(x) for x in ids], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names)
 
+    names = ["id", "n_tokens", "ids", "decoded"][: 4 if decoded else 3]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary").withColumnRenamed("id", id_col)
+    out = rows.mapInArrow(run, f"id {kind}, n_tokens long, ids binary" + ", decoded string" * decoded)
+    return out.withColumnRenamed("id", id_col)
 
 
 def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:
@@ -144,7 +158,7 @@ def decode(encoded: DataFrame, tokenizer: str, ids_col: str = "ids", out_col: st
     keep = [c for c in encoded.columns if c != out_col]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = shared(("decode", tokenizer), lambda: ByteBPE(tokenizer))
+        codec = shared(("codec", tokenizer), lambda: ByteBPE(tokenizer))
         for batch in batches:
             texts = [None if x is None else codec.decode(x) for x in batch.column(ids_col).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(texts, pa.string())], [*keep, out_col])
@@ -161,7 +175,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     path = public_tokenizers.path("byte_bpe_50k.json")
-    out = decode(encode(table(spark, folder, "documents", "doc_id", "text"), path), path)
+    out = encode(table(spark, folder, "documents", "doc_id", "text"), path, decoded=True)
     return out.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Chunks a worker keeps (about 200 bytes each); a full cache starts anew.
-MAX_CHUNKS = 800_000
+MAX_CHUNKS = 500_000
 # Longer chunks are encoded each time.
 MAX_CHUNK_BYTES = 4096
 # Bytes of text looked up together.
