@@ -7,8 +7,8 @@ documents share (optimal densification). Bands of bins are bucket keys.
 A bucket gives edges from its smallest document to the others only, a star, so the number of
 edges is bounded by documents x bands. Edges whose sketches may reach the threshold are
 confirmed on full shingle sets. A star alone could lose a link between two of its leaves, so
-leaves that are in different components after that are compared with each other too, sketch
-by sketch inside tasks, in blocks; what may reach the threshold is confirmed in the same way.
+leaves that it leaves unconnected meet the star's other leaves too, block by block inside
+tasks: sketches first, and full sets where those may reach the threshold.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ ROWS_PER_BAND = 6
 BANDS = 56
 # A sketch of this many bins is off by more than this much once in several 100,000 pairs.
 SLACK = 0.16
-BLOCK = 512
+BLOCK = 256
 _U = np.uint64
 
 
@@ -118,21 +118,7 @@ def near_duplicates(
     links = materialise(_confirm(near, texts, shingle, percent), "links")
     labels = components(links)
 
-    leaf = (
-        stars.join(sketch, "id").join(labels.withColumnRenamed("node", "id"), "id", "left")
-        .withColumn("label", F.coalesce("component", "id")).drop("component")
-    )
-    leaf = materialise(leaf, "leaves")
-    sizes = leaf.groupBy("center").agg(F.count("*").alias("size"), F.min("label").alias("x"), F.max("label").alias("y"))
-    sizes = materialise(sizes.filter("x < y").select("center", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "stars")
-    met = (
-        leaf.join(sizes, "center")
-        .withColumn("own", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("center", "id", "n", "sketch", "label", "own", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    )
-    more = met.groupBy("center", "lo", "hi").applyInArrow(_leaves(least, percent), "a long, b long").distinct()
-    new = materialise(_confirm(more, texts, shingle, percent), "links")
+    new = materialise(_leaf_links(stars, one, texts, labels, shingle, percent), "links")
     labels = components(links.union(new))
 
     found = classes.join(labels, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
@@ -170,24 +156,63 @@ def _close(least: float):
     return run
 
 
-def _leaves(least: float, percent: int):
-    """Pairs of one star's leaves in different components that may reach the threshold."""
+def _leaf_links(stars: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """Links between leaves of one star that the labels don't connect yet.
+
+    Leaves that are connected with the center need no comparison among themselves. All others
+    meet every leaf of the star, block by block; a task ends a comparison as soon as its own
+    links connect the two, so it passes on fewer links than it has leaves.
+    """
+    of = labels.withColumnRenamed("node", "id").withColumnRenamed("component", "label")
+    leaf = stars.join(of, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    hub = of.select(F.col("id").alias("center"), F.col("label").alias("hub"))
+    leaf = leaf.join(hub, "center", "left").withColumn("apart", F.col("label") != F.coalesce("hub", "center")).drop("hub")
+    leaf = materialise(leaf, "leaves")
+    size = leaf.groupBy("center").agg(F.sum(F.col("apart").cast("long")).alias("u"), F.count("*").alias("m")).filter("u > 0 AND m > 1")
+    size = materialise(size.select("center", *(F.ceil(F.col(c) / BLOCK).cast("int").alias(c) for c in ("u", "m"))), "stars")
+    block = lambda c: F.pmod(F.xxhash64("id"), c).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1))
+    sized = leaf.join(size, "center")
+    left = sized.filter("apart").withColumn("lb", block("u")).withColumn("rb", every("m")).withColumn("left", F.lit(True))
+    right = sized.withColumn("rb", block("m")).withColumn("lb", every("u")).withColumn("left", F.lit(False))
+    met = left.unionByName(right).join(nodes.select("id", "n", "sketch"), "id").join(texts, "id")
+    least = percent / 100 - SLACK
 
     def run(t: pa.Table) -> pa.Table:
-        ids, n, label, own, lo, hi = (np.asarray(t.column(c)) for c in ("id", "n", "label", "own", "lo", "hi"))
+        ids, n, label, apart, left = (np.asarray(t.column(c)) for c in ("id", "n", "label", "apart", "left"))
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-        first, second = np.flatnonzero(own == lo[0]), np.flatnonzero(own == hi[0])
-        out = []
-        for j in second:
-            i = first[first < j] if lo[0] == hi[0] else first
-            i = i[label[i] != label[j]]
+        text = t.column("text")
+        sets: dict[int, np.ndarray] = {}
+        root = {int(x): int(x) for x in label}
+
+        def find(x: int) -> int:
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        def shingles(i: int) -> np.ndarray:
+            if i not in sets:
+                sets[i] = shingle_set(text[i].as_py().encode(), shingle)
+            return sets[i]
+
+        found = []
+        rows = np.flatnonzero(~left)
+        for j in np.flatnonzero(left):
+            i = rows[(label[rows] != label[j]) & (~apart[rows] | (ids[rows] > ids[j]))]
             i = i[100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])]
-            i = i[estimate(sketch[i], sketch[j]) >= least] if len(i) else i
-            out.append(np.stack([np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])]))
-        pairs = np.concatenate(out, 1) if out else np.zeros((2, 0), np.int64)
-        return pa.table([pairs[0], pairs[1]], ["a", "b"])
-
-    return run
+            close = estimate(sketch[i], sketch[j]) if len(i) else np.zeros(0)
+            for k in i[np.argsort(-close, kind="stable")][: int((close >= least).sum())]:
+                a, b = find(int(label[j])), find(int(label[k]))
+                if a == b:
+                    continue
+                both = common(shingles(j), shingles(k))
+                if 100 * both >= percent * (n[j] + n[k] - both):
+                    root[max(a, b)] = min(a, b)
+                    found.append((int(ids[j]), int(ids[k])))
+        return pa.table([[x for x, _ in found], [x for _, x in found]], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+
+    columns = met.select("center", "lb", "rb", "id", "n", "label", "apart", "left", "sketch", "text")
+    return columns.groupBy("center", "lb", "rb").applyInArrow(run, "a long, b long").distinct()
 
 
 def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
