@@ -1,4 +1,4 @@
 """All operators' queries; importing this module registers them."""
 
-from tallyloom.llm import ann, bpe, chat, embed_dedup, minhash, packing, quality  # noqa: F401
+from tallyloom.llm import ann, bpe, chat, embed_dedup, license, minhash, packing, pii, quality  # noqa: F401
 from tallyloom.llm.registry import ORACLE, QUERIES  # noqa: F401
