@@ -39,7 +39,7 @@ MAX_FALSE_ALARM = 0.002
 FEATURES = 2048
 # A text of so many bytes is scored half by its own features, half by the share of good texts.
 SHORT = 30
-# Documents the scorer is fitted on: those with the smallest hash of id and text.
+# About so many documents fit the scorer: those whose hash of id and text is small enough.
 TRAINING_ROWS = 4000
 
 _SIGNS = np.zeros(256, bool)
@@ -156,14 +156,17 @@ def classify(
     p, _ = fit_votes(patterns, np.array([r["count"] for r in seen], float)) if seen else (np.zeros(0), None)
     label = dict(zip(patterns, map(float, p)))
 
-    sample = read.filter(F.length("text") > 0).orderBy(F.xxhash64("id", "text"), "id").limit(training_rows).select("text")
+    share = training_rows / max(1, sum(r["count"] for r in histogram))
+    place = F.pmod(F.xxhash64("id", "text"), F.lit(2**31)) / 2**31
+    # the limit only matters where rows repeat id and text so often that the hash can't tell them apart
+    sample = read.filter((F.length("text") > 0) & (place < share)).limit(2 * training_rows).select("text")
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in text_groups(batches, "text"):
             rows = [(features(t).tobytes(), votes(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows])], ["x", "votes"])
 
-    taken = sample.mapInArrow(describe, "x binary, votes string").toArrow()  # training_rows at most
+    taken = sample.mapInArrow(describe, "x binary, votes string").toArrow()  # 2 * training_rows at most
     x = np.frombuffer(b"".join(taken.column("x").to_pylist()), np.float32).reshape(-1, FEATURES + 1)
     soft = np.array([label[v] for v in taken.column("votes").to_pylist()])
     both = len(soft) > 0 and soft.min() < 0.5 <= soft.max()
