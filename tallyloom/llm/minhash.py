@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm.components import components
 from tallyloom.llm.registry import query, table
 from tallyloom.llm.shingles import common, mix, shingle_set
-from tallyloom.llm.wordcache import text_groups, texts_of
+from tallyloom.llm.wordcache import text_groups
 from tallyloom.session import materialise
 
 ROWS_PER_BAND = 6
@@ -74,7 +74,7 @@ def near_duplicates(
     Words are lower-cased (A-Z) and cut at ASCII white space. Linked: 100 x intersection of the
     shingle sets at least `percent` x their union. Null or empty texts, and rows with a null id,
     link with nothing. Documents with equal sets are one class with its smallest id; rows that
-    share an id are linked with each other. Only the id and the text column are read. A pair
+    share an id but not the text are taken by their text. Only the id and the text column are read. A pair
     exactly at 80 % is missed with a probability of about 1e-5, a closer one with less.
     """
     signer = Signer()
@@ -84,41 +84,39 @@ def near_duplicates(
         import hashlib
 
         for batch, texts in text_groups(batches, "text"):
-            sizes, keys, bands, sketches = [], [], [], []
+            sizes, keys, bands = [], [], []
             for text in texts:
                 s = shingle_set(text, shingle)
                 sizes.append(len(s))
                 keys.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
-                a, b = signer.sign(s) if len(s) else (None, None)
-                bands.append(a)
-                sketches.append(b)
-            blobs = [pa.array(x, pa.binary()) for x in (keys, bands, sketches)]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), *blobs], ["id", "n", "same", "bands", "sketch"])
+                bands.append(signer.sign(s)[0] if len(s) else None)
+            blobs = [pa.array(x, pa.binary()) for x in (keys, bands)]
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(sizes, pa.int64()), *blobs], ["id", "n", "same", "bands"])
 
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = materialise(read.mapInArrow(sign, "id long, n long, same binary, bands binary, sketch binary"), "signed")
+    rows = materialise(read.mapInArrow(sign, "id long, n long, same binary, bands binary"), "signed")
     full = rows.filter(F.col("id").isNotNull() & F.col("same").isNotNull())
-    classes = materialise(full.groupBy("same").agg(F.min("id").alias("node")), "classes")
-    one = materialise(
-        full.join(classes, (full["same"] == classes["same"]) & (F.col("id") == F.col("node")), "left_semi")
-        .select("id", "n", "bands", "sketch").dropDuplicates(["id", "n", "sketch"]),
-        "nodes",
-    )
-    stars = _stars(one, signer)
-    texts = read.join(stars.select("id").union(stars.select("center")).distinct(), "id", "left_semi").dropDuplicates()
-    texts = materialise(texts, "texts")
-
-    sketch = one.select("id", "n", "sketch")
+    classes = full.groupBy("same").agg(F.min("id").alias("node"), F.count("*").alias("copies"))
+    classes = materialise(classes, "classes")
+    several = classes.filter("copies > 1").select("same", "node")
+    copies = full.select("id", "same").join(several, "same").filter("id > node").select("id").distinct()
+    copies = copies.join(classes.select(F.col("node").alias("id")), "id", "left_anti")
+    stars = materialise(_stars(full, signer).join(copies, "id", "left_anti"), "stars")
+    ids = stars.select("id").union(stars.select("center")).distinct()
+    members = read.mapInArrow(_squeeze, "id long, packed binary").join(ids, "id", "left_semi").dropDuplicates()
+    members = materialise(members.mapInArrow(_sketch(signer, shingle), "id long, n long, sketch binary, packed binary"), "members")
+
+    sketch = members.select("id", "n", "sketch")
     center = sketch.select(F.col("id").alias("center"), F.col("n").alias("cn"), F.col("sketch").alias("csketch"))
     near = (
         stars.join(sketch, "id").join(center, "center")
         .filter(100 * F.least("n", "cn") >= percent * F.greatest("n", "cn"))
         .mapInArrow(_close(least), "a long, b long").distinct()
     )
-    links = materialise(_confirm(near, texts, shingle, percent), "links")
+    links = materialise(_confirm(near, members, shingle, percent), "links")
     labels = components(links)
 
-    new = materialise(_leaf_links(stars, one, texts, labels, shingle, percent), "links")
+    new = materialise(_leaf_links(stars, members, labels, shingle, percent), "links")
     labels = components(links.union(new))
 
     found = classes.join(labels, "node", "left").select("same", F.coalesce("component", "node").alias("component_id"))
@@ -131,6 +129,31 @@ def near_duplicates(
     )
 
 
+def _squeeze(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the way, with their size in front; null and empty ones go."""
+    codec = pa.Codec("zstd", 1)
+    for batch, texts in text_groups(batches, "text"):
+        some = [i for i, t in enumerate(texts) if t]
+        packed = [len(texts[i]).to_bytes(8, "little") + codec.compress(texts[i], asbytes=True) for i in some]
+        yield pa.RecordBatch.from_arrays([batch.column("id").take(pa.array(some, pa.int64())), pa.array(packed, pa.binary())], ["id", "packed"])
+
+
+def _loose(packed: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(packed[8:], int.from_bytes(packed[:8], "little"), asbytes=True)
+
+
+def _sketch(signer: Signer, shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(_loose(x), shingle) for x in batch.column("packed").to_pylist()]
+            some = [i for i, s in enumerate(sets) if len(s)]
+            kept = batch.take(pa.array(some, pa.int64()))
+            n, sketch = pa.array([len(sets[i]) for i in some], pa.int64()), pa.array([signer.sign(sets[i])[1] for i in some], pa.binary())
+            yield pa.RecordBatch.from_arrays([kept.column("id"), n, sketch, kept.column("packed")], ["id", "n", "sketch", "packed"])
+
+    return run
+
+
 def _stars(nodes: DataFrame, signer: Signer) -> DataFrame:
     """center, id: each bucket's smallest document with every other one, each pair once."""
 
@@ -143,7 +166,7 @@ def _stars(nodes: DataFrame, signer: Signer) -> DataFrame:
     dealt = nodes.select("id", "bands").mapInArrow(deal, "bucket long, id long")
     centers = dealt.groupBy("bucket").agg(F.min("id").alias("center"), F.max("id").alias("last")).filter("center < last")
     centers = materialise(centers.select("bucket", "center"), "buckets")
-    return materialise(dealt.join(centers, "bucket").filter("id > center").select("center", "id").distinct(), "stars")
+    return dealt.join(centers, "bucket").filter("id > center").select("center", "id").distinct()
 
 
 def _close(least: float):
@@ -156,7 +179,7 @@ def _close(least: float):
     return run
 
 
-def _leaf_links(stars: DataFrame, nodes: DataFrame, texts: DataFrame, labels: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _leaf_links(stars: DataFrame, members: DataFrame, labels: DataFrame, shingle: int, percent: int) -> DataFrame:
     """Links between leaves of one star that the labels don't connect yet.
 
     Leaves that are connected with the center need no comparison among themselves. All others
@@ -175,13 +198,13 @@ def _leaf_links(stars: DataFrame, nodes: DataFrame, texts: DataFrame, labels: Da
     sized = leaf.join(size, "center")
     left = sized.filter("apart").withColumn("lb", block("u")).withColumn("rb", every("m")).withColumn("left", F.lit(True))
     right = sized.withColumn("rb", block("m")).withColumn("lb", every("u")).withColumn("left", F.lit(False))
-    met = left.unionByName(right).join(nodes.select("id", "n", "sketch"), "id").join(texts, "id")
+    met = left.unionByName(right).join(members, "id")
     least = percent / 100 - SLACK
 
     def run(t: pa.Table) -> pa.Table:
         ids, n, label, apart, left = (np.asarray(t.column(c)) for c in ("id", "n", "label", "apart", "left"))
         sketch = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(len(ids), -1)
-        text = t.column("text")
+        packed = t.column("packed")
         sets: dict[int, np.ndarray] = {}
         root = {int(x): int(x) for x in label}
 
@@ -192,7 +215,7 @@ def _leaf_links(stars: DataFrame, nodes: DataFrame, texts: DataFrame, labels: Da
 
         def shingles(i: int) -> np.ndarray:
             if i not in sets:
-                sets[i] = shingle_set(text[i].as_py().encode(), shingle)
+                sets[i] = shingle_set(_loose(packed[i].as_py()), shingle)
             return sets[i]
 
         found = []
@@ -211,28 +234,28 @@ def _leaf_links(stars: DataFrame, nodes: DataFrame, texts: DataFrame, labels: Da
                     found.append((int(ids[j]), int(ids[k])))
         return pa.table([[x for x, _ in found], [x for _, x in found]], schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-    columns = met.select("center", "lb", "rb", "id", "n", "label", "apart", "left", "sketch", "text")
+    columns = met.select("center", "lb", "rb", "id", "n", "label", "apart", "left", "sketch", "packed")
     return columns.groupBy("center", "lb", "rb").applyInArrow(run, "a long, b long").distinct()
 
 
-def _confirm(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
+def _confirm(pairs: DataFrame, members: DataFrame, shingle: int, percent: int) -> DataFrame:
     """The pairs a, b whose full shingle sets are similar enough."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, have = None, None
         for batch in batches:
-            left, right, ok = texts_of(batch, "left"), texts_of(batch, "right"), []
-            for x, y in zip(left, right):
+            ok = []
+            for x, y in zip(batch.column("left").to_pylist(), batch.column("right").to_pylist()):
                 if x != last:
-                    last, have = x, shingle_set(x, shingle)
-                other = shingle_set(y, shingle)
+                    last, have = x, shingle_set(_loose(x), shingle)
+                other = shingle_set(_loose(y), shingle)
                 both = common(have, other)
                 ok.append(100 * both >= percent * (len(have) + len(other) - both))
             ok = pa.array(ok, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(ok) for c in ("a", "b")], ["a", "b"])
 
-    right = pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("right")), "b")
-    both = right.join(texts.select(F.col("id").alias("a"), F.col("text").alias("left")), "a")
+    right = pairs.join(members.select(F.col("id").alias("b"), F.col("packed").alias("right")), "b")
+    both = right.join(members.select(F.col("id").alias("a"), F.col("packed").alias("left")), "a")
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long")
 
 
