@@ -27,25 +27,32 @@ def measure_event_count(spark, d):
     return measures.event_measure(ev, den, "site", "month", "o_custkey")
 
 
+FLAGGED = fx.EVENTS + """, fl AS (
+  SELECT user_id, user_id % 3 AS site, day, event_type, event_id, CASE WHEN event_id % 3 > 0 THEN event_id % 2 END AS flag FROM ev)"""
+
+
+# The flag varies within subject and site: only the first day's flags can match.
 @query("measure_after_first", f"""
-WITH {fx.EVENTS}, sc AS (
-  SELECT user_id, user_id % 3 AS site, CASE WHEN user_id % 2 = 0 THEN user_id % 4 END AS flag, min(day) AS first_score
-  FROM ev WHERE event_type = 'click' GROUP BY 1, 2, 3)
-SELECT e.user_id % 3 AS site, e.day, count(DISTINCT event_id) AS n FROM ev e
-JOIN sc ON sc.user_id = e.user_id AND sc.site = e.user_id % 3
-  AND sc.flag IS NOT DISTINCT FROM CASE WHEN e.user_id % 2 = 0 THEN e.user_id % 4 END
-WHERE event_type = 'purchase' AND e.day > first_score GROUP BY 1, 2""")
+WITH {FLAGGED}, sc AS (
+  SELECT DISTINCT user_id, site, flag, day AS first_score FROM fl WHERE event_type = 'click'
+  QUALIFY day = min(day) OVER (PARTITION BY user_id, site)),
+num AS (SELECT CAST(date_trunc('month', fl.day) AS DATE) AS month, fl.site, CAST(count(DISTINCT event_id) AS DOUBLE) AS numerator
+  FROM fl JOIN sc ON sc.user_id = fl.user_id AND sc.site = fl.site AND sc.flag IS NOT DISTINCT FROM fl.flag
+  WHERE event_type = 'purchase' AND fl.day > first_score GROUP BY 1, 2),
+den AS (SELECT CAST(date_trunc('month', day) AS DATE) AS month, site, CAST(count(*) AS DOUBLE) AS denominator
+  FROM fl WHERE event_type = 'signup' GROUP BY 1, 2)
+SELECT num.month, num.site, numerator, denominator FROM num LEFT JOIN den ON den.month = num.month AND den.site = num.site""")
 def measure_after_first(spark, d):
     ev = fx.events(spark, d).select(
         "event_id", "user_id", "day", "event_type", (F.col("user_id") % 3).alias("site"),
-        F.when(F.col("user_id") % 2 == 0, F.col("user_id") % 4).alias("flag"),
+        F.when(F.col("event_id") % 3 > 0, F.col("event_id") % 2).alias("flag"),
     )
-    keys = ["user_id", "site", "flag"]
     first_scores = ev.filter("event_type = 'click'").withColumnRenamed("day", "score_day")
     kept = measures.events_after_first(
-        ev.filter("event_type = 'purchase'"), first_scores, keys, "day", "score_day"
+        ev.filter("event_type = 'purchase'"), first_scores, ["user_id", "site"], ["user_id", "site", "flag"], "day", "score_day"
     )
-    return kept.groupBy("site", "day").agg(F.countDistinct("event_id").alias("n"))
+    intake = ev.filter("event_type = 'signup'").groupBy(F.trunc("day", "MM").alias("month"), "site")
+    return measures.event_measure(kept, intake.agg(F.count("*").cast("double").alias("denominator")), "site", "day", "event_id")
 
 
 # ---------------------------------------------------------------- scores and episodes
@@ -55,31 +62,34 @@ def owner(n):
     return F.concat(F.lit("P"), (F.col("event_id") % n).cast("string"))
 
 
-def user_scores(spark, d, kind, prefix):
+def user_scores(spark, d, kind, prefix, *by):
     """Best score of one kind per user-day, and who entered it."""
     ev = fx.events(spark, d).filter(F.col("event_type") == kind)
-    return ev.groupBy("user_id", "day").agg(
+    return ev.groupBy("user_id", "day", *by).agg(
         F.max("value").alias(prefix + "_score"), F.min(owner(5)).alias(prefix + "_owner")
     )
 
 
+# Scores take part in picking the visit: latest type, then both scores, then the event.
 @query("preferred_score", f"""
-WITH {fx.EVENTS}, v AS (SELECT user_id, day, event_id, event_type FROM ev WHERE event_type IN ('view', 'signup')
-  QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY event_type DESC, event_id DESC) = 1),
-a AS (SELECT user_id, day, max(value) AS s, min('P' || CAST(event_id % 5 AS VARCHAR)) AS o FROM ev WHERE event_type = 'click' GROUP BY 1, 2),
-b AS (SELECT user_id, day, max(value) AS s, min('P' || CAST(event_id % 5 AS VARCHAR)) AS o FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2)
+WITH {fx.EVENTS}, v AS (SELECT user_id, day, event_id, event_type FROM ev WHERE event_type IN ('view', 'signup')),
+a AS (SELECT user_id, day, event_id % 2 AS k, max(value) AS s, min('P' || CAST(event_id % 5 AS VARCHAR)) AS o FROM ev WHERE event_type = 'click' GROUP BY 1, 2, 3),
+b AS (SELECT user_id, day, event_id % 2 AS k, max(value) AS s, min('P' || CAST(event_id % 5 AS VARCHAR)) AS o FROM ev WHERE event_type = 'purchase' GROUP BY 1, 2, 3)
 SELECT v.user_id, v.day, v.event_id, coalesce(b.s, a.s) AS score,
   CASE WHEN b.s IS NOT NULL THEN b.o WHEN a.s IS NOT NULL THEN a.o END AS entered_by
-FROM v LEFT JOIN a ON a.user_id = v.user_id AND a.day = v.day LEFT JOIN b ON b.user_id = v.user_id AND b.day = v.day""")
+FROM v LEFT JOIN a ON a.user_id = v.user_id AND a.day = v.day AND a.k = v.event_id % 2
+  LEFT JOIN b ON b.user_id = v.user_id AND b.day = v.day AND b.k = v.event_id % 2
+QUALIFY row_number() OVER (PARTITION BY v.user_id, v.day
+  ORDER BY event_type DESC, b.s DESC NULLS LAST, a.s DESC NULLS LAST, v.event_id DESC) = 1""")
 def preferred_score(spark, d):
+    half = (F.col("event_id") % 2).alias("k")
     visits = fx.events(spark, d).filter(F.col("event_type").isin("view", "signup")).select(
-        "user_id", "day", "event_id", "event_type"
+        "user_id", "day", half, "event_id", "event_type"
     )
-    order = [F.desc_nulls_last("event_type"), F.desc_nulls_last("event_id")]
-    picked = groups.head_per(visits, ["user_id", "day"], order)
+    order = [F.desc_nulls_last(c) for c in ("event_type", "staff_score", "self_score", "event_id")]
     best = scores.preferred(
-        picked, user_scores(spark, d, "click", "self"), user_scores(spark, d, "purchase", "staff"),
-        ["user_id", "day"], order,
+        visits, user_scores(spark, d, "click", "self", half), user_scores(spark, d, "purchase", "staff", half),
+        ["user_id", "day", "k"], order, per=["user_id", "day"],
     )
     return best.select("user_id", "day", "event_id", "score", "entered_by")
 
@@ -332,11 +342,13 @@ def snapshot_latest_member(spark, d):
 
 
 @query("snapshot_active_30d", f"""
-WITH {fx.MONTHS}, {fx.ORDERS} SELECT month, o_custkey, max(o_date) AS o_date FROM (
-  SELECT months.month, o_custkey, o_date FROM orders_d JOIN months ON o_date <= month_end WHERE o_date > month_end - 30) GROUP BY 1, 2""")
+WITH {fx.MONTHS}, {fx.ORDERS} SELECT DISTINCT month, o_custkey, o_date, o_orderpriority FROM (
+  SELECT months.month, o_custkey, o_date, o_orderpriority FROM orders_d JOIN months ON o_date <= month_end WHERE o_date > month_end - 30)
+QUALIFY o_date = max(o_date) OVER (PARTITION BY month, o_custkey)""")
 def snapshot_active_30d(spark, d):
-    o = fx.orders(spark, d).select("o_custkey", "o_date")
-    return population.active_members(o, ["o_custkey"], "o_date", *bounds()).select("month", "o_custkey", "o_date")
+    o = fx.orders(spark, d).select("o_custkey", "o_date", "o_orderpriority")
+    active = population.active_members(o, ["o_custkey"], "o_date", *bounds(), carry=["o_orderpriority"])
+    return active.select("month", "o_custkey", "o_date", "o_orderpriority")
 
 
 LINKED = fx.SPANS + """, lk AS (
@@ -356,16 +368,34 @@ def linked_spans(spark, d):
     )
 
 
+# Three populations; some starts are missing, some care-team spans have no length.
+NETWORK = LINKED + """, nw AS (
+  SELECT o_custkey, CASE WHEN o_custkey % 11 > 0 THEN start_date END AS s1, end_date AS e1, start2 AS s2, end2 AS e2,
+    CAST(date_trunc('month', start_date) AS DATE) AS s3, CAST(date_trunc('month', start_date) AS DATE) + CAST(o_custkey % 4 * 200 AS INTEGER) AS e3 FROM lk),
+vs AS (
+  SELECT months.month, o_custkey FROM nw JOIN months ON month >= s1 AND month >= s2
+  WHERE (month <= e1 OR e1 IS NULL) AND (month <= e2 OR e2 IS NULL)
+  UNION SELECT months.month, o_custkey FROM nw JOIN months ON month >= s3 AND month <= e3 WHERE e3 > s3
+  UNION SELECT months.month, o_custkey FROM nw JOIN months ON month >= s1 WHERE month <= e2 AND o_custkey % 5 = 0)"""
+
+
 @query("snapshot_valid_span", f"""
-WITH {LINKED}, {fx.MONTHS}, {fx.SITES} SELECT months.month, site, count(DISTINCT o_custkey) AS members
-FROM lk JOIN months ON month >= start_date AND month >= start2 JOIN sites ON o_custkey = c_custkey
-WHERE (month <= end_date OR end_date IS NULL) AND (month <= end2 OR end2 IS NULL) GROUP BY 1, 2""")
+WITH {fx.MONTHS}, {NETWORK}, {fx.SITES} SELECT vs.month, site, count(DISTINCT o_custkey) AS members
+FROM vs JOIN sites ON o_custkey = c_custkey GROUP BY 1, 2""")
 def snapshot_valid_span(spark, d):
-    members = linked_spans(spark, d).join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
-    valid = population.valid_members(
-        members.select("o_custkey", "site", "start_date", "start2", "end_date", "end2"),
-        ["start_date", "start2"], ["end_date", "end2"], *bounds(),
+    team = F.trunc("start_date", "MM")
+    spans = linked_spans(spark, d).select(
+        "o_custkey", F.when(F.col("o_custkey") % 11 > 0, F.col("start_date")).alias("s1"), F.col("end_date").alias("e1"),
+        F.col("start2").alias("s2"), F.col("end2").alias("e2"), team.alias("s3"),
+        F.date_add(team, (F.col("o_custkey") % 4 * 200).cast("int")).alias("e3"),
     )
+    populations = [
+        population.valid_members(spans, ["s1", "s2"], ["e1", "e2"], *bounds()),
+        population.valid_members(spans, ["s3"], ["e3"], *bounds(), some_length=[("s3", "e3")]),
+        population.valid_members(spans.filter("o_custkey % 5 = 0 AND e2 IS NOT NULL"), ["s1"], ["e2"], *bounds()),
+    ]
+    members = population.any_population(populations, ["month", "o_custkey"])
+    valid = members.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
     return valid.groupBy("month", "site").agg(F.countDistinct("o_custkey").alias("members"))
 
 
@@ -385,82 +415,135 @@ def eligibility_flag(spark, d):
 # ---------------------------------------------------------------- reconciliation
 
 
-@query("classify_encounter", """
-SELECT measure, CAST(src AS DOUBLE) AS source, count(*) AS n FROM (
-  SELECT CASE WHEN o_orderstatus = 'F' AND coalesce(seg, '') <> 'FURNITURE' THEN 'Inpatient Admissions'
-    WHEN o_orderpriority LIKE '1-%' AND NOT coalesce(seg IN ('MACHINERY', 'HOUSEHOLD'), FALSE) THEN 'ED Visits (Discharged)' END AS measure,
+ENCOUNTERS = """enc AS (
+  SELECT o_orderkey AS k, CASE WHEN o_orderkey % 9 = 0 THEN -2 ELSE o_orderkey % 5 END AS type_category,
+    CASE WHEN o_orderkey % 2 = 0 THEN 'Hospital Encounter' END AS encounter_type,
+    CASE WHEN o_orderkey % 7 > 0 THEN CAST(o_orderkey % 6 = 0 AS INTEGER) END AS is_outpatient,
+    CASE WHEN o_custkey % 5 > 0 THEN CAST(o_custkey % 3 = 0 AS INTEGER) END AS is_admission,
+    CASE o_custkey % 4 WHEN 0 THEN 'Observation' WHEN 1 THEN 'Inpatient Encounter' WHEN 2 THEN 'Day' END AS patient_class,
+    CASE WHEN o_custkey % 6 > 0 THEN o_custkey % 8 END AS class_category,
+    CASE WHEN o_orderkey % 13 = 0 THEN 'Expired' WHEN o_orderkey % 4 = 0 THEN 'Home' END AS disposition,
+    CASE WHEN o_orderpriority LIKE '1-%' THEN 'Elective' WHEN o_orderpriority LIKE '2-%' THEN 'Urgent' END AS admission_type,
+    CASE WHEN o_orderkey % 11 > 0 THEN CAST(o_orderstatus = 'F' AS INTEGER) END AS is_ed,
+    CASE WHEN o_custkey % 7 > 0 THEN CAST(o_custkey % 10 = 0 AS INTEGER) END AS has_following_admission,
+    CASE WHEN o_orderkey % 10 = 3 THEN 'Observation' END AS message_type,
+    CAST(o_orderkey % 3 = 0 AS INTEGER) AS f1, CAST(o_orderkey % 4 >= 2 AS INTEGER) AS f2,
+    CAST(o_orderkey % 3 > 0 AS INTEGER) AS f3, CAST(o_orderkey % 8 >= 6 AS INTEGER) AS f4 FROM orders)"""
+
+
+def encounters(spark, d):
+    """Orders with the columns of an encounter, many of them missing at times."""
+    order, cust = F.col("o_orderkey"), F.col("o_custkey")
+    flag = lambda known, holds: F.when(known, holds.cast("int"))
+    return fx.t(spark, d, "orders").select(
+        order.alias("k"), F.when(order % 9 == 0, -2).otherwise(order % 5).alias("type_category"),
+        F.when(order % 2 == 0, "Hospital Encounter").alias("encounter_type"),
+        flag(order % 7 > 0, order % 6 == 0).alias("is_outpatient"), flag(cust % 5 > 0, cust % 3 == 0).alias("is_admission"),
+        F.when(cust % 4 == 0, "Observation").when(cust % 4 == 1, "Inpatient Encounter").when(cust % 4 == 2, "Day").alias("patient_class"),
+        F.when(cust % 6 > 0, cust % 8).alias("class_category"),
+        F.when(order % 13 == 0, "Expired").when(order % 4 == 0, "Home").alias("disposition"),
+        F.when(F.col("o_orderpriority").startswith("1-"), "Elective").when(F.col("o_orderpriority").startswith("2-"), "Urgent").alias("admission_type"),
+        flag(order % 11 > 0, F.col("o_orderstatus") == "F").alias("is_ed"),
+        flag(cust % 7 > 0, cust % 10 == 0).alias("has_following_admission"),
+        F.when(order % 10 == 3, "Observation").alias("message_type"),
+        (order % 3 == 0).cast("int").alias("f1"), (order % 4 >= 2).cast("int").alias("f2"),
+        (order % 3 > 0).cast("int").alias("f3"), (order % 8 >= 6).cast("int").alias("f4"),
+    )
+
+
+@query("classify_encounter", f"""
+WITH {ENCOUNTERS}, ruled AS (SELECT *, CASE
+  WHEN (type_category IN (1, 2) OR (type_category = -2 AND encounter_type = 'Hospital Encounter'))
+    AND coalesce(is_outpatient, 0) <> 1 AND (is_admission = 1 OR patient_class = 'Observation')
+    AND coalesce(disposition, '') <> 'Expired' THEN 'Inpatient Admissions'
+  WHEN (type_category IN (2, 3) OR (type_category = -2 AND encounter_type = 'Hospital Encounter'))
+    AND (class_category IS NULL OR class_category NOT IN (5, 6)) AND (admission_type IS NULL OR admission_type NOT IN ('Elective', 'Routine Elective'))
+    AND is_ed = 1 AND (is_admission IS NULL OR is_admission = 0) AND (has_following_admission IS NULL OR has_following_admission = 0)
+    AND (message_type IS NULL OR message_type NOT IN ('Observation', 'Inpatient Encounter'))
+    AND (patient_class IS NULL OR patient_class NOT IN ('Observation', 'Inpatient Encounter')) THEN 'ED Visits (Discharged)' END AS measure,
   CASE WHEN f1 = 1 AND f2 = 0 AND f3 = 0 AND f4 = 0 THEN 1 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 1 THEN 2
-    WHEN f1 = 0 AND f2 = 0 AND f3 = 1 AND f4 = 0 THEN 3 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 0 THEN 4 END AS src
-  FROM (SELECT o_orderstatus, o_orderpriority, nullif(c_mktsegment, 'BUILDING') AS seg,
-      CAST(o_orderkey % 3 = 0 AS INTEGER) AS f1, CAST(o_orderkey % 4 >= 2 AS INTEGER) AS f2,
-      CAST(o_orderkey % 3 > 0 AS INTEGER) AS f3, CAST(o_orderkey % 8 >= 6 AS INTEGER) AS f4
-    FROM orders JOIN customer ON o_custkey = c_custkey)) WHERE measure IS NOT NULL GROUP BY 1, 2""")
+    WHEN f1 = 0 AND f2 = 0 AND f3 = 1 AND f4 = 0 THEN 3 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 0 THEN 4 END AS src FROM enc)
+SELECT k, measure, CAST(src AS DOUBLE) AS source FROM ruled WHERE measure IS NOT NULL""")
 def classify_encounter(spark, d):
-    key = F.col("o_orderkey")
-    o = fx.t(spark, d, "orders").withColumns(
-        {
-            "f1": (key % 3 == 0).cast("int"), "f2": (key % 4 >= 2).cast("int"),
-            "f3": (key % 3 > 0).cast("int"), "f4": (key % 8 >= 6).cast("int"),
-        }
-    )
+    lists = reconcile.EncounterLists(inpatient_types=[1, 2], ed_types=[2, 3], untyped=-2, excluded_classes=[5, 6])
     source = reconcile.source_class(F.col("f1"), F.col("f2"), F.col("f3"), F.col("f4"))
-    combined = o.groupBy("o_custkey", "o_orderstatus", "o_orderpriority", source.cast("double").alias("source")).agg(F.count("*").alias("k"))
-    enc = combined.join(fx.t(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).withColumn(
-        "seg", F.nullif(F.col("c_mktsegment"), F.lit("BUILDING"))
-    )
-    seg = F.col("seg")
-    rules = [
-        ((F.col("o_orderstatus") == "F") & (F.coalesce(seg, F.lit("")) != "FURNITURE"), reconcile.INPATIENT),
-        (
-            F.col("o_orderpriority").startswith("1-") & ~F.coalesce(seg.isin("MACHINERY", "HOUSEHOLD"), F.lit(False)),
-            reconcile.ED,
-        ),
-    ]
-    return reconcile.classify(enc, rules).groupBy("measure", "source").agg(F.sum("k").alias("n"))
+    ruled = reconcile.classify(encounters(spark, d), reconcile.encounter_rules(lists))
+    return ruled.select("k", "measure", source.cast("double").alias("source"))
 
 
-CODES = """lines AS (
-  SELECT l_orderkey, CAST(l_returnflag = 'A' AS INTEGER) AS admitted, CASE l_partkey % 12
-    WHEN 0 THEN '0456' WHEN 1 THEN '0450' WHEN 2 THEN '0981' WHEN 3 THEN '0762' WHEN 4 THEN '0120' WHEN 5 THEN '0180'
-    WHEN 6 THEN '0210' WHEN 7 THEN '1001' ELSE '0300' END AS code FROM lineitem)"""
+# Codes of two to five characters and missing ones among the usual four.
+CODE_OF = ("0456", "0450", "0981", "0762", "0120", "0180", "0210", "1001", "0300", "04512", "045", "01", "012", "04561", None, "0760")
+CODES = f"""lines AS (
+  SELECT l_orderkey, CAST(l_returnflag = 'A' AS INTEGER) AS admitted, CASE l_partkey % {len(CODE_OF)}
+    {" ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(CODE_OF) if c)} END AS code FROM lineitem)"""
 
 
 def claim_lines(spark, d):
-    # revenue codes by remainder of the part key; other remainders carry an unclassified code
-    codes = ["0456", "0450", "0981", "0762", "0120", "0180", "0210", "1001", "0300", "0300", "0300", "0300"]
-    pick = F.element_at(F.array(*[F.lit(c) for c in codes]), (F.col("l_partkey") % 12 + 1).cast("int"))
+    pick = F.element_at(F.array(*[F.lit(c) for c in CODE_OF]), (F.col("l_partkey") % len(CODE_OF) + 1).cast("int"))
     return fx.t(spark, d, "lineitem").select(
         "l_orderkey", (F.col("l_returnflag") == "A").cast("int").alias("is_admission"), pick.alias("code")
     )
 
 
 @query("classify_claim_lines", f"""
-WITH {CODES}, cl AS (SELECT l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS urgent,
-  max(CAST(code = '0981' OR (code LIKE '045%' AND code <> '0456') AS INTEGER)) AS emergency,
+WITH {CODES}, cl AS (SELECT 'mapped' AS form, l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS urgent,
+  max(CAST(code = '0981' OR (code LIKE '045%' AND code NOT LIKE '0456%') AS INTEGER)) AS emergency,
   max(CAST(code IN ('0760', '0762', '0769') AS INTEGER)) AS observation,
   max(CAST((code LIKE '01%' AND code NOT LIKE '018%') OR code LIKE '020%' OR code LIKE '021%' OR code IN ('1000', '1001', '1002') AS INTEGER)) AS inpatient,
-  max(admitted) AS admitted FROM lines GROUP BY 1)
-SELECT * FROM (SELECT *, CASE WHEN (observation = 1 OR inpatient = 1) AND emergency = 0 AND urgent = 0 THEN 'Inpatient Admissions'
+  max(admitted) AS admitted FROM lines GROUP BY 2
+UNION ALL SELECT 'unmapped', l_orderkey, max(CAST(code = '0456' AS INTEGER)),
+  max(CAST(code = '0981' OR regexp_full_match(code, '045[^6]') AS INTEGER)), max(CAST(code IN ('0760', '0762', '0769') AS INTEGER)),
+  max(CAST(regexp_full_match(code, '01[^8].*') OR regexp_full_match(code, '02[01].*') OR code IN ('1000', '1001', '1002') AS INTEGER)), 0
+  FROM lines GROUP BY 2)
+SELECT form, l_orderkey, coalesce(urgent, 0) AS urgent, coalesce(emergency, 0) AS emergency, coalesce(observation, 0) AS observation,
+  coalesce(inpatient, 0) AS inpatient, admitted, measure FROM (SELECT *, CASE
+  WHEN (observation = 1 OR inpatient = 1) AND emergency = 0 AND urgent = 0 THEN 'Inpatient Admissions'
   WHEN emergency = 1 AND urgent = 0 AND observation = 0 AND inpatient = 0 AND admitted = 0 THEN 'ED Visits (Discharged)' END AS measure
   FROM cl) WHERE measure IS NOT NULL""")
 def classify_claim_lines(spark, d):
-    return reconcile.claim_class(claim_lines(spark, d), ["l_orderkey"], "code", F.col("is_admission"))
-
-
-@query("unmatched_claims", """
-WITH mapped AS (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F'),
-rep AS (SELECT o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, nullif(o_orderpriority, '5-LOW') AS code
-        FROM orders WHERE o_orderstatus = 'F')
-SELECT o_orderkey, o_custkey, CAST(date_trunc('month', o_orderdate) AS DATE) AS month, nullif(o_orderpriority, '5-LOW') AS code
-FROM orders o WHERE NOT EXISTS (SELECT 1 FROM mapped WHERE l_orderkey = o_orderkey) AND NOT EXISTS (
-  SELECT 1 FROM rep WHERE rep.o_custkey = o.o_custkey AND rep.month = date_trunc('month', o.o_orderdate)
-    AND rep.code IS NOT DISTINCT FROM nullif(o.o_orderpriority, '5-LOW'))""")
+    """Claims mapped to an encounter, whose admission flag counts, and unmapped ones."""
+    lines = claim_lines(spark, d)
+    mapped = reconcile.claim_class(lines, ["l_orderkey"], "code", F.col("is_admission"))
+    unmapped = reconcile.claim_class(lines, ["l_orderkey"], "code", classes=reconcile.UNMAPPED_REVENUE_CLASS)
+    return mapped.withColumn("form", F.lit("mapped")).unionByName(unmapped.withColumn("form", F.lit("unmapped")))
+
+
+# A claim is an order from its date to that of its last line; birth dates make some subjects adult.
+CLAIMS = fx.ORDERS + """, last_line AS (SELECT l_orderkey, CAST(max(l_shipdate) AS DATE) AS end_date FROM lineitem GROUP BY 1),
+claims AS (
+  SELECT o_orderkey, o_custkey, o_date AS start_date, CASE WHEN end_date > o_date THEN least(end_date, o_date + 40) ELSE o_date END AS end_date,
+    nullif(o_orderpriority, '5-LOW') AS code, DATE '1978-06-15' + CAST(o_custkey % 9000 * 3 % 9000 AS INTEGER) AS birth, o_orderstatus, month
+  FROM orders_d LEFT JOIN last_line ON l_orderkey = o_orderkey)"""
+
+
+@query("unmatched_claims", f"""
+WITH {CLAIMS}, mapped AS (SELECT l_orderkey FROM lineitem WHERE l_linestatus = 'F' AND l_quantity > 45),
+pop AS (SELECT DISTINCT o_custkey, month FROM claims WHERE o_custkey % 3 > 0),
+rep AS (SELECT o_custkey, start_date, end_date, code FROM claims WHERE o_orderkey % 4 = 0)
+SELECT c.month, c.o_custkey, c.o_orderkey, c.start_date, c.end_date, c.code FROM claims c JOIN pop ON pop.o_custkey = c.o_custkey AND pop.month = c.month
+WHERE end_date <= last_day(c.month) AND code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+  AND date_diff('year', birth, start_date) - CAST(month(start_date) < month(birth) OR (month(start_date) = month(birth) AND day(start_date) < day(birth)) AS INTEGER) < 18
+  AND NOT EXISTS (SELECT 1 FROM mapped WHERE l_orderkey = o_orderkey)
+  AND NOT EXISTS (SELECT 1 FROM rep WHERE rep.o_custkey = c.o_custkey AND rep.start_date = c.start_date AND rep.end_date = c.end_date
+    AND rep.code IS NOT DISTINCT FROM c.code)
+QUALIFY row_number() OVER (PARTITION BY c.month, c.o_custkey, c.code ORDER BY c.start_date, c.o_orderkey) = 1""")
 def unmatched_claims(spark, d):
-    o = fx.orders(spark, d).withColumn("code", F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")))
-    claims = o.select("o_orderkey", "o_custkey", "month", "code")
-    mapped = fx.t(spark, d, "lineitem").filter("l_linestatus = 'F'").select(F.col("l_orderkey").alias("o_orderkey"))
-    reported = o.filter("o_orderstatus = 'F'")
-    return reconcile.unmatched(claims, mapped, ["o_orderkey"], reported, ["o_custkey", "month", "code"])
+    last = fx.t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.to_date(F.max("l_shipdate")).alias("shipped"))
+    claims = fx.orders(spark, d).join(last, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+        "o_orderkey", "o_custkey", F.col("o_date").alias("start_date"),
+        F.greatest(F.when(F.col("shipped").isNotNull(), F.least("shipped", F.date_add("o_date", 40))), "o_date").alias("end_date"),
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("code"),
+        F.date_add(dates.day("1978-06-15"), (F.col("o_custkey") % 9000 * 3 % 9000).cast("int")).alias("birth"),
+    )
+    mapped = fx.t(spark, d, "lineitem").filter("l_linestatus = 'F' AND l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
+    pop = fx.orders(spark, d).filter("o_custkey % 3 > 0").select("o_custkey", "month")
+    values = spark.createDataFrame([("1-URGENT",), ("2-HIGH",), ("3-MEDIUM",)], "code string")
+    found = reconcile.unmatched_in_population(
+        claims, mapped, ["o_orderkey"], claims.filter("o_orderkey % 4 = 0"), ["o_custkey", "start_date", "end_date", "code"],
+        pop, values, "o_custkey", "code", "start_date", "end_date", "birth",
+        ["month", "o_custkey", "code"], [F.col("start_date"), F.col("o_orderkey")],
+    )
+    return found.select("month", "o_custkey", "o_orderkey", "start_date", "end_date", "code")
 
 
 SOURCE_NUMBER = {"purchase": 1.0, "signup": 2.0, "click": 2.1, "view": 3.0, "error": 4.0}

@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.session import tune
+from tallyloom.session import check_settings
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -20,7 +20,8 @@ def query(name: str, sql: str | None = None):
 
         @wraps(fn)
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return fn(tune(spark), folder)
+            check_settings(spark)
+            return fn(spark, folder)
 
         QUERIES[name] = run
         if sql is not None:

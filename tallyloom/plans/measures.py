@@ -21,11 +21,16 @@ def event_measure(
 
 
 def events_after_first(
-    events: DataFrame, scores: DataFrame, keys: Sequence[str], date: str, score_date: str
+    events: DataFrame, scores: DataFrame, first_keys: Sequence[str], match_keys: Sequence[str], date: str, score_date: str
 ) -> DataFrame:
-    """Events strictly after the subject's first score at that site."""
-    first = scores.groupBy(*keys).agg(F.min(score_date).alias("first_score"))
-    return joins.null_safe_join(events, first, keys).filter(F.col(date) > F.col("first_score"))
+    """Events strictly after the subject's first score at that site.
+
+    ``first_keys`` say whose scores compete for being the first; ``match_keys``, which may hold
+    more (an attribution flag), have to agree with a row of that first day.
+    """
+    first = groups.keep_extreme(scores, first_keys, score_date, largest=False)
+    first = first.select(*match_keys, F.col(score_date).alias("first_score")).distinct()
+    return joins.null_safe_join(events, first, match_keys).filter(F.col(date) > F.col("first_score"))
 
 
 def site_and_network_rates(

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators import groups, joins, windows
+from tallyloom.operators import groups, joins, setops, windows
 
 
 def latest_member(
@@ -34,27 +34,47 @@ def latest_member(
 
 
 def active_members(
-    events: DataFrame, member: Sequence[str], date: str, first: Column, last: Column, days: int = 30
+    events: DataFrame, member: Sequence[str], date: str, first: Column, last: Column, days: int = 30,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """Per index month, members with an event in the trailing days, and its latest date."""
-    by_month = events.groupBy(*member, F.trunc(date, "MM").alias("__m")).agg(F.max(date).alias(date))
+    """Per index month, members with an event in the trailing days, and its latest date.
+
+    ``carry`` names attributes of the latest event; events of the same day that differ in them
+    are rows of their own.
+    """
+    by_month = events.select(*member, date, *carry, F.trunc(date, "MM").alias("__m"))
+    if carry:
+        by_month = groups.keep_extreme(by_month, [*member, "__m"], date).distinct()
+    else:
+        by_month = by_month.groupBy(*member, "__m").agg(F.max(date).alias(date))
     reach = F.date_add(date, days - 1)
-    expanded = joins.expand_months(by_month, F.col(date), reach, first, last)
-    return (
-        expanded.filter(F.last_day("month") <= reach)
-        .groupBy("month", *member)
-        .agg(F.max(date).alias(date))
-    )
+    expanded = joins.expand_months(by_month, F.col(date), reach, first, last).filter(F.last_day("month") <= reach)
+    if carry:
+        return groups.keep_extreme(expanded.drop("__m"), ["month", *member], date)
+    return expanded.groupBy("month", *member).agg(F.max(date).alias(date))
 
 
 def valid_members(
-    df: DataFrame, starts: Sequence[str], ends: Sequence[str], first: Column, last: Column
+    df: DataFrame, starts: Sequence[str], ends: Sequence[str], first: Column, last: Column,
+    some_length: Sequence[tuple[str, str]] = (),
 ) -> DataFrame:
-    """Per index month, rows whose spans all cover the month start; a NULL end is open."""
+    """Per index month, rows whose spans all cover the month start; a NULL end is open.
+
+    A row with a missing start is never valid. The spans (start, end) of ``some_length`` must
+    end after they start.
+    """
+    usable = df.dropna(subset=list(starts))
+    for start, end in some_length:
+        usable = usable.filter(F.col(end).isNull() | (F.col(end) > F.col(start)))
     latest_start = F.greatest(*starts) if len(starts) > 1 else F.col(starts[0])
     earliest_end = F.least(*ends) if len(ends) > 1 else F.col(ends[0])
     whole_from = F.add_months(F.trunc(F.date_sub(latest_start, 1), "MM"), 1)
-    return joins.expand_months(df, whole_from, earliest_end, first, last)
+    return joins.expand_months(usable, whole_from, earliest_end, first, last)
+
+
+def any_population(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
+    """Members of at least one of several populations, each key once."""
+    return setops.append(*[f.select(*keys) for f in frames]).distinct()
 
 
 def eligibility_flag(

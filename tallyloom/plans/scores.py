@@ -12,15 +12,19 @@ from tallyloom.operators import groups
 
 
 def preferred(
-    visits: DataFrame, self_scores: DataFrame, staff_scores: DataFrame, keys: Sequence[str], order: Sequence[Column]
+    visits: DataFrame, self_scores: DataFrame, staff_scores: DataFrame, keys: Sequence[str], order: Sequence[Column],
+    per: Sequence[str] | None = None,
 ) -> DataFrame:
     """One visit row per key with the staff score, else the self-reported one.
 
+    Scores are joined before a row is picked, so ``order`` may name them. ``per`` says for what
+    one row stays, where that is less than the keys of the join.
+
     Score frames are ``keys + (self_score, self_owner)`` and
     ``keys + (staff_score, staff_owner)``; ``order`` picks the visit row.
     """
     joined = visits.join(self_scores, list(keys), "left").join(staff_scores, list(keys), "left")
-    first = groups.head_per(joined, keys, order)
+    first = groups.head_per(joined, per or keys, order)
     return first.withColumns(
         {
             "score": F.coalesce("staff_score", "self_score"),

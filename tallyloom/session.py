@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
+import warnings
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +40,13 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def check_settings(spark: SparkSession) -> None:
+    """Dates and months depend on the time zone; a caller's session is checked, not changed."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "Z", "+00:00", "GMT"):
+        warnings.warn(f"session time zone is {zone}: set spark.sql.session.timeZone to UTC or use session.tune", stacklevel=3)
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in spark.checkpoint.dir.
 

@@ -96,4 +96,30 @@ def test_network_recount_differs_from_site_sums(frame):
 def test_events_strictly_after_the_first_score(frame):
     ev = frame("k int, f int, d date", (1, None, "2024-01-05"), (1, None, "2024-01-06"), (1, 1, "2024-02-01"))
     sc = frame("k int, f int, sd date", (1, None, "2024-01-05"), (1, None, "2024-01-09"))
-    assert rows(measures.events_after_first(ev, sc, ["k", "f"], "d", "sd"), "d") == [("2024-01-06",)]
+    assert rows(measures.events_after_first(ev, sc, ["k"], ["k", "f"], "d", "sd"), "d") == [("2024-01-06",)]
+
+
+def test_only_the_first_score_s_flag_can_match(frame):
+    ev = frame("k int, f string, d date", (1, "B", "2024-01-20"), (1, "A", "2024-01-20"))
+    sc = frame("k int, f string, sd date", (1, "A", "2024-01-05"), (1, "B", "2024-01-10"))
+    assert rows(measures.events_after_first(ev, sc, ["k"], ["k", "f"], "d", "sd"), "f") == [("A",)]
+
+
+def test_valid_members_need_every_start_and_some_length(frame):
+    df = frame("m int, s date, e date, t date", (1, None, None, "2024-01-01"), (2, "2024-01-01", "2024-01-01", "2024-01-01"),
+               (3, "2024-01-01", "2024-02-01", "2024-01-01"))
+    got = population.valid_members(df, ["s", "t"], ["e"], *bounds(), some_length=[("s", "e")])
+    assert {m for m, in rows(got, "m")} == {3}
+
+
+def test_active_members_carry_the_latest_event(frame):
+    df = frame("m int, d date, site string", (1, "2024-01-10", "a"), (1, "2024-01-20", "b"), (1, "2024-01-20", "c"))
+    got = population.active_members(df, ["m"], "d", *bounds(), carry=["site"])
+    assert {s for s, in rows(got.filter("month = '2024-01-01'"), "site")} == {"b", "c"}
+
+
+def test_code_classes_of_unmapped_claims(frame):
+    lines = frame("claim int, c string", *enumerate(["0451", "045", "04512", "0456", "01", "012", "018", None]))
+    got = reconcile.line_flags(lines, "c", reconcile.UNMAPPED_REVENUE_CLASS)
+    assert [r.claim for r in got.filter("emergency = 1").collect()] == [0]
+    assert [r.claim for r in got.filter("inpatient = 1").collect()] == [5]
