@@ -623,8 +623,9 @@ enc AS (SELECT o_orderkey AS encounter, o_custkey AS subject, o_date AS day, o_o
     CASE o_orderstatus WHEN 'F' THEN 'Inpatient Admissions' WHEN 'O' THEN 'ED Visits (Discharged)' END AS measure FROM orders_d),
 clm AS (SELECT l_orderkey, CASE WHEN (obs = 1 OR ip = 1) AND ed = 0 AND uc = 0 THEN 'Inpatient Admissions'
     WHEN ed = 1 AND uc = 0 AND obs = 0 AND ip = 0 AND adm = 0 THEN 'ED Visits (Discharged)' END AS claim_measure
-  FROM (SELECT l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS uc, max(CAST(code IN ('0981', '0450') AS INTEGER)) AS ed,
-      max(CAST(code = '0762' AS INTEGER)) AS obs, max(CAST(code IN ('0120', '0210', '1001') AS INTEGER)) AS ip, max(admitted) AS adm
+  FROM (SELECT l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS uc, max(CAST(code = '0981' OR (code LIKE '045%' AND code NOT LIKE '0456%') AS INTEGER)) AS ed,
+      max(CAST(code IN ('0760', '0762', '0769') AS INTEGER)) AS obs,
+      max(CAST((code LIKE '01%' AND code NOT LIKE '018%') OR code LIKE '020%' OR code LIKE '021%' OR code IN ('1000', '1001', '1002') AS INTEGER)) AS ip, max(admitted) AS adm
     FROM lines GROUP BY 1)),
 src AS (SELECT encounter, subject, day, dx, source, measure FROM enc WHERE measure IS NOT NULL
   UNION ALL SELECT encounter, subject, day, dx, 2, claim_measure FROM enc JOIN clm ON l_orderkey = encounter WHERE claim_measure IS NOT NULL),
