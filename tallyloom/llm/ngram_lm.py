@@ -146,31 +146,36 @@ class Trie:
             out[part] = c.access(at + 1) - c.access(at)
         return out
 
-    def children(self, level: int, contexts: np.ndarray, successors: np.ndarray):
+    def children(self, level: int, contexts: np.ndarray, successors: np.ndarray, probabilities: bool = True):
         """For contexts (sorted) and successors: id or -1, alpha, context weight, first child's id."""
         codes = of_code()
         ids, alpha = np.full(len(contexts), -1, np.int64), np.zeros(len(contexts))
         weight, begin = np.ones(len(contexts)), np.zeros(len(contexts), np.int64)
         for i, part in self.by_shard(level, contexts.astype(np.uint64)):
             s, base = self.shard(level, i), self.levels[level - 1][1][i]
-            local = contexts[part] - s["head"]["first"]
+            # what depends on the context alone is read once for each
+            new = np.diff(contexts[part], prepend=-1) > 0
+            local = contexts[part][new] - s["head"]["first"]
             inside = local < s["head"]["contexts"]
             local = np.where(inside, local, 0)
             a, b = s["starts"].access(local), s["starts"].access(local + 1)
             some = inside & (a < b)
             prefix = np.where(a > 0, s["keys"].access(np.maximum(a - 1, 0)), 0)
-            want = prefix + successors[part] + 1
-            may = some & (successors[part] >= 0) & (want <= s["head"]["last"])
-            at = np.full(len(local), -1, np.int64)
-            at[may] = s["keys"].find(want[may])
-            hit = (at >= a) & (at < b) & may
-            ids[part] = np.where(hit, at + base, -1)
-            alpha[part] = np.where(hit, codes[s["arrays"]["alpha"][np.where(hit, at, 0)]], 0)
-            weight[part] = np.where(some, codes[s["arrays"]["weight"][local]], 1)
-            begin[part] = a + base
+            of = np.cumsum(new) - 1
+            if probabilities:
+                weight[part] = np.where(some, codes[s["arrays"]["weight"][local]], 1)[of]
+            begin[part] = a[of] + base
+            want = prefix[of] + successors[part] + 1
+            may = np.flatnonzero(some[of] & (successors[part] >= 0) & (want <= s["head"]["last"]))
+            at = s["keys"].find(want[may])
+            hit = (at >= a[of[may]]) & (at < b[of[may]])
+            may, at = may[hit] + part.start, at[hit]
+            ids[may] = at + base
+            if probabilities:
+                alpha[may] = codes[s["arrays"]["alpha"][at]]
         return ids, alpha, weight, begin
 
-    def look_up(self, level: int, contexts: np.ndarray, successors: np.ndarray):
+    def look_up(self, level: int, contexts: np.ndarray, successors: np.ndarray, probabilities: bool = True):
         """`children` for contexts in any order with repeats; a context of -1 has none."""
         known = np.flatnonzero(contexts >= 0)
         ids, alpha = np.full(len(contexts), -1, np.int64), np.zeros(len(contexts))
@@ -178,11 +183,11 @@ class Trie:
         if len(known):
             span = int(successors.max(initial=0)) + 2
             both, back = np.unique(contexts[known] * span + successors[known] + 1, return_inverse=True)
-            for out, found in zip((ids, alpha, weight, begin), self.children(level, both // span, both % span - 1)):
+            for out, found in zip((ids, alpha, weight, begin), self.children(level, both // span, both % span - 1, probabilities)):
                 out[known] = found[back]
         return ids, alpha, weight, begin
 
-    def walk(self, hashes: np.ndarray, starts: np.ndarray, levels: int):
+    def walk(self, hashes: np.ndarray, starts: np.ndarray, levels: int, probabilities: bool = True):
         """Per level k the ids of the k-grams that end at each token, -1 if unknown or cut off.
 
         Also the contexts and successors looked for, and what was found of probabilities.
@@ -197,7 +202,7 @@ class Trie:
         relative = ids
         for level in range(2, levels + 1):
             contexts = np.where(inside, np.concatenate([[-1], before[:-1]]), -1)
-            found = self.look_up(level, contexts, relative) if level <= len(self.levels) else None
+            found = self.look_up(level, contexts, relative, probabilities) if level <= len(self.levels) else None
             yield level, contexts, relative, found
             if found is None:
                 return
@@ -313,7 +318,7 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
 
         def counter(batches: Iterator[pa.RecordBatch], level=level, per=per, span=span) -> Iterator[pa.RecordBatch]:
             def keys_of(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-                for at in trie.walk(hashes, starts, level):
+                for at in trie.walk(hashes, starts, level, False):
                     if at[0] == level:
                         contexts, successors = at[1], at[2]
                 ok = (contexts >= 0) & (successors >= 0)
