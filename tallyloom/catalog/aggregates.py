@@ -231,12 +231,12 @@ def pivot_rownum(spark, d):
 
 
 @query("fn_recode_map", f"""
-WITH {fx.counts_sql()} SELECT CASE site WHEN 'NATION_0' THEN 'Best Point' WHEN 'NATION_3' THEN 'Best Point'
+WITH {fx.counts_sql()} SELECT CASE site WHEN 'NATION_0' THEN 'Hilltop' WHEN 'NATION_3' THEN 'Hilltop'
     WHEN 'NATION_7' THEN 'Seven' ELSE CASE WHEN site LIKE 'NATION_1%' THEN 'Group ' || site ELSE site END END AS site,
   CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY 1""")
 def fn_recode_map(spark, d):
     mapping = tables.params(
-        spark, [("NATION_0", "Best Point"), ("NATION_3", "Best Point"), ("NATION_7", "Seven")], "site string, mapped string"
+        spark, [("NATION_0", "Hilltop"), ("NATION_3", "Hilltop"), ("NATION_7", "Seven")], "site string, mapped string"
     )
     named = fx.counts(spark, d).join(mapping, "site", "left")
     prefixed = F.when(F.col("site").startswith("NATION_1"), F.concat(F.lit("Group "), "site"))

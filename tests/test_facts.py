@@ -9,12 +9,12 @@ ED, IP = reconcile.ED, reconcile.INPATIENT
 
 def test_attribution_by_date_and_flag(spark, frame):
     rules = spark.createDataFrame(
-        [("a", "s1", "2024-03-09", None), ("b", "s1", None, 968), ("c", "s2", None, None)],
+        [("a", "s1", "2023-07-02", None), ("b", "s1", None, 77), ("c", "s2", None, None)],
         "member string, site string, valid_to string, flag int",
     )
     df = frame(
         "id int, who string, d date, dept int",
-        (1, "a", "2024-03-08", 1), (2, "a", "2024-03-09", 1), (3, "b", "2024-01-01", 968), (4, "b", "2024-01-01", 5), (5, "c", "2025-01-01", 5), (6, "x", "2024-01-01", 968),
+        (1, "a", "2023-07-01", 1), (2, "a", "2023-07-02", 1), (3, "b", "2024-01-01", 77), (4, "b", "2024-01-01", 5), (5, "c", "2025-01-01", 5), (6, "x", "2024-01-01", 77),
     )
     got = facts.attributed(df, rules, "who", "d", "dept")
     assert rows(got, "id", "site") == [(1, "s1"), (3, "s1"), (5, "s2")]

@@ -18,14 +18,14 @@ def test_sheet_types_are_forced(spark, tmp_path):
 
 
 def test_folder_and_file_names(spark, frame, tmp_path):
-    for name in ("Butler BH 202511", "Butler BH 202512", "NewPath 202512"):
+    for name in ("North Clinic 202511", "North Clinic 202512", "Southside 202512"):
         frame("v int", (len(name),)).write.parquet(str(tmp_path / f"{name}.parquet"))
     df = tables.with_file_meta(tables.read_folder(spark, f"{tmp_path}/*.parquet").withColumn(
         "file", F.regexp_replace("file", "%20", " ")))
     assert rows(df, "site", "month", "v") == [
-        ("Butler BH", "2025-11-01", 16), ("Butler BH", "2025-12-01", 16), ("NewPath", "2025-12-01", 14),
+        ("North Clinic", "2025-11-01", 19), ("North Clinic", "2025-12-01", 19), ("Southside", "2025-12-01", 16),
     ]
-    assert rows(tables.files_from(df, ["Butler"], "2025-12-01"), "site", "month") == [("Butler BH", "2025-12-01")]
+    assert rows(tables.files_from(df, ["North"], "2025-12-01"), "site", "month") == [("North Clinic", "2025-12-01")]
 
 
 def test_file_without_month(frame):
