@@ -6,7 +6,7 @@ import numpy as np
 import xxhash
 
 _U = np.uint64
-MAX_WORDS = 500_000
+MAX_WORDS = 100_000
 
 
 def mix(x: np.ndarray) -> np.ndarray:

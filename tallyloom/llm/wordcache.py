@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 # Chunks a worker keeps (about 200 bytes each); a full cache starts anew.
-MAX_CHUNKS = 500_000
+MAX_CHUNKS = 300_000
 # Longer chunks are encoded each time.
 MAX_CHUNK_BYTES = 4096
 # Bytes of text looked up together.
@@ -80,6 +80,7 @@ def text_groups(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tupl
         if start < len(sizes):
             part = batch.slice(start)
             yield part, texts_of(part, column)
+    pa.default_memory_pool().release_unused()  # workers live on; the next task may need other memory
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
