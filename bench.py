@@ -11,7 +11,7 @@ from tallyloom import catalog
 from tallyloom.session import local_session
 
 HEADLINE = (
-    "flagship_chart", "report_series", "control_limits", "shift_rebaseline", "series_gap_fill",
+    "flagship_chart", "report_pipeline", "control_limits", "shift_rebaseline", "series_gap_fill",
     "measure_improved", "episode_build", "day_collapse", "preferred_score", "discharge_split",
     "snapshot_latest_member", "snapshot_active_30d", "snapshot_valid_span", "eligibility_flag",
     "classify_claim_lines", "unmatched_claims", "merge_sources_priority", "rate_site_network",
