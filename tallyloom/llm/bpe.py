@@ -138,7 +138,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared(("codec", tokenizer), lambda: ByteBPE(tokenizer))
         cache = shared(("bytes", tokenizer), lambda: ChunkCache(codec.encode_chunks))
-        for batch, texts in text_groups(batches, "text"):
+        for batch, texts in text_groups(batches, "text", [("codec", tokenizer), ("bytes", tokenizer)]):
             ids = cache.join([split(t) for t in texts])
             n = pa.array([len(x) // 4 for x in ids], pa.int64())
             columns = [batch.column("id"), n, pa.array(ids, pa.binary())]

@@ -177,10 +177,11 @@ def token_pieces(
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = shared(("words", tokenizer), lambda: ChunkCache(_encoder(tokenizer)))
+        key = ("words", tokenizer)
+        cache = shared(key, lambda: ChunkCache(_encoder(tokenizer)))
         end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch, texts in text_groups(batches, "text"):
+        for batch, texts in text_groups(batches, "text", [key]):
             owner, piece, ids = [], [], []
             for i, whole in enumerate(cache.join([fold(t).split() for t in texts])):
                 whole += end

@@ -5,6 +5,8 @@ from __future__ import annotations
 import numpy as np
 import xxhash
 
+from tallyloom.llm.wordcache import shared
+
 _U = np.uint64
 MAX_WORDS = 100_000
 
@@ -26,13 +28,10 @@ class WordHashes(dict):
         return value
 
 
-_hashes = WordHashes()
-
-
 def word_hashes(text: bytes) -> np.ndarray:
     """Hashes of the words of a text: A-Z in lower case, cut at ASCII white space."""
     words = text.lower().split()
-    return np.fromiter(map(_hashes.__getitem__, words), _U, len(words))
+    return np.fromiter(map(shared(("hashes",), WordHashes).__getitem__, words), _U, len(words))
 
 
 def shingle_set(text: bytes, size: int) -> np.ndarray:

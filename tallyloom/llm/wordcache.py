@@ -7,6 +7,7 @@ so each worker encodes a chunk once and then joins stored ids.
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
 
@@ -18,6 +19,8 @@ import pyarrow.compute as pc
 MAX_CHUNKS = 300_000
 # Longer chunks are encoded each time.
 MAX_CHUNK_BYTES = 4096
+# New chunks encoded together.
+ENCODE_AT_ONCE = 10_000
 # Bytes of text looked up together.
 GROUP_BYTES = 4_000_000
 
@@ -47,8 +50,10 @@ class ChunkCache:
             missing = set().union(*chunks)
         if missing:
             new = list(missing)
-            for chunk, ids in zip(new, self.encode(new)):
-                self.ids[chunk] = np.asarray(ids, "<u4").tobytes()
+            for start in range(0, len(new), ENCODE_AT_ONCE):
+                part = new[start : start + ENCODE_AT_ONCE]
+                for chunk, ids in zip(part, self.encode(part)):
+                    self.ids[chunk] = np.asarray(ids, "<u4").tobytes()
         get = self.ids.__getitem__
         out = [b"".join(map(get, c)) for c in chunks]
         for chunk in [c for c in missing if len(c) > MAX_CHUNK_BYTES]:
@@ -56,18 +61,33 @@ class ChunkCache:
         return out
 
 
-_caches: dict[tuple, ChunkCache] = {}
+_caches: dict[tuple, object] = {}
 
 
-def shared(key: tuple, make: Callable[[], ChunkCache]) -> ChunkCache:
-    """One cache per Python worker, kept from task to task."""
+def shared(key: tuple, make: Callable[[], object]):
+    """One object per Python worker, kept from task to task until a task of another kind comes."""
     if key not in _caches:
         _caches[key] = make()
     return _caches[key]
 
 
-def text_groups(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with about GROUP_BYTES of text (one row at least); null is empty."""
+def release() -> None:
+    """Free memory goes back to the system: workers live on, and the next task may need other memory."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def text_groups(
+    batches: Iterable[pa.RecordBatch], column: str, keep: Iterable[tuple] = (),
+) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """Slices of the batches with about GROUP_BYTES of text (one row at least); null is empty.
+
+    The worker drops what earlier tasks shared, but for the keys in `keep`.
+    """
+    for key in set(_caches).difference(keep):
+        del _caches[key]
     for batch in batches:
         sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
         start, total = 0, 0
@@ -80,7 +100,7 @@ def text_groups(batches: Iterable[pa.RecordBatch], column: str) -> Iterator[tupl
         if start < len(sizes):
             part = batch.slice(start)
             yield part, texts_of(part, column)
-    pa.default_memory_pool().release_unused()  # workers live on; the next task may need other memory
+    release()
 
 
 def texts_of(batch: pa.RecordBatch, column: str) -> list[bytes]:
