@@ -1,4 +1,6 @@
 """All operators' queries; importing this module registers them."""
 
-from tallyloom.llm import ann, bpe, chat, embed_dedup, license, minhash, ngram_lm, packing, pii, quality  # noqa: F401
+from tallyloom.llm import (  # noqa: F401
+    ann, bpe, chat, embed_dedup, filter_audit, license, minhash, ngram_lm, packing, pii, quality,
+)
 from tallyloom.llm.registry import ORACLE, QUERIES  # noqa: F401
