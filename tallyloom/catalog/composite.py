@@ -7,24 +7,85 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates
-from tallyloom.operators import groups, joins
+from tallyloom.operators import groups, intervals, joins
 from tallyloom.plans import episodes, facts, measures, population, reconcile, scores, utilisation
 from tallyloom.session import materialise
 
 # ---------------------------------------------------------------- simple measures
 
 
+# Billing lines carry one of two codes, charges and payments, active and not; quantities of a code may
+# add up to zero or less. Owners have two versions with a month between them.
+BILLED = """billing AS (
+  SELECT l_orderkey, CASE WHEN l_partkey % 3 = 0 THEN '90791' ELSE '90832' END AS code, CAST(l_quantity AS INTEGER) - 25 AS quantity,
+         CASE WHEN l_linestatus = 'F' THEN 'Charge' ELSE 'payment' END AS kind, CAST(l_suppkey % 10 = 0 AS INTEGER) AS inactive
+  FROM lineitem),
+owners AS (
+  SELECT k AS owner_key, v, CASE WHEN v = 1 THEN DATE '1990-01-01' ELSE DATE '1998-02-01' + CAST(k AS INTEGER) END AS valid_from,
+         CASE WHEN v = 1 THEN DATE '1997-12-31' + CAST(k AS INTEGER) END AS valid_to
+  FROM (SELECT DISTINCT s_suppkey % 10 AS k FROM supplier), (VALUES (1), (2)) x(v)),
+billed AS (
+  SELECT o_orderkey, o_custkey, o_date, month, code, quantity FROM orders_d
+  JOIN (SELECT l_orderkey, code, sum(quantity) AS quantity FROM billing
+        WHERE code = '90791' AND lower(kind) = 'charge' AND inactive = 0 GROUP BY 1, 2 HAVING sum(quantity) > 0) ON l_orderkey = o_orderkey
+  JOIN owners ON owner_key = o_orderkey % 10 AND o_date >= valid_from AND (valid_to IS NULL OR o_date <= valid_to)
+  WHERE o_orderkey > 0)"""
+
+
+def billed(spark, d):
+    """Encounters with a positive billed quantity of the intake code, whose owner is on duty that day."""
+    encounters = fx.orders(spark, d).select(
+        F.col("o_orderkey").alias("encounter"), F.col("o_custkey").alias("subject"), F.col("o_date").alias("day"),
+        (F.col("o_orderkey") % 10).alias("owner_key"),
+    )
+    billing = fx.t(spark, d, "lineitem").select(
+        F.col("l_orderkey").alias("encounter"), F.when(F.col("l_partkey") % 3 == 0, "90791").otherwise("90832").alias("code"),
+        (F.col("l_quantity").cast("int") - 25).alias("quantity"),
+        F.when(F.col("l_linestatus") == "F", "Charge").otherwise("payment").alias("transaction"),
+        (F.col("l_suppkey") % 10 == 0).cast("int").alias("inactive"),
+    )
+    keys = fx.t(spark, d, "supplier").select((F.col("s_suppkey") % 10).alias("owner_key")).distinct()
+    shift = F.col("owner_key").cast("int")
+    owners = keys.select(
+        "owner_key",
+        F.inline(
+            F.array(
+                F.struct(F.lit(1).alias("owner"), dates.day("1990-01-01").alias("valid_from"), F.date_add(dates.day("1997-12-31"), shift).alias("valid_to")),
+                F.struct(F.lit(2).alias("owner"), F.date_add(dates.day("1998-02-01"), shift).alias("valid_from"), F.lit(None).cast("date").alias("valid_to")),
+            )
+        ),
+    )
+    return facts.billed_encounters(encounters, billing, owners, ["90791"])
+
+
 @query("measure_event_count", f"""
-WITH {fx.counts_sql()}, num AS (
-  SELECT site, month, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS numerator
-  FROM orders_d JOIN sites ON o_custkey = c_custkey WHERE o_orderstatus = 'F' AND o_totalprice > 100000 GROUP BY 1, 2)
+WITH {fx.counts_sql()}, {BILLED}, num AS (
+  SELECT month, site, CAST(count(DISTINCT o_orderkey) AS DOUBLE) AS numerator
+  FROM billed JOIN sites ON o_custkey = c_custkey GROUP BY 1, 2)
 SELECT num.month, num.site, numerator, CAST(n AS DOUBLE) AS denominator
 FROM num LEFT JOIN counts c ON c.site = num.site AND c.month = num.month""")
 def measure_event_count(spark, d):
-    o = fx.orders(spark, d).filter("o_orderstatus = 'F' AND o_totalprice > 100000").select("o_custkey", "month").distinct()
-    ev = o.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+    ev = billed(spark, d).join(fx.sites(spark, d), F.col("subject") == F.col("c_custkey"))
     den = fx.counts(spark, d).select("site", "month", F.col("n").cast("double").alias("denominator"))
-    return measures.event_measure(ev, den, "site", "month", "o_custkey")
+    return measures.event_measure(ev, den, "site", "day", "encounter")
+
+
+@query("billed_encounters", f"""
+WITH {fx.ORDERS}, {BILLED} SELECT o_orderkey AS encounter, o_custkey AS subject, o_date AS day, code, CAST(quantity AS BIGINT) AS quantity FROM billed""")
+def billed_encounters(spark, d):
+    return billed(spark, d).select("encounter", "subject", "day", "code", "quantity")
+
+
+# Several answers a day, the last hour counts; ties of hour and value stay.
+@query("latest_answers", f"""
+WITH {fx.EVENTS}, a AS (SELECT DISTINCT user_id, event_type AS question, day, hour(ts) AS hr, round(value) AS response FROM ev)
+SELECT user_id, question, day, hr, response FROM a
+QUALIFY dense_rank() OVER (PARTITION BY user_id, question ORDER BY day DESC, hr DESC, response DESC) = 1""")
+def latest_answers(spark, d):
+    answers = fx.events(spark, d).select(
+        "user_id", F.col("event_type").alias("question"), "day", F.hour("ts").cast("long").alias("hr"), F.round("value").alias("response")
+    )
+    return facts.latest_answers(answers, ["user_id", "question"], [("day", True), ("hr", True), ("response", True)])
 
 
 FLAGGED = fx.EVENTS + """, fl AS (
@@ -389,14 +450,17 @@ def snapshot_valid_span(spark, d):
         F.col("start2").alias("s2"), F.col("end2").alias("e2"), team.alias("s3"),
         F.date_add(team, (F.col("o_custkey") % 4 * 200).cast("int")).alias("e3"),
     )
+    member = ["o_custkey"]
     populations = [
-        population.valid_members(spans, ["s1", "s2"], ["e1", "e2"], *bounds()),
-        population.valid_members(spans, ["s3"], ["e3"], *bounds(), some_length=[("s3", "e3")]),
-        population.valid_members(spans.filter("o_custkey % 5 = 0 AND e2 IS NOT NULL"), ["s1"], ["e2"], *bounds()),
+        population.valid_spans(spans, member, ["s1", "s2"], ["e1", "e2"]),
+        population.valid_spans(spans, member, ["s3"], ["e3"], some_length=[("s3", "e3")]),
+        population.valid_spans(spans.filter("o_custkey % 5 = 0 AND e2 IS NOT NULL"), member, ["s1"], ["e2"]),
     ]
-    members = population.any_population(populations, ["month", "o_custkey"])
-    valid = members.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
-    return valid.groupBy("month", "site").agg(F.countDistinct("o_custkey").alias("members"))
+    stays = population.any_population_spans(populations, member)
+    held = stays.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+    return intervals.count_by_month(held, ["site"], "from_month", "until_month", *bounds()).select(
+        "month", "site", F.col("n").alias("members")
+    )
 
 
 @query("eligibility_flag", f"""
@@ -571,8 +635,8 @@ def merge_sources_priority(spark, d):
 
 
 NETWORK_SITES = ["NATION_0", "NATION_1", "NATION_2", "NATION_7", "NATION_13"]
-RATES = f"""{fx.ORDERS}, {fx.SITES}, pop AS (SELECT DISTINCT month, site, o_custkey FROM orders_d JOIN sites ON o_custkey = c_custkey),
-num AS (SELECT month, site, o_orderkey FROM orders_d JOIN sites ON o_custkey = c_custkey WHERE o_orderstatus = 'P' AND o_totalprice > 300000),
+RATES = f"""{fx.ORDERS}, {fx.TWO_SITES}, pop AS (SELECT DISTINCT month, site, o_custkey FROM orders_d JOIN two ON o_custkey = c_custkey),
+num AS (SELECT month, site, o_orderkey FROM orders_d JOIN two ON o_custkey = c_custkey WHERE o_orderstatus = 'P' AND o_totalprice > 300000),
 nets AS (SELECT * FROM (VALUES ('NATION_0'), ('NATION_1'), ('NATION_2'), ('NATION_7'), ('NATION_13')) v(site)),
 d1 AS (SELECT month, site, CAST(count(DISTINCT o_custkey) AS DOUBLE) AS denominator FROM pop GROUP BY 1, 2),
 n1 AS (SELECT month, site, CAST(count(DISTINCT o_orderkey) AS DOUBLE) AS numerator FROM num GROUP BY 1, 2),
@@ -588,7 +652,9 @@ SELECT * FROM site_rates UNION ALL
 SELECT d2.month, 'Main Network', denominator, coalesce(numerator, 0), 'Network' FROM d2 LEFT JOIN n2 ON n2.month = d2.month""")
 def rate_site_network(spark, d):
     pop, num = _population_and_events(spark, d)
-    return measures.site_and_network_rates(pop, num, "o_custkey", "o_orderkey", NETWORK_SITES, "Main Network")
+    return measures.site_and_network_rates(
+        pop, num, "o_custkey", "o_orderkey", NETWORK_SITES, "Main Network", dense_members=True
+    )
 
 
 @query("rate_site_network_sums", f"""
@@ -603,7 +669,7 @@ def rate_site_network_sums(spark, d):
 
 
 def _population_and_events(spark, d):
-    site = fx.sites(spark, d).select(F.col("c_custkey").alias("o_custkey"), "site")
+    site = fx.two_sites(spark, d)
     o = fx.orders(spark, d)
     pop = o.select("o_custkey", "month").distinct().join(site, "o_custkey")
     num = o.filter("o_orderstatus = 'P' AND o_totalprice > 300000").select("o_custkey", "o_orderkey", "month").join(site, "o_custkey")

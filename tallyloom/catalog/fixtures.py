@@ -160,3 +160,40 @@ MONTHS = """months AS (
   SELECT CAST(m AS DATE) AS month, CAST(last_day(m) AS DATE) AS month_end
   FROM generate_series(TIMESTAMP '1995-01-01', TIMESTAMP '2001-07-01', INTERVAL 1 MONTH) g(m))"""
 LAST_MONTH = "2001-07-01"
+
+
+def free_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Intervals of customers that begin and end anywhere: days, years, open, and some empty ones."""
+    key, day = F.col("o_orderkey"), F.col("o_date")
+    hi = (
+        F.when(key % 11 == 0, F.lit(None).cast("date"))
+        .when(key % 13 == 0, F.date_add(day, 1500))
+        .when(key % 17 == 0, F.date_sub(day, 60))
+        .otherwise(F.date_add(day, (key % 60).cast("int")))
+    )
+    return orders(spark, folder).filter(key % 4 == 1).select(
+        key.alias("span"), "o_custkey", F.date_sub(day, (key % 50).cast("int")).alias("lo"), hi.alias("hi"),
+        F.col("o_orderpriority").alias("priority"),
+    )
+
+
+FREE_SPANS = ORDERS + """, free AS (
+  SELECT o_orderkey AS span, o_custkey, o_date - CAST(o_orderkey % 50 AS INTEGER) AS lo, o_orderpriority AS priority,
+    CASE WHEN o_orderkey % 11 = 0 THEN NULL WHEN o_orderkey % 13 = 0 THEN o_date + 1500
+         WHEN o_orderkey % 17 = 0 THEN o_date - 60 ELSE o_date + CAST(o_orderkey % 60 AS INTEGER) END AS hi
+  FROM orders_d WHERE o_orderkey % 4 = 1)"""
+
+
+def two_sites(spark: SparkSession, folder: str) -> DataFrame:
+    """Customers with their site; every fourth is in the next nation as well."""
+    nation = t(spark, folder, "nation").select(F.col("n_nationkey").alias("key"), F.col("n_name").alias("site"))
+    own, second = F.col("c_nationkey"), F.when(F.col("c_custkey") % 4 == 0, (F.col("c_nationkey") + 1) % 25)
+    held = t(spark, folder, "customer").select(
+        F.col("c_custkey").alias("o_custkey"), F.explode(F.array_compact(F.array(own, second))).alias("key")
+    )
+    return held.join(nation, "key").select("o_custkey", "site")
+
+
+TWO_SITES = """two AS (
+  SELECT c_custkey, n_name AS site FROM customer JOIN nation ON n_nationkey = c_nationkey
+  UNION ALL SELECT c_custkey, n_name FROM customer JOIN nation ON n_nationkey = (c_nationkey + 1) % 25 WHERE c_custkey % 4 = 0)"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates, logic
-from tallyloom.operators import calendar, joins, project
+from tallyloom.operators import intervals, calendar, joins, project
 from tallyloom.plans import facts, population
 from tallyloom.sources import tables
 
@@ -201,7 +201,7 @@ SELECT d.doc_id, d.lang, CAST(l.quality AS DOUBLE) AS quality, CAST(l.toxic AS D
 def join_left(spark, d):
     docs = fx.t(spark, d, "documents").select("doc_id", "lang")
     labels = fx.t(spark, d, "labels").withColumns({c: F.col(c).cast("double") for c in ("quality", "toxic")})
-    return joins.left_join_where(docs, labels, ["doc_id"])
+    return docs.join(joins.assert_unique(labels, ["doc_id"]), "doc_id", "left")
 
 
 @query("join_right", """
@@ -265,17 +265,37 @@ def join_theta_left(spark, d):
     ends = fx.t(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("end_date"), "l_quantity"
     )
-    return joins.left_join_where(
-        starts, ends, ["o_orderkey"], F.col("start_date") < F.col("end_date"), ["end_date"]
-    )
+    # a start without a later end is one that no last end lies after
+    last = ends.groupBy("o_orderkey").agg(F.max("end_date").alias("end_date"))
+    return joins.left_join_where(starts, ends, ["o_orderkey"], F.col("start_date") < F.col("end_date"), probes=last)
 
 
 @query("join_point_in_interval", f"""
+WITH {fx.FREE_SPANS} SELECT o.o_orderkey, o.o_date, span, lo, hi FROM orders_d o
+JOIN free ON o.o_custkey = free.o_custkey AND o.o_date >= lo AND (o.o_date <= hi OR hi IS NULL)""")
+def join_point_in_interval(spark, d):
+    o = fx.orders(spark, d).select("o_orderkey", "o_custkey", "o_date")
+    found = intervals.join_in_interval(o, fx.free_spans(spark, d).drop("priority"), ["o_custkey"], "o_date", "lo", "hi")
+    return found.select("o_orderkey", "o_date", "span", "lo", "hi")
+
+
+@query("join_overlapping", f"""
+WITH {fx.FREE_SPANS} SELECT a.span AS span, b.span AS other FROM free a JOIN free b ON a.o_custkey = b.o_custkey
+  AND a.priority <> b.priority AND a.lo <= coalesce(b.hi, DATE '9999-12-31') AND b.lo <= coalesce(a.hi, DATE '9999-12-31')
+WHERE a.lo <= coalesce(a.hi, DATE '9999-12-31') AND b.lo <= coalesce(b.hi, DATE '9999-12-31')""")
+def join_overlapping(spark, d):
+    a = fx.free_spans(spark, d)
+    b = a.withColumnsRenamed({"span": "other", "lo": "lo2", "hi": "hi2", "priority": "priority2"})
+    pairs = intervals.join_overlapping(a, b, ["o_custkey"], ("lo", "hi"), ("lo2", "hi2"))
+    return pairs.filter("priority <> priority2").select("span", "other")
+
+
+@query("join_point_in_month", f"""
 WITH {fx.ORDERS}, s AS (SELECT o_custkey, month, CAST(last_day(month) AS DATE) AS month_end, count(*) AS n_month
                         FROM orders_d GROUP BY 1, 2)
 SELECT o.o_orderkey, o.o_date, s.month, s.n_month FROM orders_d o
 JOIN s ON o.o_custkey = s.o_custkey AND o.o_date >= s.month AND o.o_date <= s.month_end""")
-def join_point_in_interval(spark, d):
+def join_point_in_month(spark, d):
     o = fx.orders(spark, d)
     s = o.groupBy("o_custkey", "month").agg(F.count("*").alias("n_month"))
     return joins.join_in_month(
@@ -301,19 +321,28 @@ def join_cross_filter(spark, d):
     return valid.groupBy("month").agg(F.count("*").alias("members"), F.sum("o_custkey").alias("key_sum"))
 
 
-@query("join_then_range", """
+@query("join_then_range", f"""
+WITH {fx.FREE_SPANS} SELECT priority, count(*) AS n_lines, CAST(count(DISTINCT span) AS BIGINT) AS n_spans
+FROM orders_d o JOIN lineitem ON o_orderkey = l_orderkey JOIN free ON o.o_custkey = free.o_custkey
+WHERE CAST(l_shipdate AS DATE) >= lo AND (CAST(l_shipdate AS DATE) <= hi OR hi IS NULL) GROUP BY 1""")
+def join_then_range(spark, d):
+    lines = fx.t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("day"))
+    owned = lines.join(fx.t(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_orderkey")
+    found = intervals.join_in_interval(owned, fx.free_spans(spark, d), ["o_custkey"], "day", "lo", "hi")
+    per_span = found.groupBy("priority", "span").agg(F.count("*").alias("n"))
+    return per_span.groupBy("priority").agg(F.sum("n").alias("n_lines"), F.count("*").alias("n_spans"))
+
+
+@query("join_then_range_days", """
 SELECT o_orderpriority, count(*) AS n_lines, CAST(count(DISTINCT o_orderkey) AS BIGINT) AS n_orders
 FROM orders JOIN lineitem ON o_orderkey = l_orderkey
 WHERE l_shipdate >= o_orderdate AND l_shipdate <= o_orderdate + INTERVAL 90 DAY GROUP BY 1""")
-def join_then_range(spark, d):
+def join_then_range_days(spark, d):
     o = fx.orders(spark, d).select("o_orderkey", "o_orderpriority", "o_date")
     lines = fx.t(spark, d, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), F.to_date("l_shipdate").alias("day"))
     inside = F.col("day").between(F.col("o_date"), F.date_add("o_date", 90))
-    per_day = lines.groupBy("o_orderkey", "day").agg(F.count("*").alias("k"))
-    per_order = (
-        joins.join_where(o, per_day, ["o_orderkey"], inside)
-        .groupBy("o_orderkey", "o_orderpriority").agg(F.sum("k").alias("n"))
-    )
+    # the join is on the order, so counting per order needs no exchange of its own
+    per_order = joins.join_where(o, lines, ["o_orderkey"], inside).groupBy("o_orderkey", "o_orderpriority").agg(F.count("*").alias("n"))
     return per_order.groupBy("o_orderpriority").agg(F.sum("n").alias("n_lines"), F.count("*").alias("n_orders"))
 
 
@@ -351,10 +380,9 @@ FROM lineitem JOIN versions ON l_partkey = p_partkey AND CAST(l_shipdate AS DATE
   AND (v_end IS NULL OR CAST(l_shipdate AS DATE) <= v_end) GROUP BY 1, 2""")
 def join_effective_dim(spark, d):
     lines = fx.t(spark, d, "lineitem").select("l_partkey", "l_quantity", F.to_date("l_shipdate").alias("day"))
-    per_day = lines.groupBy("l_partkey", "day").agg(F.count("*").alias("k"), F.sum("l_quantity").alias("q"))
     return (
-        joins.scd2_join(per_day, part_versions(spark, d), ["l_partkey"], "day", "v_start", "v_end")
-        .groupBy("p_brand", "version").agg(F.sum("k").alias("n"), F.round(F.sum("q"), 2).alias("quantity"))
+        joins.scd2_join(lines, part_versions(spark, d), ["l_partkey"], "day", "v_start", "v_end")
+        .groupBy("p_brand", "version").agg(F.count("*").alias("n"), F.round(F.sum("l_quantity"), 2).alias("quantity"))
     )
 
 
@@ -364,18 +392,14 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN sites ON o_custkey = c
 JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
 WHERE o_orderstatus <> 'P' GROUP BY 1, 2, 3""")
 def join_star(spark, d):
-    facts = (
-        fx.t(spark, d, "lineitem")
-        .join(fx.t(spark, d, "supplier").select("s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(fx.t(spark, d, "part").select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
-        .groupBy("l_orderkey", "p_type")
-        .agg(F.count("*").alias("k"), F.sum("l_extendedprice").alias("p"))
-    )
+    c = F.col
     return (
-        facts.join(fx.t(spark, d, "orders").filter("o_orderstatus <> 'P'"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .groupBy("o_custkey", "p_type").agg(F.sum("k").alias("k"), F.sum("p").alias("p"))
-        .join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("site", "network", "p_type").agg(F.sum("k").alias("n"), F.round(F.sum("p"), 2).alias("price"))
+        fx.t(spark, d, "lineitem")
+        .join(fx.t(spark, d, "supplier").select("s_suppkey"), c("l_suppkey") == c("s_suppkey"))
+        .join(fx.t(spark, d, "part").select("p_partkey", "p_type"), c("l_partkey") == c("p_partkey"))
+        .join(fx.t(spark, d, "orders").filter("o_orderstatus <> 'P'").select("o_orderkey", "o_custkey"), c("l_orderkey") == c("o_orderkey"))
+        .join(fx.sites(spark, d), c("o_custkey") == c("c_custkey"))
+        .groupBy("site", "network", "p_type").agg(F.count("*").alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price"))
     )
 
 

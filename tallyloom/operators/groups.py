@@ -21,6 +21,26 @@ def strict(agg: Column, over: str) -> Column:
     return F.when(F.count("*") == F.count(over), agg)
 
 
+def distinct_sets(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Exact sets of whole numbers from 0 per key, as bitmaps of 32,768 numbers: keys, bucket, bits.
+
+    Bitmaps merge, so a coarser level is made of the finer one without its rows. They pay
+    where numbers lie densely, like surrogate keys; missing and negative numbers are left out.
+    """
+    number = F.col(value).cast("long") + 1  # bit 0 of bucket 1 belongs to number 1
+    return (
+        df.filter(F.col(value) >= 0)
+        .groupBy(*keys, F.bitmap_bucket_number(number).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("bits"))
+    )
+
+
+def merged_count(sets: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Distinct numbers per key over all sets of it: keys, n."""
+    merged = sets.groupBy(*keys, "bucket").agg(F.bitmap_or_agg("bits").alias("bits"))
+    return merged.groupBy(*keys).agg(F.sum(F.bitmap_count("bits")).alias("n"))
+
+
 def agg_where(agg, value: Column, where: Column) -> Column:
     """An aggregate over the rows of a group that meet a condition."""
     return agg(F.when(where, value))

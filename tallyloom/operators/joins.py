@@ -66,18 +66,22 @@ def join_where(
 
 
 def left_join_where(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], where: Column | None = None, tested: Sequence[str] = ()
+    left: DataFrame, right: DataFrame, keys: Sequence[str], where: Column | None = None, tested: Sequence[str] = (),
+    probes: DataFrame | None = None,
 ) -> DataFrame:
     """Left outer join whose right side may hold most of its rows under one key.
 
     A skewed partition can be split on either side of an inner join, but not on the right
     of an outer one. So the matches come from an inner join, and the rows without a match
-    from an anti join against the distinct keys and ``tested`` columns, the right columns
-    ``where`` looks at.
+    from an anti join against ``probes``: rows of the keys and ``tested`` columns (the right columns
+    ``where`` looks at) that hold if and only if any right row does. Without them the distinct ones are
+    taken; an aggregate, such as the last day of a key for ``start < day``, is smaller. Where
+    the right side is unique (``assert_unique``) a plain left join is enough.
     """
     where = F.lit(True) if where is None else where
     matched = join_where(left, right, keys, where)
-    probes = right.select(*keys, *tested).distinct()
+    if probes is None:
+        probes = right.select(*keys, *tested).distinct()
     lone = join_where(left, probes, keys, where, "left_anti")
     return matched.unionByName(lone, allowMissingColumns=True)
 

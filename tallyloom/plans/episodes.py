@@ -14,7 +14,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions import dates, logic
-from tallyloom.operators import joins, windows
+from tallyloom.operators import windows
 
 
 @dataclass(frozen=True)
@@ -148,32 +148,67 @@ def build(pairs: DataFrame, keys: Sequence[str], rules: EpisodeRules = EpisodeRu
 
 
 def episode_stats(episodes: DataFrame, days: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Visits, last seen, and the scores an episode needs, in one pass over its days.
+    """Visits, last seen, and the scores an episode needs, without a join of days and episodes.
 
     Gives ``visits``, ``last_seen``, ``seen_score`` (on the last visit day), ``end_score``
     (on the end day), ``first_score_day`` and ``first_score``. Episodes without a visit
     are dropped.
+
+    Day rows and the two boundaries of every episode are sorted together per subject. Running
+    values (visits so far, last visit, last day, next scored day) are read off at the boundaries:
+    what happened inside is the end's value less the start's. A subject has at most one row per
+    calendar day and two per episode, and every row is handled once, however many
+    episodes overlap.
     """
-    d = days.select(*keys, "day", "code", "score")
-    inside = (F.col("day") >= F.col("start_date")) & logic.open_or(
-        F.col("end_date"), F.col("day") <= F.col("end_date")
-    )
     visit = F.col("code").isNotNull() & (F.col("code") != "")
-    scored = F.when(F.col("score").isNotNull(), F.struct("day", "score"))
-    last_visit = F.max(F.when(visit, F.struct("day", "score")))
-    first_scored = F.min(scored)
+    day_score = F.struct(F.col("day"), F.col("score"))
+    at_days = days.select(
+        *keys, "day", F.lit(1).alias("__at"), visit.cast("int").alias("__visit"), day_score.alias("__day"),
+        F.when(visit, day_score).alias("__seen"), F.when(F.col("score").isNotNull(), day_score).alias("__scored"),
+    )
+    # a start comes before the row of its day and an end after it; an open episode ends after all days
+    whole = F.struct(*EPISODE)
+    last = F.coalesce(F.col("end_date"), F.lit("9999-12-31").cast("date"))
+    bounds = episodes.filter(F.col("start_date").isNotNull()).select(
+        *keys, whole.alias("__episode"),
+        F.inline(
+            F.array(
+                F.struct(F.col("start_date").alias("day"), F.lit(0).alias("__at")),
+                F.struct(last.alias("day"), F.lit(2).alias("__at")),
+            )
+        ),
+    )
+    rows = at_days.unionByName(bounds, allowMissingColumns=True)
+    so_far = windows.series(keys, "day", "__at").rowsBetween(Window.unboundedPreceding, 0)
+    # running backwards, the last scored day is the next one
+    from_here = windows.series(keys, F.desc("day"), F.desc("__at")).rowsBetween(Window.unboundedPreceding, 0)
+    read = rows.withColumns(
+        {
+            "__visits": F.sum("__visit").over(so_far),
+            "__last": F.last("__seen", ignorenulls=True).over(so_far),
+            "__here": F.last("__day", ignorenulls=True).over(so_far),
+        }
+    ).withColumn("__next", F.last("__scored", ignorenulls=True).over(from_here))
+    at_start, at_end = F.col("__at") == 0, F.col("__at") == 2
+    stats = read.filter("__episode IS NOT NULL").groupBy(*keys, "__episode").agg(
+        F.max(F.when(at_start, F.coalesce("__visits", F.lit(0)))).alias("__before"),
+        F.max(F.when(at_end, F.col("__visits"))).alias("__until"),
+        F.max(F.when(at_end, F.col("__last"))).alias("__last"),
+        F.max(F.when(at_end, F.col("__here"))).alias("__here"),
+        F.max(F.when(at_start, F.col("__next"))).alias("__next"),
+    )
+    in_time = logic.open_or(F.col("end_date"), F.col("__next.day") <= F.col("end_date"))
     return (
-        joins.join_where(episodes, d, keys, inside)
-        .groupBy(*keys, *EPISODE)
-        .agg(
-            F.countDistinct(F.when(visit, F.col("day"))).alias("visits"),
-            last_visit["day"].alias("last_seen"),
-            last_visit["score"].alias("seen_score"),
-            F.max(F.when(F.col("day") == F.col("end_date"), F.col("score"))).alias("end_score"),
-            first_scored["day"].alias("first_score_day"),
-            first_scored["score"].alias("first_score"),
-        )
+        stats.select(*keys, "__episode.*", *[c for c in stats.columns if c.startswith("__") and c != "__episode"])
+        .withColumn("visits", F.col("__until") - F.col("__before"))
         .filter("visits > 0")
+        .select(
+            *keys, *EPISODE, F.col("visits").cast("long").alias("visits"),
+            F.col("__last.day").alias("last_seen"), F.col("__last.score").alias("seen_score"),
+            F.when(F.col("__here.day") == F.col("end_date"), F.col("__here.score")).alias("end_score"),
+            F.when(in_time, F.col("__next.day")).alias("first_score_day"),
+            F.when(in_time, F.col("__next.score")).alias("first_score"),
+        )
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.operators import groups, joins
+from tallyloom.operators.groups import distinct_sets, merged_count
 
 
 def event_measure(
@@ -36,12 +37,16 @@ def events_after_first(
 def site_and_network_rates(
     population: DataFrame, events: DataFrame, member: str, event: str, network_sites: Sequence[str],
     network: str, zero_fill: bool = True, recount: bool = True, measure_names: Sequence[str] = (),
+    dense_members: bool = False,
 ) -> DataFrame:
     """Monthly rates per site and for a network of sites.
 
-    ``recount`` counts distinct members and events again for the network; otherwise its
-    values are the sums of the site values. With ``measure_names`` events carry a
-    ``measure`` column, and every measure is set against the one population.
+    ``recount`` counts distinct members and events over the network's sites together, so one in
+    two sites counts once; otherwise the network has the sums of the site values. With
+    ``measure_names`` events carry a ``measure`` column, and every measure is set against the one
+    population. ``dense_members`` says that members are whole numbers from 0 without large gaps:
+    their sets are kept as bitmaps, and the network merges its sites' bitmaps instead
+    of their members.
     """
     inside = F.col("site").isin(list(network_sites))
     # a row counts for its site and, inside the network, for the network: one pass for both
@@ -52,7 +57,12 @@ def site_and_network_rates(
         return spread.groupBy(*by).agg(F.countDistinct(column).cast("double").alias(name))
 
     by = ["month", "site"]
-    den = distinct(population, by, member, "denominator")
+    if dense_members and recount:
+        sets = distinct_sets(population, by, member)
+        den = merged_count(sets.withColumn("site", levels), by).withColumnRenamed("n", "denominator")
+        den = den.withColumn("denominator", F.col("denominator").cast("double"))
+    else:
+        den = distinct(population, by, member, "denominator")
     if measure_names:
         by = ["measure", *by]
         den = den.withColumn("measure", F.explode(F.array(*[F.lit(m) for m in measure_names])))

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.operators import groups, joins, setops, windows
+from tallyloom.operators import groups, intervals, joins, setops, windows
 
 
 def latest_member(
@@ -72,6 +72,35 @@ def valid_members(
     return joins.expand_months(usable, whole_from, earliest_end, first, last)
 
 
+def valid_spans(
+    df: DataFrame, member: Sequence[str], starts: Sequence[str], ends: Sequence[str],
+    some_length: Sequence[tuple[str, str]] = (),
+) -> DataFrame:
+    """The same rule as a span of months per row: member, from_month, until_month (NULL is open).
+
+    The row is valid in the months whose first day all its spans cover.
+    """
+    usable = df.dropna(subset=list(starts))
+    for start, end in some_length:
+        usable = usable.filter(F.col(end).isNull() | (F.col(end) > F.col(start)))
+    latest_start = F.greatest(*starts) if len(starts) > 1 else F.col(starts[0])
+    earliest_end = F.least(*ends) if len(ends) > 1 else F.col(ends[0])
+    out = usable.select(
+        *member, F.add_months(F.trunc(F.date_sub(latest_start, 1), "MM"), 1).alias("from_month"),
+        F.trunc(earliest_end, "MM").alias("until_month"),
+    )
+    return out.filter(F.col("until_month").isNull() | (F.col("from_month") <= F.col("until_month")))
+
+
+def any_population_spans(frames: Sequence[DataFrame], member: Sequence[str]) -> DataFrame:
+    """Months in which a member is in at least one of several populations, as disjoint spans.
+
+    ``frames``: member, from_month, until_month.
+    """
+    columns = [*member, "from_month", "until_month"]
+    return intervals.merge_spans(setops.append(*[f.select(*columns) for f in frames]), member, "from_month", "until_month")
+
+
 def any_population(frames: Sequence[DataFrame], keys: Sequence[str]) -> DataFrame:
     """Members of at least one of several populations, each key once."""
     return setops.append(*[f.select(*keys) for f in frames]).distinct()
@@ -81,15 +110,16 @@ def eligibility_flag(
     population: DataFrame, spans: DataFrame, member: str, start: str, end: str, death: str,
     first: Column, last: Column,
 ) -> DataFrame:
-    """0/1 per population row: covered past the month start and alive then."""
+    """0/1 per population row (a ``month`` between the index months): covered past the month start and alive then.
+
+    Spans turn into months on which cover begins and ends, sorted among the population's rows of
+    the member; no row is fanned out over the calendar.
+    """
     usable = spans.filter(F.col(end).isNull() | (F.col(end) > F.col(start)))
     until = F.least(F.date_sub(end, 1), F.date_sub(death, 1))
-    covered = (
-        joins.expand_months(usable, F.col(start), until, first, last)
-        .select(member, "month")
-        .distinct()
-        .withColumn("eligible", F.lit(1))
-    )
-    return population.join(covered, [member, "month"], "left").withColumn(
-        "eligible", F.coalesce("eligible", F.lit(0))
+    months = usable.select(
+        member, F.trunc(start, "MM").alias("from_month"), F.last_day(until).alias("until_day")
     )
+    found = intervals.covered(population, months, [member], "month", "from_month", "until_day")
+    inside = (F.col("month") >= F.trunc(first, "MM")) & (F.col("month") <= F.trunc(last, "MM"))
+    return found.withColumn("eligible", F.coalesce((F.col("covered") & inside).cast("int"), F.lit(0))).drop("covered")

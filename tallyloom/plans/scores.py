@@ -56,13 +56,14 @@ def discharge_split(
 
     Rows are collapsed to subject-days, then to one row per subject, so both lists come
     out of one pass. Subjects with all item maxima 0, and subjects that would be in both
-    lists, are left out. ``df`` has one column per score item.
+    lists, are left out. ``df`` has one column per score item. A row whose ``is_discharge`` is
+    missing is neither a discharge nor another session; its scores and day count all the same.
     """
     total = sum((F.col(i) for i in items[1:]), F.col(items[0]))
     by_day = df.groupBy(key, F.col(day).alias("day")).agg(
         F.max(total).alias("score"),
         F.max(F.when(is_discharge, 1).otherwise(0)).alias("dis"),
-        F.max(F.when(is_discharge, 0).otherwise(1)).alias("oth"),
+        F.max(F.when(~is_discharge, 1).otherwise(0)).alias("oth"),
         *[F.max(i).alias(i) for i in items],
     )
     any_item = F.lit(False)
