@@ -15,19 +15,19 @@ candidates make more tries, each with a pass of its own.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm import double_array
 from tallyloom.llm.registry import query, table
 from tallyloom.llm.shingles import mix
-from tallyloom.llm.wordcache import release, shared, text_groups
+from tallyloom.llm.wordcache import forget, release, text_groups
 from tallyloom.session import materialise
 
 MIN_COUNT = 100
@@ -35,14 +35,16 @@ MAX_WORDS = 5
 TOP = 2000
 FILTER_BITS = 26
 TRIE_PHRASES = 500_000
-# Words and keys a worker gathers before it passes them on, symbols of a stored row and of a step in numpy.
+# Keys a worker gathers before it passes them on, and remembers not to pass on twice; symbols of a
+# stored row and of a step in numpy.
+KEPT_KEYS = 1_000_000
 KEPT_WORDS = 200_000
-KEPT_KEYS = 2_000_000
 ROW_SYMBOLS = 65_536
-STEP_SYMBOLS = 1_000_000
+STEP_SYMBOLS = 500_000
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
-_END = b"\xff"  # never in UTF-8
+_END = b"."  # stands for all of them
+_NO_WORD = (b"", _END)
 _FOLD = bytes.maketrans(
     bytes(range(ord("A"), ord("Z") + 1)) + _ENDS + b"\t", bytes(range(ord("a"), ord("z") + 1)) + _END * len(_ENDS) + b" "
 )
@@ -52,85 +54,72 @@ _U = np.uint64
 # -- symbols ---------------------------------------------------------------------------------
 
 
-class Symbols(dict):
-    """Word -> symbol of one language, 0 for the end of a piece; keeps words up to a limit."""
+def words_of(texts: list[bytes]) -> pa.DictionaryArray:
+    """The words of all texts in lower case, with an end mark after every piece."""
+    folded = (b"\n".join(texts) + b"\n").translate(_FOLD).replace(_END, b" . ")
+    whole = pa.StringArray.from_buffers(1, pa.py_buffer(np.array([0, len(folded)], np.int32)), pa.py_buffer(folded))
+    return pc.ascii_split_whitespace(whole).values.dictionary_encode()
 
-    def __init__(self, lang: str):
-        super().__init__({_END: 0})
-        self.seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogateescape"))
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word, seed=self.seed) or 1
-        if len(self) < KEPT_WORDS:
-            self[word] = value
-        return value
+def symbols_of(words: list[bytes], lang: str) -> np.ndarray:
+    """The symbol of every word in a language; 0 for the end mark."""
+    seed = xxhash.xxh64_intdigest(lang.encode("utf-8", "surrogateescape"))
+    digest = xxhash.xxh64_intdigest
+    return np.fromiter((0 if w in _NO_WORD else digest(w, seed) or 1 for w in words), _U, len(words))
 
 
-def words_of(text: bytes) -> list[bytes]:
-    """The words in lower case, and an end mark after every piece."""
-    return (text + b"\n").translate(_FOLD).replace(_END, b" \xff ").split()
+def _by_lang(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, pa.DictionaryArray, np.ndarray]]:
+    """Words of some texts of one language, and the symbols of the different ones."""
+    for batch, texts in text_groups(batches, "text"):
+        langs = batch.column("lang").to_pylist()
+        for lang in dict.fromkeys(langs):
+            words = words_of([t for t, x in zip(texts, langs) if x == lang])
+            yield lang, words, symbols_of(words.dictionary.cast(pa.binary()).to_pylist(), lang)
 
 
 def encode(docs: DataFrame) -> DataFrame:
-    """Rows of `symbols` (little-endian unsigned 64-bit integers), and rows of lang, word, symbol, n.
-
-    A row with a null word counts all words of its language.
-    """
+    """Rows of `symbols` (little-endian unsigned 64-bit integers), and rows of lang and its words n."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[str, Counter] = {}
-        ready, size = [], 0
-        for batch, texts in text_groups(batches, "text", [("symbols",)]):
-            tables = shared(("symbols",), dict)
-            if len(tables) > 50:  # languages; a table is made again when it is needed
-                tables.clear()
-            for lang, text in zip(batch.column("lang").to_pylist(), texts):
-                words = words_of(text)
-                known = tables.get(lang)
-                if known is None:
-                    known = tables[lang] = Symbols(lang)
-                counts.setdefault(lang, Counter()).update(words)
-                ready.append(np.fromiter(map(known.__getitem__, words), _U, len(words)))
-                size += len(words)
-                if size >= ROW_SYMBOLS:
-                    yield _encoded([b"".join(ready)], [])
-                    ready, size = [], 0
-            if sum(map(len, counts.values())) > KEPT_WORDS:
-                yield from _counted(counts)
-                counts = {}
-        if ready:
-            yield _encoded([b"".join(ready)], [])
-        yield from _counted(counts)
-
-    return docs.mapInArrow(run, "symbols binary, lang string, word binary, symbol long, n long")
-
-
-def _encoded(symbols: list, rows: list[tuple]) -> pa.RecordBatch:
-    none = len(symbols)
-    columns = list(zip(*rows)) if rows else [()] * 4
-    return pa.RecordBatch.from_arrays(
-        [pa.array([*symbols, *[None] * len(rows)], pa.binary())]
-        + [pa.array([*[None] * none, *c], k) for c, k in zip(columns, (pa.string(), pa.binary(), pa.int64(), pa.int64()))],
-        ["symbols", "lang", "word", "symbol", "n"],
-    )
-
-
-def _counted(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
-    for lang, words in counts.items():
-        words.pop(_END, None)
-        seed = Symbols(lang)
-        rows = [(lang, w, _signed(seed[w]), n) for w, n in words.items()]
-        rows.append((lang, None, None, sum(words.values())))
-        for start in range(0, len(rows), 50_000):
-            yield _encoded([], rows[start : start + 50_000])
+        for lang, words, known in _by_lang(batches):
+            text = known[np.asarray(words.indices)]
+            ends = np.flatnonzero(text == 0) + 1
+            cuts = ends[np.searchsorted(ends, np.arange(ROW_SYMBOLS, len(text), ROW_SYMBOLS))]
+            rows = [x.tobytes() for x in np.split(text, np.unique(cuts)) if len(x)]
+            n = int(np.count_nonzero(text))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([*rows, None], pa.binary()), pa.array([*[None] * len(rows), lang], pa.string()),
+                    pa.array([*[None] * len(rows), n], pa.int64()),
+                ],
+                ["symbols", "lang", "n"],
+            )
+
+    return docs.mapInArrow(run, "symbols binary, lang string, n long")
+
+
+def spell(docs: DataFrame, wanted) -> DataFrame:
+    """symbol, lang and word of the words in a broadcast bit filter, each once."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for lang, words, known in _by_lang(batches):
+            new = (known != 0) & _has(wanted.value, known)
+            new[new] = [x not in seen for x in known[new].tolist()]
+            if len(seen) < KEPT_WORDS:
+                seen.update(known[new].tolist())
+            at = np.flatnonzero(new)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(known[at].view(np.int64)), pa.array([lang] * len(at), pa.string()), words.dictionary.take(pa.array(at))],
+                ["symbol", "lang", "word"],
+            )
 
-def _signed(x: int) -> int:
-    return x - (1 << 64) if x >> 63 else x
+    return docs.mapInArrow(run, "symbol long, lang string, word string").dropDuplicates(["symbol"])
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
     """The stored arrays, a few rows at a time."""
+    forget()
     some, size = [], 0
     for batch in batches:
         for row in batch.column("symbols"):
@@ -141,6 +130,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
                 some, size = [], 0
     if some:
         yield np.concatenate(some)
+    release()
 
 
 # -- candidates ------------------------------------------------------------------------------
@@ -162,20 +152,24 @@ def _has(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 
 def grams(text: np.ndarray, filters: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Words, positions and keys of all phrases whose two shorter parts pass the filters, by length from 2.
+    """Number of words, positions and keys of all phrases whose two shorter parts pass the filters.
 
-    The last length has no filter of its own.
+    Lengths run from 1 to one more than there are filters; the key of a word is its symbol.
     """
     at = np.flatnonzero(text)
-    at = at[_has(filters[0], text[at])]
     keys = text[at]
-    for words in range(2, len(filters) + 2):
+    yield 1, at, keys
+    for words, bits in enumerate(filters, 2):
+        good = _has(bits, keys)
+        at, keys = at[good], keys[good]
         both = np.flatnonzero(at[1:] == at[:-1] + 1)
-        at, keys = at[both], mix(keys[both] * _U(0x9E3779B97F4A7C15) + text[at[both] + words - 1])
+        at, keys = at[both], longer_key(keys[both], text[at[both] + words - 1])
         yield words, at, keys
-        if words <= len(filters):
-            good = _has(filters[words - 1], keys)
-            at, keys = at[good], keys[good]
+
+
+def longer_key(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Key of a phrase from that of all its words but the last, and the last."""
+    return mix(key * _U(0x9E3779B97F4A7C15) + symbol)
 
 
 def key_counts(encoded: DataFrame, filters: list) -> DataFrame:
@@ -183,27 +177,24 @@ def key_counts(encoded: DataFrame, filters: list) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [b.value for b in filters]
-        keys, n, new = np.zeros(0, _U), np.zeros(0, np.int64), []
+        keys, n = np.zeros(0, _U), np.zeros(0, np.int64)
         for text in _texts(batches):
             *_, (_, _, found) = grams(text, bits)
-            new.append(found)
-            if sum(map(len, new)) > KEPT_KEYS:
-                keys, n, new = *_merged(keys, n, new), []
-                if len(keys) > KEPT_KEYS:
-                    yield from _key_batches(keys, n)
-                    keys, n = keys[:0], n[:0]
-        yield from _key_batches(*_merged(keys, n, new))
-        release()
+            keys, n = _merged(keys, n, *np.unique(found, return_counts=True))
+            if len(keys) > KEPT_KEYS:
+                yield from _key_batches(keys, n)
+                keys, n = keys[:0].copy(), n[:0].copy()
+        yield from _key_batches(keys, n)
 
     return encoded.mapInArrow(run, "key long, n long")
 
 
-def _merged(keys: np.ndarray, n: np.ndarray, new: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    fresh, m = np.unique(np.concatenate([keys[:0], *new]), return_counts=True)
-    both, back = np.unique(np.concatenate([keys, fresh]), return_inverse=True)
-    out = np.zeros(len(both), np.int64)
-    np.add.at(out, back, np.concatenate([n, m]))
-    return both, out
+def _merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys, n = np.concatenate([keys, more]), np.concatenate([n, m])
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else order
+    return keys[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
 def _key_batches(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -213,13 +204,15 @@ def _key_batches(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
 
 
 def paths(encoded: DataFrame, filters: list) -> DataFrame:
-    """key and path (symbols) of the phrases that pass all filters."""
+    """key and path (symbols) of the phrases of two words and more that pass all filters."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [b.value for b in filters]
         seen: set[int] = set()
         for text in _texts(batches):
             for words, at, keys in grams(text, bits[:-1]):
+                if words == 1:
+                    continue
                 keys, first = np.unique(keys, return_index=True)
                 new = _has(bits[words - 1], keys)
                 new[new] = [k not in seen for k in keys[new].tolist()]
@@ -230,7 +223,6 @@ def paths(encoded: DataFrame, filters: list) -> DataFrame:
                 offsets = pa.array(np.arange(len(keys) + 1) * words, pa.int32())
                 column = pa.ListArray.from_arrays(offsets, pa.array(path.ravel().view(np.int64)))
                 yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), column], ["key", "path"])
-        release()
 
     return encoded.mapInArrow(run, "key long, path array<long>").dropDuplicates(["key"])
 
@@ -273,71 +265,68 @@ def count_in(encoded: DataFrame, trie) -> DataFrame:
             t.add_counts(text, counts)
         found = np.flatnonzero((counts > 0) & (t.key != 0))
         yield from _key_batches(t.key[found].view(_U), counts[found])
-        release()
 
     return encoded.mapInArrow(run, "key long, n long")
 
 
 def phrase_counts(
     docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, phrases_each: int = TRIE_PHRASES,
-) -> tuple[DataFrame, DataFrame]:
-    """(lang, words, a) of all phrases of 2 to `max_words` words, and (lang, word, a) of all words,
-    that occur `min_count` times; in the second a null word has the language's total, whatever it is.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(lang, words, path, a) of all phrases of 2 to `max_words` words that occur `min_count` times,
+    (path, a) of the same words and phrases, and (lang, n), all words of a language.
 
     `docs`: text, lang. Counts are exact but for clashes of 64-bit hashes.
     """
-    sc = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
+    sc = spark.sparkContext
     stored = materialise(encode(docs), "symbols")
     encoded = stored.filter("symbols IS NOT NULL").select("symbols")
-    words = stored.filter("symbols IS NULL").groupBy("lang", "word", "symbol").agg(F.sum("n").alias("a"))
-    words = materialise(words.filter((F.col("a") >= min_count) | F.col("word").isNull()), "words")
+    totals = stored.filter("symbols IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
 
-    filters = [sc.broadcast(bit_filter(words.filter("word IS NOT NULL"), "symbol"))]
-    levels = []
-    for _ in range(2, max_words + 1):
+    filters, levels = [], []
+    for _ in range(max_words):
         keys = key_counts(encoded, filters).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
         levels.append(materialise(keys, "keys"))
+        filters.append(sc.broadcast(bit_filter(levels[-1], "key")))
         if levels[-1].isEmpty():
             break
-        filters.append(sc.broadcast(bit_filter(levels[-1], "key")))
-    frequent = levels[0].select("key")
+    words = levels[0].select(F.array("key").alias("path"), F.col("n").alias("a"))
+    longer = levels[0].select("key").limit(0)
     for level in levels[1:]:
-        frequent = frequent.union(level.select("key"))
-    counted = docs.sparkSession.createDataFrame([], "key long, n long")
-    candidates = counted.select("key", F.array("key").alias("path"))
-    if len(filters) > 1:
-        candidates = materialise(paths(encoded, filters).join(frequent, "key", "left_semi"), "candidates")
-        tries = materialise(build_tries(candidates, phrases_each), "tries")
-        parts = []
-        for r in tries.select("shard").toLocalIterator():
-            row = tries.filter(F.col("shard") == r["shard"]).collect()[0]
-            kinds = (_U, np.int32, np.int32, np.int64)
-            arrays = [np.frombuffer(row[n], k) for n, k in zip(_ARRAYS, kinds)]
-            trie = sc.broadcast(double_array.Trie(*arrays, row["depth"]))
-            parts.append(materialise(count_in(encoded, trie).groupBy("key").agg(F.sum("n").alias("n")), "counts"))
-            trie.unpersist()
-        for part in parts:
-            counted = counted.union(part)
-    for f in filters:
+        longer = longer.union(level.select("key"))
+    candidates = materialise(paths(encoded, filters).join(longer, "key", "left_semi"), "candidates")
+    tries = materialise(build_tries(candidates, phrases_each), "tries")
+    counted = levels[0].limit(0)
+    for r in tries.select("shard").toLocalIterator():
+        row = tries.filter(F.col("shard") == r["shard"]).collect()[0]
+        kinds = (_U, np.int32, np.int32, np.int64)
+        arrays = [np.frombuffer(row[n], k) for n, k in zip(_ARRAYS, kinds)]
+        trie = sc.broadcast(double_array.Trie(*arrays, row["depth"]))
+        part = materialise(count_in(encoded, trie).groupBy("key").agg(F.sum("n").alias("n")), "counts")
+        counted = counted.union(part)
+        trie.unpersist()
+    kept = materialise(
+        candidates.join(counted.filter(F.col("n") >= min_count), "key").select("path", F.col("n").alias("a")), "frequent"
+    )
+
+    used = kept.select(F.explode("path").alias("symbol"))
+    spelling = sc.broadcast(bit_filter(used, "symbol"))
+    spelled = materialise(spell(docs, spelling), "spelling")
+    for f in [*filters, spelling]:
         f.unpersist()
-    kept = candidates.join(counted.filter(F.col("n") >= min_count), "key")
-    spelled = (
-        kept.select("key", "n", F.posexplode("path").alias("i", "symbol"))
-        .join(words.filter("word IS NOT NULL").select("symbol", "lang", "word"), "symbol")
-        .groupBy("key", "n", "lang")
-        .agg(F.array_sort(F.collect_list(F.struct("i", F.col("word").cast("string").alias("word")))).alias("w"))
+    phrases = (
+        kept.select("path", "a", F.posexplode("path").alias("i", "symbol"))
+        .join(spelled, "symbol")
+        .groupBy("path", "a")
+        .agg(F.first("lang").alias("lang"), F.array_sort(F.collect_list(F.struct("i", "word"))).alias("w"))
+        .select("lang", F.col("w.word").alias("words"), "path", "a")
     )
-    phrases = spelled.select("lang", F.col("w.word").alias("words"), F.col("n").alias("a"))
-    return materialise(phrases, "phrases"), words.select("lang", F.col("word").cast("string").alias("word"), "a")
+    return materialise(phrases, "phrases"), words.union(kept), totals
 
 
 # -- scores ----------------------------------------------------------------------------------
 
 
-def _text(words: Column) -> Column:
-    return F.array_join(words, " ")
-
-
 def collocations(
     docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, top: int = TOP, covered_percent: int = 100,
     phrases_each: int = TRIE_PHRASES, text_col: str = "text", lang_col: str = "lang",
@@ -352,36 +341,29 @@ def collocations(
     if max_words < 2 or min_count < 1:
         raise ValueError("phrases have two words or more and occur once or more")
     rows = docs.select(F.col(text_col).alias("text"), F.coalesce(F.col(lang_col), F.lit("und")).alias("lang"))
-    phrases, words = phrase_counts(rows, min_count, max_words, phrases_each)
-    total = words.filter("word IS NULL").groupBy("lang").agg(F.sum("a").alias("n"))
-    phrases = phrases.withColumn("phrase", _text(F.col("words")))
-    known = words.filter("word IS NOT NULL").select("lang", F.col("word").alias("part"), "a")
-    known = known.unionByName(phrases.select("lang", F.col("phrase").alias("part"), "a"))
+    phrases, known, totals = phrase_counts(rows, min_count, max_words, phrases_each)
 
     # A phrase inside a longer one is inside one that is a word longer, which is as frequent at least.
-    longer = phrases.filter(F.size("words") > 2).select(
-        "lang", F.col("a").alias("more"),
-        F.explode(F.array(F.expr("slice(words, 1, size(words) - 1)"), F.expr("slice(words, 2, size(words) - 1)"))).alias("inner"),
-    )
-    covers = longer.groupBy("lang", _text(F.col("inner")).alias("phrase")).agg(F.max("more").alias("more"))
-    kept = phrases.join(covers, ["lang", "phrase"], "left").filter(
+    inner = F.array(F.expr("slice(path, 1, size(path) - 1)"), F.expr("slice(path, 2, size(path) - 1)"))
+    longer = phrases.filter(F.size("path") > 2).select(F.col("a").alias("more"), F.explode(inner).alias("path"))
+    covers = longer.groupBy("path").agg(F.max("more").alias("more"))
+    kept = phrases.join(covers, "path", "left").filter(
         F.col("more").isNull() | (100 * F.col("more") < covered_percent * F.col("a"))
     )
 
-    cuts = kept.select("lang", "phrase", "a", "words", F.explode(F.sequence(F.lit(1), F.size("words") - 1)).alias("k"))
-    cuts = cuts.select(
-        "lang", "phrase", "a", "k", _text(F.expr("slice(words, 1, k)")).alias("head"),
-        _text(F.expr("slice(words, k + 1, size(words) - k)")).alias("tail"),
-    )
-    heads = known.select("lang", F.col("part").alias("head"), F.col("a").alias("l"))
-    tails = known.select("lang", F.col("part").alias("tail"), F.col("a").alias("r"))
+    cuts = kept.select("lang", "words", "path", "a", F.explode(F.sequence(F.lit(1), F.size("path") - 1)).alias("k"))
+    cuts = cuts.withColumns({"head": F.expr("slice(path, 1, k)"), "tail": F.expr("slice(path, k + 1, size(path) - k)")})
+    heads = known.select(F.col("path").alias("head"), F.col("a").alias("l"))
+    tails = known.select(F.col("path").alias("tail"), F.col("a").alias("r"))
     big = "decimal(17, 0)"  # products of two and three keep all digits; the quotient is at most 1000 * n
     score = F.expr(f"(1000BD * cast(a AS {big}) * cast(n AS {big})) div (cast(l AS {big}) * cast(r AS {big}))")
-    scored = cuts.join(heads, ["lang", "head"]).join(tails, ["lang", "tail"]).join(total, "lang").withColumn("score", score)
-    weakest = scored.groupBy("lang", "phrase").agg(F.min(F.struct("score", "k", "l", "r", "a", "n")).alias("cut"))
+    scored = cuts.join(heads, "head").join(tails, "tail").join(totals, "lang").withColumn("score", score)
+    weakest = scored.groupBy("lang", "words").agg(F.min(F.struct("score", "k", "l", "r", "a", "n")).alias("cut"))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
     return (
-        weakest.select("lang", "phrase", *[F.col("cut")[c].alias(c) for c in ("a", "l", "r", "n", "score")])
+        weakest.select(
+            "lang", F.array_join("words", " ").alias("phrase"), *[F.col("cut")[c].alias(c) for c in ("a", "l", "r", "n", "score")]
+        )
         .withColumn("rank", F.row_number().over(best).cast("long"))
         .filter(F.col("rank") <= top)
         .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")

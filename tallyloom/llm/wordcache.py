@@ -71,6 +71,12 @@ def shared(key: tuple, make: Callable[[], object]):
     return _caches[key]
 
 
+def forget(keep: Iterable[tuple] = ()) -> None:
+    """Drop what earlier tasks of this worker shared, but for the keys in `keep`."""
+    for key in set(_caches).difference(keep):
+        del _caches[key]
+
+
 def release() -> None:
     """Free memory goes back to the system: workers live on, and the next task may need other memory."""
     pa.default_memory_pool().release_unused()
@@ -86,8 +92,7 @@ def text_groups(
 
     The worker drops what earlier tasks shared, but for the keys in `keep`.
     """
-    for key in set(_caches).difference(keep):
-        del _caches[key]
+    forget(keep)
     for batch in batches:
         sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
         start, total = 0, 0
