@@ -14,18 +14,21 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.wordcache import ChunkCache, load_tokenizer, shared, text_groups
+from tallyloom.llm.wordcache import ChunkCache, as_strings, gather, load_tokenizer, shared, text_groups
 
 LEAF = 1024
 WINDOW = 4
+THREADS = 4
 
 # A space next to other white space: such texts are cut at the start of each whole run.
 _RUNS = tuple(b" " + c for c in (b" ", b"\t", b"\n", b"\v", b"\f", b"\r"))
@@ -45,9 +48,18 @@ def split(text: bytes) -> list[bytes]:
         return [_AS_IS + text]
     if any(r in text for r in _RUNS):
         return [_AS_IS + c for c in _CHUNK.findall(text)]
-    parts = text.split(b" ")
-    parts[0] = _AS_IS + parts[0]
-    return parts
+    return (_AS_IS + text).split(b" ")
+
+
+def split_all(texts: list[bytes]) -> pa.ListArray:
+    """The chunks of every text."""
+    plain = [
+        not (any(w in t for w in _WIDE) or (b"\xe2\x80" in t and _WIDE_PUNCTUATION.search(t)) or any(r in t for r in _RUNS))
+        for t in texts
+    ]
+    if all(plain):  # an empty text has one empty chunk here, which has no ids
+        return pc.split_pattern(as_strings([_AS_IS + t for t in texts]), " ")
+    return pa.array([(_AS_IS + t).split(b" ") if p else split(t) for t, p in zip(texts, plain)], pa.list_(pa.binary()))
 
 
 def byte_letters() -> dict[int, str]:
@@ -65,11 +77,15 @@ class ByteBPE:
         self.path = path
         back = {c: b for b, c in byte_letters().items()}
         self.names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
-        self.bytes = {i: bytes(back[c] for c in t) for i, t in self.names.items()}
+        of_id = {i: bytes(back[c] for c in t) for i, t in self.names.items()}
         self.added = {}
         for i, t in self.tokenizer.get_added_tokens_decoder().items():
             self.added[t.content] = i
-            self.bytes[i] = t.content.encode()
+            of_id[i] = t.content.encode()
+        each = [of_id.get(i, b"") for i in range(max(of_id) + 1)]
+        self.bytes = np.frombuffer(b"".join(each), np.uint8)
+        self.lengths = np.fromiter(map(len, each), np.int64, len(each))
+        self.starts = np.cumsum(self.lengths) - self.lengths
         words = sorted(map(re.escape, self.added), key=len, reverse=True)
         self.controls = re.compile("(" + "|".join(words) + ")") if words else None
 
@@ -101,16 +117,31 @@ class ByteBPE:
         return out
 
     def tree(self, word: str) -> list[int]:
-        """Encode a word given in byte letters: leaves in parallel, then joins, level by level."""
+        """Encode a word given in byte letters: leaves in parallel, then joins, level by level.
+
+        The library lets go of the interpreter while it encodes, so parts of a level run at once
+        in a few threads; only words of very many leaves are worth them.
+        """
         n = 1
         while len(word) > n * self.leaf:
             n *= 2
         cuts = [len(word) * i // n for i in range(n + 1)]
-        level = [e.ids for e in self.merger.encode_batch_fast([word[a:b] for a, b in zip(cuts, cuts[1:])])]
-        while len(level) > 1:
-            level = [self.join(a, b) for a, b in zip(level[::2], level[1::2])]
+        leaves = [word[a:b] for a, b in zip(cuts, cuts[1:])]
+        if n < 4 * THREADS:
+            level = self._leaves(leaves)
+            while len(level) > 1:
+                level = list(map(self.join, level[::2], level[1::2]))
+            return level[0]
+        with ThreadPoolExecutor(THREADS) as pool:
+            parts = pool.map(self._leaves, [leaves[i : i + n // THREADS] for i in range(0, n, n // THREADS)])
+            level = [ids for part in parts for ids in part]
+            while len(level) > 1:
+                level = list(pool.map(self.join, level[::2], level[1::2]))
         return level[0]
 
+    def _leaves(self, leaves: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.merger.encode_batch_fast(leaves, add_special_tokens=False)]
+
     def join(self, left: list[int], right: list[int]) -> list[int]:
         w = WINDOW
         while True:
@@ -122,7 +153,13 @@ class ByteBPE:
             w *= 2
 
     def decode(self, ids: bytes) -> str:
-        return b"".join(map(self.bytes.__getitem__, np.frombuffer(ids, "<u4").tolist())).decode("utf-8", "replace")
+        return self.decode_all(np.frombuffer(ids, "<u4"), np.array([len(ids) // 4]))[0]
+
+    def decode_all(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """The texts of ids that stand one after the other, one gather from the tokens' bytes for all."""
+        out, upto = gather(self.bytes, self.starts, self.lengths, ids)
+        whole, upto = out.tobytes(), np.append(0, upto)
+        return [whole[a:b].decode("utf-8", "replace") for a, b in zip(upto[np.append(0, ends)].tolist(), upto[ends].tolist())]
 
 
 def encode(
@@ -139,11 +176,12 @@ def encode(
         codec = shared(("codec", tokenizer), lambda: ByteBPE(tokenizer))
         cache = shared(("bytes", tokenizer), lambda: ChunkCache(codec.encode_chunks))
         for batch, texts in text_groups(batches, "text", [("codec", tokenizer), ("bytes", tokenizer)]):
-            ids = cache.join([split(t) for t in texts])
-            n = pa.array([len(x) // 4 for x in ids], pa.int64())
-            columns = [batch.column("id"), n, pa.array(ids, pa.binary())]
+            ids, ends = cache.join(split_all(texts))
+            starts = np.append(0, ends[:-1])
+            each = [ids[a:b].tobytes() for a, b in zip(starts, ends)]
+            columns = [batch.column("id"), pa.array(ends - starts, pa.int64()), pa.array(each, pa.binary())]
             if decoded:
-                columns.append(pa.array([codec.decode(x) for x in ids], pa.string()))
+                columns.append(pa.array(codec.decode_all(ids, ends), pa.string()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["id", "n_tokens", "ids", "decoded"][: 4 if decoded else 3]

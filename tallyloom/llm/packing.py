@@ -16,11 +16,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.registry import query, table
-from tallyloom.llm.wordcache import ChunkCache, load_tokenizer, shared, text_groups
+from tallyloom.llm.registry import fresh, query, table
+from tallyloom.llm.wordcache import ChunkCache, as_strings, load_tokenizer, shared, text_groups
 from tallyloom.session import materialise
 
 CAPACITY = 4096
@@ -64,14 +65,15 @@ def reduce_dominated(count: np.ndarray, capacity: int) -> list[tuple[int, tuple]
                 room = capacity - big
                 if not len(few) or few[0] > room:
                     fix(int(count[big]) if big + big > capacity else 1, (big, 1))
+                # Of equal documents all go at once: each that leaves takes partners away from the next,
+                # so what can't be joined better stays so, and the longest partner stays while it lasts.
                 elif len(few) < 2 or few[:2].sum() > room or (
                     (len(few) < 3 or few.sum() > room) and _best_pair(count, big, room) <= partner
                 ):
                     if partner == big:
-                        fix(1, (big, 2))
+                        fix(int(count[big]) // 2, (big, 2))
                     else:
-                        # later copies see fewer partners of this length, but never a longer one
-                        fix(int(min(count[big], count[partner])) if big + big > capacity else 1, (big, 1), (partner, 1))
+                        fix(int(min(count[big], count[partner])), (big, 1), (partner, 1))
                 else:
                     break
                 again = True
@@ -183,8 +185,10 @@ def token_pieces(
         step = 4 * capacity
         for batch, texts in text_groups(batches, "text", [key]):
             owner, piece, ids = [], [], []
-            for i, whole in enumerate(cache.join([fold(t).split() for t in texts])):
-                whole += end
+            # a text that begins or ends with white space has an empty word there, which has no ids
+            all_ids, ends = cache.join(pc.ascii_split_whitespace(as_strings([fold(t) for t in texts])))
+            for i, (a, b) in enumerate(zip(np.append(0, ends), ends)):
+                whole = all_ids[a:b].tobytes() + end
                 for k in range(0, len(whole), step):
                     owner.append(i)
                     piece.append(k // step)
@@ -234,34 +238,35 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length"
     """
     spark = pieces.sparkSession
     keep = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    size_, row_, salt_, n_, nth_, first_, rank_ = fresh(keep, "size", "row", "salt", "n", "nth", "first", "rank")
     salts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = F.least(F.col(length_col), F.lit(capacity)).cast("long")
     rows = materialise(
         pieces.select(
-            *keep, F.when(F.col(length_col) > 0, size).alias("__size"),
-            F.monotonically_increasing_id().alias("__row"),
+            *keep, F.when(F.col(length_col) > 0, size).alias(size_),
+            F.monotonically_increasing_id().alias(row_),
         ),
         "pieces",
-    ).withColumn("__salt", F.pmod(F.xxhash64("__row"), F.lit(salts)))
+    ).withColumn(salt_, F.pmod(F.xxhash64(row_), F.lit(salts)))
     # No length is ranked in one task: ranks count up within (length, salt) first.
-    counts = rows.filter(F.col("__size").isNotNull()).groupBy("__size", "__salt").agg(F.count("*").alias("__n"))
-    histogram = counts.groupBy("__size").agg(F.sum("__n").alias("n")).collect()  # capacity rows at most
+    counts = rows.filter(F.col(size_).isNotNull()).groupBy(size_, salt_).agg(F.count("*").alias(n_))
+    histogram = counts.groupBy(size_).agg(F.sum(n_).alias(n_)).collect()  # capacity rows at most
     plan = make_plan(
-        np.array([r["__size"] for r in histogram], np.int64), np.array([r["n"] for r in histogram], np.int64), capacity
+        np.array([r[size_] for r in histogram], np.int64), np.array([r[n_] for r in histogram], np.int64), capacity
     )
-    before = Window.partitionBy("__size").orderBy("__salt").rowsBetween(Window.unboundedPreceding, -1)
-    first = counts.withColumn("__first", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
-    within = Window.partitionBy("__size", "__salt").orderBy("__row")
+    before = Window.partitionBy(size_).orderBy(salt_).rowsBetween(Window.unboundedPreceding, -1)
+    first = counts.withColumn(first_, F.coalesce(F.sum(n_).over(before), F.lit(0))).drop(n_)
+    within = Window.partitionBy(size_, salt_).orderBy(row_)
     ranked = (
-        rows.withColumn("__nth", F.row_number().over(within) - 1)
-        .join(first, ["__size", "__salt"], "left")
-        .withColumn("__rank", (F.col("__nth") + F.col("__first")).cast("long"))
-        .select(*keep, "__size", "__rank")
+        rows.withColumn(nth_, F.row_number().over(within) - 1)
+        .join(first, [size_, salt_], "left")
+        .withColumn(rank_, (F.col(nth_) + F.col(first_)).cast("long"))
+        .select(*keep, size_, rank_)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, ranks = batch.column("__size"), batch.column("__rank")
+            sizes, ranks = batch.column(size_), batch.column(rank_)
             none = np.asarray(sizes.is_null())
             if len(plan["rank"]):
                 at = place(plan, np.asarray(sizes.fill_null(1)), np.where(none, 0, np.asarray(ranks.fill_null(0))))

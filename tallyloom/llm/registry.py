@@ -27,3 +27,14 @@ def query(name: str, sql: str | None = None):
 
 def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet").select(*columns)
+
+
+def fresh(taken: list[str], *names: str) -> list[str]:
+    """Names like the given ones that no column has, whatever its case."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names:
+        while name in used:
+            name += "_"
+        used.add(name)
+        out.append(name)
+    return out

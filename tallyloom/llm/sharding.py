@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.registry import query, table
+from tallyloom.llm.registry import fresh, query, table
 from tallyloom.session import materialise
 
 SHARDS = 16
@@ -118,17 +118,6 @@ def deal(
     return ranked.join(starts, ["shard", bucket]).select(*keep, "shard", (F.col(offset) + F.col(nth)).cast("long").alias("slot"))
 
 
-def fresh(taken: list[str], *names: str) -> list[str]:
-    """Names like the given ones that no column has, whatever its case."""
-    used, out = {c.lower() for c in taken}, []
-    for name in names:
-        while name in used:
-            name += "_"
-        used.add(name)
-        out.append(name)
-    return out
-
-
 def write_shards(dealt: DataFrame, path: str, rows_per_file: int = 1_000_000) -> None:
     """Parquet files in folders shard=0, shard=1, ..., each a run of slots in order."""
     chunk = fresh(dealt.columns, "chunk")[0]

@@ -2,7 +2,8 @@
 
 A tokenizer of the `tokenizers` library that never merges across certain places gives the
 same ids for a text as for its chunks one after the other. Natural text repeats its chunks,
-so each worker encodes a chunk once and then joins stored ids.
+so Arrow numbers the different chunks of some texts, each worker encodes a chunk once, and numpy
+gathers the ids of the texts from those of the chunks.
 """
 
 from __future__ import annotations
@@ -15,14 +16,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Chunks a worker keeps (about 200 bytes each); a full cache starts anew.
-MAX_CHUNKS = 300_000
+# Chunks of a generation (about 200 bytes each). A full one becomes the old one and is asked
+# second; what is found there moves on, so that chunks in use stay.
+MAX_CHUNKS = 150_000
 # Longer chunks are encoded each time.
 MAX_CHUNK_BYTES = 4096
 # New chunks encoded together.
 ENCODE_AT_ONCE = 10_000
-# Bytes of text looked up together.
+# Bytes of text looked up together, and numbers gathered together.
 GROUP_BYTES = 4_000_000
+GATHERED_AT_ONCE = 1_000_000
 
 
 def load_tokenizer(path: str):
@@ -40,25 +43,71 @@ class ChunkCache:
     """Chunk (bytes) -> its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = MAX_CHUNKS):
-        self.encode, self.limit, self.ids = encode, limit, {}
-
-    def join(self, chunks: list[list[bytes]]) -> list[bytes]:
-        """The ids of each text, given as its chunks."""
-        missing = set().union(*chunks).difference(self.ids)
-        if len(self.ids) + len(missing) > self.limit:
-            self.ids.clear()
-            missing = set().union(*chunks)
-        if missing:
-            new = list(missing)
-            for start in range(0, len(new), ENCODE_AT_ONCE):
-                part = new[start : start + ENCODE_AT_ONCE]
-                for chunk, ids in zip(part, self.encode(part)):
-                    self.ids[chunk] = np.asarray(ids, "<u4").tobytes()
-        get = self.ids.__getitem__
-        out = [b"".join(map(get, c)) for c in chunks]
-        for chunk in [c for c in missing if len(c) > MAX_CHUNK_BYTES]:
-            del self.ids[chunk]
-        return out
+        self.encode, self.limit = encode, limit
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def look_up(self, chunks: list[bytes]) -> list[bytes]:
+        """The ids of different chunks."""
+        found = list(map(self.new.get, chunks))
+        missing = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            ids = found[i] = self.old.get(chunks[i])
+            if ids is None:
+                missing.append(i)
+            else:
+                self._keep(chunks[i], ids)
+        for start in range(0, len(missing), ENCODE_AT_ONCE):
+            part = missing[start : start + ENCODE_AT_ONCE]
+            for i, ids in zip(part, self.encode([chunks[i] for i in part])):
+                found[i] = np.asarray(ids, "<u4").tobytes()
+                self._keep(chunks[i], found[i])
+        return found
+
+    def _keep(self, chunk: bytes, ids: bytes) -> None:
+        if len(chunk) <= MAX_CHUNK_BYTES:
+            if len(self.new) >= self.limit:
+                self.old, self.new = self.new, {}
+            self.new[chunk] = ids
+
+    def join(self, chunks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, given as lists of chunks, one after the other, and where each text ends."""
+        numbered = chunks.flatten().dictionary_encode()
+        ids = self.look_up(numbered.dictionary.cast(pa.binary()).to_pylist())
+        table = np.frombuffer(b"".join(ids), "<u4")
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        which = np.asarray(numbered.indices)
+        out, ends = gather(table, np.cumsum(lengths) - lengths, lengths, which)
+        offsets = np.asarray(chunks.offsets)
+        return out, np.append(0, ends)[offsets[1:] - offsets[0]]
+
+
+def gather(table: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of `table` that `which` names, one after the other, and where each ends.
+
+    Some runs at a time, so that place numbers, which take more room than the runs, stay few.
+    """
+    size = lengths[which]
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, table.dtype)
+    first = done = 0
+    while first < len(which):
+        last = max(first + 1, int(np.searchsorted(ends, done + GATHERED_AT_ONCE, "right")))
+        runs, n = which[first:last], size[first:last]
+        stop = int(ends[last - 1])
+        if last == first + 1:
+            out[done:stop] = table[starts[runs[0]] : starts[runs[0]] + n[0]]
+        else:
+            shift = np.repeat(starts[runs] - (ends[first:last] - n - done), n)
+            out[done:stop] = table[np.arange(stop - done) + shift]
+        first, done = last, stop
+    return out, ends
+
+
+def as_strings(texts: list[bytes]) -> pa.StringArray:
+    """Bytes as strings for Arrow's text functions, which need not be valid UTF-8."""
+    array = pa.array(texts, pa.binary())
+    return pa.StringArray.from_buffers(len(array), array.buffers()[1], array.buffers()[2])
 
 
 _caches: dict[tuple, object] = {}

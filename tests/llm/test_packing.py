@@ -102,3 +102,21 @@ def test_query(spark):
     assert (out.groupby("sequence_id").length.cumsum() - out.length == out.offset).all()
     assert out.groupby("sequence_id").length.sum().max() <= 4096
     assert out.sequence_id.nunique() <= -(-out.length.sum() // 4096) + 1
+
+
+def test_plan_stays_small():
+    import time
+
+    start = time.time()
+    for lengths, counts in (([2000], [10**8]), ([2000, 1900], [10**8, 10**8]), ([1, 1365, 2048, 4096], [10**7, 10**8, 10**8 + 1, 5])):
+        plan = packing.make_plan(np.array(lengths), np.array(counts), 4096)
+        assert len(plan["rank"]) <= 4 * len(lengths)
+        assert plan["sequences"] >= -(-sum(a * b for a, b in zip(lengths, counts)) // 4096)
+    assert time.time() - start < 1
+
+
+def test_clashing_names(spark):
+    rows = [(i, 1 + i % 7, "a", "b", "c") for i in range(50)]
+    df = spark.createDataFrame(rows, "id long, length long, size string, Rank string, __row string")
+    out = packing.pack(df, 10)
+    assert out.columns == [*df.columns, "sequence_id", "offset"] and out.filter("size = 'a' AND Rank = 'b' AND __row = 'c'").count() == 50
