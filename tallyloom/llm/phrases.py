@@ -36,10 +36,10 @@ TOP = 2000
 FILTER_BITS = 26
 TRIE_PHRASES = 500_000
 # Keys a worker gathers before it passes them on, and remembers not to pass on twice; symbols of a
-# stored row and of a step in numpy.
+# stored row (few, since a page of the file has a hundred rows at least) and of a step in numpy.
 KEPT_KEYS = 1_000_000
 KEPT_WORDS = 200_000
-ROW_SYMBOLS = 65_536
+ROW_SYMBOLS = 4096
 STEP_SYMBOLS = 500_000
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
