@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates
-from tallyloom.operators import groups, project, setops
-from tallyloom.sources import tables
+from tallyloom.operators import groups, project, rules, setops
+from tallyloom.session import scratch_path
+from tallyloom.sources import publish, tables
 
 
 @query("agg_count", """
@@ -146,12 +147,29 @@ WITH {fx.counts_sql()}, num AS (
 SELECT c.site, c.month, CAST(coalesce(k, 0) AS DOUBLE) AS numerator, n AS denominator
 FROM counts c LEFT JOIN num ON c.site = num.site AND c.month = num.month""")
 def agg_ratio(spark, d):
-    num = (
-        fx.orders(spark, d).filter("o_orderstatus = 'P' AND o_totalprice > 400000")
-        .groupBy("o_custkey", "month").agg(F.count("*").alias("k"))
-        .join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
-        .groupBy("site", "month").agg(F.sum("k").alias("numerator"))
+    # numerator and denominator are two conditions on the same rows: one pass
+    large = (F.col("o_orderstatus") == "P") & (F.col("o_totalprice") > 400000)
+    per_customer = fx.orders(spark, d).groupBy("o_custkey", "month").agg(
+        F.count("*").alias("n"), groups.agg_where(F.count, F.lit(1), large).alias("k")
     )
+    held = per_customer.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+    return held.groupBy("site", "month").agg(F.sum("k").cast("double").alias("numerator"), F.sum("n").alias("denominator"))
+
+
+@query("agg_ratio_join", f"""
+WITH {fx.counts_sql()}, num AS (
+  SELECT n_name AS site, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, count(*) AS k
+  FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey WHERE l_quantity > 49 GROUP BY 1, 2)
+SELECT c.site, c.month, CAST(coalesce(k, 0) AS DOUBLE) AS numerator, n AS denominator
+FROM counts c LEFT JOIN num ON c.site = num.site AND c.month = num.month""")
+def agg_ratio_join(spark, d):
+    """Numerators and denominators from different facts."""
+    nation = fx.t(spark, d, "nation").select(F.col("n_nationkey").alias("s_nationkey"), F.col("n_name").alias("site"))
+    lines = fx.t(spark, d, "lineitem").filter("l_quantity > 49").groupBy(
+        F.col("l_suppkey").alias("s_suppkey"), F.to_date(F.date_trunc("month", "l_shipdate")).alias("month")
+    ).agg(F.count("*").alias("k"))
+    num = lines.join(fx.t(spark, d, "supplier").select("s_suppkey", "s_nationkey"), "s_suppkey").join(nation, "s_nationkey")
+    num = num.groupBy("site", "month").agg(F.sum("k").alias("numerator"))
     den = fx.counts(spark, d).select("site", "month", F.col("n").alias("denominator"))
     return groups.ratio(num, den, ["site", "month"])
 
@@ -232,12 +250,54 @@ def pivot_rownum(spark, d):
 
 @query("fn_recode_map", f"""
 WITH {fx.counts_sql()} SELECT CASE site WHEN 'NATION_0' THEN 'Hilltop' WHEN 'NATION_3' THEN 'Hilltop'
-    WHEN 'NATION_7' THEN 'Seven' ELSE CASE WHEN site LIKE 'NATION_1%' THEN 'Group ' || site ELSE site END END AS site,
+    WHEN 'NATION_7' THEN 'Seven' WHEN 'NATION_11' THEN 'Eleven'
+    ELSE CASE WHEN site LIKE 'NATION_1%' THEN 'Group ' || site ELSE site END END AS site,
   CAST(sum(n) AS BIGINT) AS n FROM counts GROUP BY 1""")
 def fn_recode_map(spark, d):
-    mapping = tables.params(
-        spark, [("NATION_0", "Hilltop"), ("NATION_3", "Hilltop"), ("NATION_7", "Seven")], "site string, mapped string"
+    """Names by a table of rules: whole names, and a prefix that keeps the name; the longest counts."""
+    table = tables.params(
+        spark,
+        [(1, "NATION_0", True, "Hilltop", False), (2, "NATION_3", True, "Hilltop", False), (3, "NATION_7", True, "Seven", False),
+         (4, "NATION_1", False, "Group ", True), (5, "NATION_11", True, "Eleven", False), (6, "NATION_11", False, "no", False)],
+        f"{rules.RULE}, name string, keeps boolean",
     )
-    named = fx.counts(spark, d).join(mapping, "site", "left")
-    prefixed = F.when(F.col("site").startswith("NATION_1"), F.concat(F.lit("Group "), "site"))
-    return named.groupBy(F.coalesce("mapped", prefixed, "site").alias("site")).agg(F.sum("n").alias("n"))
+    named = rules.by_prefix(fx.counts(spark, d), "site", table, ["name", "keeps"])
+    name = F.when(F.col("keeps"), F.concat("name", "site")).otherwise(F.coalesce("name", "site"))
+    return named.groupBy(name.alias("site")).agg(F.sum("n").alias("n"))
+
+
+# Part types are codes of one to three characters here; later rules repeat and narrow earlier ones.
+CLASS_RULES = [(1, "12", True, "a"), (2, "1", False, "b"), (3, "2", False, "c"), (4, "23", False, "d"), (5, "23", True, "e"), (6, "4", True, "f"), (7, "", False, "rest")]
+
+
+@query("classify_by_rules", """
+WITH c AS (SELECT CASE WHEN p_size % 10 = 9 THEN NULL ELSE CAST(p_partkey % 260 AS VARCHAR) END AS code FROM part)
+SELECT code, count(*) AS n,
+  CASE WHEN code IS NULL THEN NULL WHEN code = '23' THEN 'e' WHEN code LIKE '23%' THEN 'd' WHEN code = '12' THEN 'a' WHEN code = '4' THEN 'f'
+       WHEN code LIKE '1%' THEN 'b' WHEN code LIKE '2%' THEN 'c' ELSE 'rest' END AS longest,
+  CASE WHEN code IS NULL THEN NULL WHEN code = '12' THEN 'a' WHEN code LIKE '1%' THEN 'b' WHEN code LIKE '2%' THEN 'c' WHEN code LIKE '23%' THEN 'd'
+       WHEN code = '4' THEN 'f' ELSE 'rest' END AS first
+FROM c GROUP BY 1""")
+def classify_by_rules(spark, d):
+    """Codes by longest prefix and by first rule of the same table."""
+    part = fx.t(spark, d, "part").select(F.when(F.col("p_size") % 10 != 9, (F.col("p_partkey") % 260).cast("string")).alias("code"))
+    table = tables.params(spark, CLASS_RULES, f"{rules.RULE}, class string")
+    counted = part.groupBy("code").agg(F.count("*").alias("n"))
+    both = rules.by_prefix(counted, "code", table.withColumnRenamed("class", "longest"), ["longest"])
+    return rules.by_prefix(both, "code", table.withColumnRenamed("class", "first"), ["first"], longest=False)
+
+
+@query("redelivered_months", f"""
+WITH {fx.SERIES}, s AS (SELECT site, month, numerator, denominator FROM series),
+new AS (SELECT site, month, numerator + 1000 AS numerator, denominator FROM s
+        WHERE month IN (DATE '1997-03-01', DATE '1998-05-01') AND site <> 'NATION_4')
+SELECT * FROM s ANTI JOIN new USING (site, month) UNION ALL SELECT * FROM new""")
+def redelivered_months(spark, d):
+    """A table kept by month into which two months are delivered again."""
+    rows = fx.stored_series(spark, d).select("site", "month", "numerator", "denominator")
+    path = scratch_path(spark, "months")
+    publish.write_months(rows, path)
+    again = F.col("month").isin([dates.day("1997-03-01"), dates.day("1998-05-01")])
+    new = rows.filter(again & (F.col("site") != "NATION_4")).withColumn("numerator", F.col("numerator") + 1000)
+    publish.redeliver(path, new, ["site", "month"])
+    return publish.read_months(spark, path, rows)

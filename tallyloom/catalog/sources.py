@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates
 from tallyloom.operators import calendar, setops
 from tallyloom.schema import MEASURE_ROW, measure_rows
-from tallyloom.session import scratch_path
-from tallyloom.sources import forms, tables
+from tallyloom.session import materialise, scratch_path
+from tallyloom.sources import folders, forms, publish, tables
 
 
 @query("scan_table", """
@@ -24,10 +25,52 @@ def scan_table(spark, d):
     )
 
 
-@query("scan_typed", """
+# Sheets of three sites and two months, landed as CSV under names that tell both. Their columns differ in
+# number and order, and some amounts are no numbers.
+LANDED = {
+    "1-URGENT": ("Hill Top", ["subject", "amount", "day"]),
+    "2-HIGH": ("Hill Side", ["day", "note", "subject", "amount"]),
+    "3-MEDIUM": ("Mill", ["subject", "day"]),
+}
+LANDED_MONTHS = ("1997-01-01", "1997-02-01")
+SHEET = "subject BIGINT, amount DOUBLE, day DATE"
+LANDED_SQL = f"""{fx.ORDERS}, landed AS (
+  SELECT site || ' ' || strftime(month, '%Y%m') || '.csv' AS file, site, month, o_orderkey AS subject, o_date AS day,
+    CASE WHEN site <> 'Mill' AND o_orderkey % 5 > 0 THEN o_totalprice END AS amount,
+    CASE WHEN site <> 'Mill' AND o_orderkey % 5 = 0 THEN 'amount' END AS bad
+  FROM orders_d JOIN (VALUES ('1-URGENT', 'Hill Top'), ('2-HIGH', 'Hill Side'), ('3-MEDIUM', 'Mill')) v(p, site) ON p = o_orderpriority
+  WHERE month IN (DATE '{LANDED_MONTHS[0]}', DATE '{LANDED_MONTHS[1]}'))"""
+
+
+def landed(spark, d):
+    """A new folder with one file per site and month, each published under its name."""
+    folder = scratch_path(spark, "landed")
+    month = F.col("month").isin([dates.day(m) for m in LANDED_MONTHS])
+    rows = materialise(
+        fx.orders(spark, d).filter(month & F.col("o_orderpriority").isin(list(LANDED))).select(
+            "o_orderpriority", "month", F.col("o_orderkey").alias("subject"), F.col("o_date").alias("day"), F.lit("seen").alias("note"),
+            F.when(F.col("o_orderkey") % 5 == 0, "n/a").otherwise(F.col("o_totalprice").cast("string")).alias("amount"),
+        )
+    )
+    for priority, (site, columns) in LANDED.items():
+        for m in LANDED_MONTHS:
+            sheet = rows.filter((F.col("o_orderpriority") == priority) & (F.col("month") == dates.day(m)))
+            publish.publish_csv(sheet.select(columns), f"{folder}/{site} {m[:4]}{m[5:7]}.csv", ["subject"])
+    return folder
+
+
+@query("scan_typed", f"""
+WITH {LANDED_SQL} SELECT subject, amount, day FROM landed WHERE site = 'Hill Side'""")
+def scan_typed(spark, d):
+    """Sheets of one layout by its declared columns and types."""
+    layout = T.StructType.fromDDL("day DATE, note STRING, subject BIGINT, amount DOUBLE")
+    return tables.read_sheet(spark, f"{landed(spark, d)}/Hill Side*.csv", layout, ["subject", "amount", "day"])
+
+
+@query("scan_typed_lines", """
 SELECT o_orderkey AS subject, CASE WHEN o_orderpriority LIKE '1-%' THEN NULL ELSE o_totalprice END AS amount,
        CAST(o_orderdate AS DATE) AS day FROM orders""")
-def scan_typed(spark, d):
+def scan_typed_lines(spark, d):
     amount = F.when(F.col("o_orderpriority").startswith("1-"), "n/a").otherwise(F.col("o_totalprice").cast("string"))
     lines = fx.orders(spark, d).select(
         F.concat_ws(",", "o_orderkey", "o_orderpriority", amount, F.col("o_date").cast("string")).alias("line")
@@ -36,17 +79,38 @@ def scan_typed(spark, d):
     return tables.parse_lines(lines, "line", ddl, ["subject", "amount", "day"])
 
 
-@query("scan_folder", """
-SELECT 'orders.parquet' AS file, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority""")
+@query("scan_folder", f"""
+WITH {LANDED_SQL} SELECT file, site, month, subject, amount, day, bad FROM landed""")
 def scan_folder(spark, d):
+    """All files of a folder whose columns differ, bad values named."""
+    files = folders.list_files(spark, landed(spark, d))
+    return folders.read_files(spark, files, T.StructType.fromDDL(SHEET)).drop("line")
+
+
+@query("scan_folder_tables", """
+SELECT 'orders.parquet' AS file, o_orderpriority, count(*) AS n FROM orders GROUP BY o_orderpriority""")
+def scan_folder_tables(spark, d):
     return tables.read_folder(spark, f"{d}/o*.parquet").groupBy("file", "o_orderpriority").agg(F.count("*").alias("n"))
 
 
 @query("file_meta", f"""
+WITH {LANDED_SQL} SELECT file, site, month, count(*) AS n, CAST(count(bad) AS BIGINT) AS n_bad,
+  CAST(month >= DATE '{LANDED_MONTHS[1]}' AS INTEGER) AS recent
+FROM landed WHERE site LIKE 'Hill%' GROUP BY 1, 2, 3""")
+def file_meta(spark, d):
+    """Files chosen by their names before any is opened, and again by the months of their rows."""
+    files = folders.choose(folders.list_files(spark, landed(spark, d)), prefixes=["Hill"])
+    rows = folders.read_files(spark, files, T.StructType.fromDDL(SHEET))
+    counted = rows.groupBy("file", "site", "month").agg(F.count("*").alias("n"), F.count("bad").alias("n_bad"))
+    recent = tables.files_from(counted, ["Hill"], LANDED_MONTHS[1]).withColumn("recent", F.lit(1))
+    return counted.join(recent.select("file", "recent"), "file", "left").withColumn("recent", F.coalesce("recent", F.lit(0)))
+
+
+@query("file_meta_names", f"""
 WITH {fx.ORDERS} SELECT o_orderpriority AS site, month, count(*) AS n,
   CAST(o_orderpriority LIKE '1-%' OR month >= DATE '2000-01-01' AS INTEGER) AS chosen
 FROM orders_d GROUP BY 1, 2""")
-def file_meta(spark, d):
+def file_meta_names(spark, d):
     files = fx.orders(spark, d).select(
         F.concat("o_orderpriority", F.lit(" "), F.date_format("o_date", "yyyyMM"), F.lit(".xlsx")).alias("file")
     )
@@ -202,20 +266,32 @@ r AS (SELECT site, month, CAST(count(*) FILTER (WHERE o_totalprice > 450000) AS
       WHERE o_orderpriority = '1-URGENT' AND o_totalprice > 250000 GROUP BY 1, 2)
 SELECT f.site, f.month, numerator, denominator FROM f LEFT JOIN r ON f.site = r.site AND f.month = r.month""")
 def placeholder_row(spark, d):
-    per_customer = (
-        fx.orders(spark, d)
-        .filter((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 250000))
-        .groupBy("o_custkey", "month")
-        .agg(
-            F.sum(F.when(F.col("o_totalprice") > 450000, 1.0).otherwise(0.0)).alias("numerator"),
-            F.count("*").cast("double").alias("denominator"),
-        )
+    urgent = (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_totalprice") > 250000)
+    per_customer = fx.orders(spark, d).groupBy("o_custkey", "month").agg(
+        F.sum(F.when(urgent, F.when(F.col("o_totalprice") > 450000, 1.0).otherwise(0.0))).alias("numerator"),
+        F.sum(F.when(urgent, 1.0)).alias("denominator"),
     )
-    rows = (
+    # files and the rows of them come from one pass; the placeholder is the missing sum
+    return (
         per_customer.join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("site", "month")
         .agg(F.sum("numerator").alias("numerator"), F.sum("denominator").alias("denominator"))
     )
+
+
+@query("placeholder_files", f"""
+WITH {fx.ORDERS}, {fx.SITES}, f AS (SELECT DISTINCT site, month FROM orders_d JOIN sites ON o_custkey = c_custkey),
+r AS (SELECT site, month, CAST(count(*) AS DOUBLE) AS numerator FROM orders_d JOIN sites ON o_custkey = c_custkey
+      WHERE o_orderstatus = 'P' AND o_totalprice > 350000 GROUP BY 1, 2)
+SELECT f.site, f.month, numerator FROM f LEFT JOIN r ON f.site = r.site AND f.month = r.month""")
+def placeholder_files(spark, d):
+    """Files without a row get one of missing values, where files and rows come from two places."""
+    large = fx.orders(spark, d).filter("o_orderstatus = 'P' AND o_totalprice > 350000")
+    rows = (
+        large.groupBy("o_custkey", "month").agg(F.count("*").cast("double").alias("numerator"))
+        .join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
+        .groupBy("site", "month").agg(F.sum("numerator").alias("numerator"))
+    )
     return forms.or_placeholder(fx.counts(spark, d), rows, ["site", "month"])
 
 

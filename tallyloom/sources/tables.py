@@ -49,9 +49,9 @@ def read_folder(spark: SparkSession, glob: str) -> DataFrame:
     return df.withColumn("file", file_name(F.col("_metadata.file_path")))
 
 
-def file_name(path: Column) -> Column:
+def file_name(path: Column, suffix: str = "parquet") -> Column:
     """Name of a file, or of the folder that holds the part files of a table."""
-    name = F.regexp_extract(path, r"([^/]+\.parquet)(?:/[^/]*)?$", 1)
+    name = F.regexp_extract(path, rf"([^/]+\.{suffix})(?:/[^/]*)?$", 1)
     return F.when(name != "", name).otherwise(F.substring_index(path, "/", -1))
 
 
@@ -91,17 +91,17 @@ def params(
     return F.broadcast(df) if len(rows) <= broadcast_rows else df
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Header line, dates as text, missing values as ``NA``.
+def dates_as_text(df: DataFrame) -> DataFrame:
+    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
+    return df.withColumns({c: F.col(c).cast("string") for c in dates})
+
 
-    ``single_file`` is for the published report, whose size is bounded by
-    sites x measures x months; anything larger is written as one file per partition.
+def write_csv(df: DataFrame, path: str) -> None:
+    """A folder with one file per partition: header line, dates as text, missing values as ``NA``.
+
+    A result of bounded size that others read as one file goes to ``publish.publish_csv``.
     """
-    dates = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)]
-    df = df.withColumns({c: F.col(c).cast("string") for c in dates})
-    if single_file:
-        df = df.coalesce(1)
-    df.write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
+    dates_as_text(df).write.mode("overwrite").option("header", True).option("nullValue", "NA").csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
