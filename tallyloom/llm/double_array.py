@@ -20,11 +20,11 @@ class Trie:
     symbols: np.ndarray  # uint64, sorted; code = index + 1
     base: np.ndarray  # int32
     check: np.ndarray  # int32
-    key: np.ndarray  # int64, of the path that ends in a state, 0 if none does
+    key: np.ndarray  # int64, of the path that ends in a state, 0 if none does; of a single symbol itself
     depth: int
 
     def add_counts(self, text: np.ndarray, counts: np.ndarray) -> None:
-        """Add how often each state is reached from any position of the text, roots' children left out.
+        """Add how often each state is reached from any position of the text.
 
         All positions step at once: level d has the states of all paths of d symbols.
         """
@@ -34,6 +34,7 @@ class Trie:
         code = np.append(code, 0)
         at = np.flatnonzero(code)
         state = code[at]
+        counts += np.bincount(state, minlength=len(counts))
         for _ in range(self.depth - 1):
             at = at + 1
             step = code[at]
@@ -71,6 +72,7 @@ def build(paths: Sequence[np.ndarray], keys: Sequence[np.ndarray]) -> Trie:
     size = max([len(symbols), *parents]) + 1
     base, check, key = np.full(size, _NONE, np.int32), np.full(size, -1, np.int32), np.zeros(size, np.int64)
     check[: len(symbols) + 1] = 0
+    key[1 : len(symbols) + 1] = symbols.view(np.int64)
     for table, values in ((base, bases), (check, parents), (key, ends)):
         table[np.fromiter(values, np.int64, len(values))] = np.fromiter(values.values(), np.int64, len(values))
     return Trie(symbols, base, check, key, depth)

@@ -3,10 +3,10 @@
 Texts are turned once into arrays of 64-bit word symbols (a word of two languages has two
 symbols), with zeros between pieces. Candidates grow word by word and are Apriori-safe: a phrase
 of k words is looked at only where both its parts of k - 1 words may be frequent, and is a candidate
-if the occurrences of its 64-bit key reach the least count, which bounds the phrase's count from
-above. Candidates are then counted exactly: a double-array trie of them is broadcast, numpy moves
-the states of all positions one word on at a time and bincounts the states reached, and
-the tasks' counts are added up.
+if the phrases that share the first half of its 64-bit key occur often enough together, which
+bounds its count from above. Candidates are then counted exactly: a double-array trie of them is
+broadcast, numpy moves the states of all positions one word on at a time and bincounts the states
+reached, and the tasks' counts are added up.
 
 What is broadcast has a fixed size: a bit filter of 2 ** FILTER_BITS bits per level, filled by key, whose
 false hits only cost time; and tries of at most about TRIE_PHRASES candidates with their prefixes. More
@@ -33,14 +33,16 @@ from tallyloom.session import materialise
 MIN_COUNT = 100
 MAX_WORDS = 5
 TOP = 2000
-FILTER_BITS = 26
+FILTER_BITS = 25
 TRIE_PHRASES = 500_000
-# Keys a worker gathers before it passes them on, and remembers not to pass on twice; symbols of a
-# stored row (few, since a page of the file has a hundred rows at least) and of a step in numpy.
-KEPT_KEYS = 1_000_000
-KEPT_WORDS = 200_000
+# Symbols of a task: the more, the fewer tasks find the same phrases. Of a stored row: few, since a
+# page of the file has a hundred rows at least. Of a step in numpy.
+TASK_SYMBOLS = 16_000_000
 ROW_SYMBOLS = 4096
 STEP_SYMBOLS = 500_000
+# Keys, and phrases or words, that a task gathers before it passes them on.
+KEPT_KEYS = 2_000_000
+KEPT_PHRASES = 200_000
 
 _ENDS = b".,;:!?\n\x0b\x0c\r"
 _END = b"."  # stands for all of them
@@ -106,7 +108,7 @@ def spell(docs: DataFrame, wanted) -> DataFrame:
         for lang, words, known in _by_lang(batches):
             new = (known != 0) & _has(wanted.value, known)
             new[new] = [x not in seen for x in known[new].tolist()]
-            if len(seen) < KEPT_WORDS:
+            if len(seen) < KEPT_PHRASES:
                 seen.update(known[new].tolist())
             at = np.flatnonzero(new)
             yield pa.RecordBatch.from_arrays(
@@ -136,9 +138,9 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
 # -- candidates ------------------------------------------------------------------------------
 
 
-def bit_filter(keys: DataFrame, key: str) -> np.ndarray:
-    """Bits of the keys' leading FILTER_BITS bits: a fixed number of rows of 4 KB comes to the driver."""
-    at = F.shiftrightunsigned(key, 64 - FILTER_BITS) + 1
+def bit_filter(keys: DataFrame, key: str, width: int = 64) -> np.ndarray:
+    """Bits of the leading FILTER_BITS bits of keys of `width` bits: a fixed number of rows of 4 KB comes to the driver."""
+    at = F.shiftrightunsigned(key, width - FILTER_BITS) + 1
     parts = keys.groupBy(F.bitmap_bucket_number(at).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bits"))
     out = np.zeros((1 << FILTER_BITS) // 8, np.uint8)
     for r in parts.collect():
@@ -172,21 +174,25 @@ def longer_key(key: np.ndarray, symbol: np.ndarray) -> np.ndarray:
     return mix(key * _U(0x9E3779B97F4A7C15) + symbol)
 
 
-def key_counts(encoded: DataFrame, filters: list) -> DataFrame:
-    """key, n of the phrases one word longer than the filters reach; a key may come from several tasks."""
+def half_key_counts(encoded: DataFrame, filters: list) -> DataFrame:
+    """half, n: how often keys with this first half occur among phrases one word longer than the filters reach.
+
+    A half may come from several tasks.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = [b.value for b in filters]
-        keys, n = np.zeros(0, _U), np.zeros(0, np.int64)
+        halves, n = np.zeros(0, np.uint32), np.zeros(0, np.int64)
         for text in _texts(batches):
-            *_, (_, _, found) = grams(text, bits)
-            keys, n = _merged(keys, n, *np.unique(found, return_counts=True))
-            if len(keys) > KEPT_KEYS:
-                yield from _key_batches(keys, n)
-                keys, n = keys[:0].copy(), n[:0].copy()
-        yield from _key_batches(keys, n)
+            *_, (_, _, keys) = grams(text, bits)
+            found, m = np.unique((keys >> _U(32)).astype(np.uint32), return_counts=True)
+            halves, n = _merged(halves, n, found, m)
+            if len(halves) > KEPT_KEYS:
+                yield from _batches(["half", "n"], halves.view(np.int32), n)
+                halves, n = halves[:0].copy(), n[:0].copy()
+        yield from _batches(["half", "n"], halves.view(np.int32), n)
 
-    return encoded.mapInArrow(run, "key long, n long")
+    return encoded.mapInArrow(run, "half int, n long")
 
 
 def _merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -197,36 +203,56 @@ def _merged(keys: np.ndarray, n: np.ndarray, more: np.ndarray, m: np.ndarray) ->
     return keys[first], np.add.reduceat(n[order], first) if len(first) else n
 
 
-def _key_batches(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for start in range(0, len(keys), 100_000):
-        part = slice(start, start + 100_000)
-        yield pa.RecordBatch.from_arrays([pa.array(keys[part].view(np.int64)), pa.array(n[part])], ["key", "n"])
+def _batches(names: list[str], *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for start in range(0, len(columns[0]), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(c[start : start + 100_000]) for c in columns], names)
 
 
-def paths(encoded: DataFrame, filters: list) -> DataFrame:
-    """key and path (symbols) of the phrases of two words and more that pass all filters."""
+def paths(encoded: DataFrame, filters: list, least: int) -> DataFrame:
+    """key and path (symbols), once, of the phrases of two words and more that pass all filters.
+
+    A task only passes on what it has `least` times itself, and everything once it has too much to
+    remember. With `least` no more than min_count / tasks every frequent phrase comes from some task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = [b.value for b in filters]
-        seen: set[int] = set()
+        bits, enough = [b.value for b in filters], least
+        seen = {w: (np.zeros(0, _U), np.zeros(0, np.int64), np.zeros((0, w), _U)) for w in range(2, len(bits) + 1)}
         for text in _texts(batches):
             for words, at, keys in grams(text, bits[:-1]):
                 if words == 1:
                     continue
-                keys, first = np.unique(keys, return_index=True)
-                new = _has(bits[words - 1], keys)
-                new[new] = [k not in seen for k in keys[new].tolist()]
-                keys, at_new = keys[new], at[first[new]]
-                if len(seen) < KEPT_WORDS:
-                    seen.update(keys.tolist())
-                path = text[at_new[:, None] + np.arange(words)]
-                offsets = pa.array(np.arange(len(keys) + 1) * words, pa.int32())
-                column = pa.ListArray.from_arrays(offsets, pa.array(path.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), column], ["key", "path"])
+                good = _has(bits[words - 1], keys)
+                old, n, path = seen[words]
+                keys = np.concatenate([old, keys[good]])
+                keys, first, back = np.unique(keys, return_index=True, return_inverse=True)
+                new = first >= len(old)
+                places = at[good][first[new] - len(old)]
+                rows = np.empty((len(keys), words), _U)
+                rows[~new] = path[first[~new]]
+                rows[new] = text[places[:, None] + np.arange(words)]
+                counts = np.bincount(back, minlength=len(keys))
+                counts[back[: len(old)]] += n - 1  # an old key is itself among those counted
+                seen[words] = keys, counts, rows
+            if sum(len(k) for k, _, _ in seen.values()) > KEPT_PHRASES:
+                enough = 1
+                yield from _path_batches(seen, enough)
+                seen = {w: (k[:0].copy(), n[:0].copy(), p[:0].copy()) for w, (k, n, p) in seen.items()}
+        yield from _path_batches(seen, enough)
 
     return encoded.mapInArrow(run, "key long, path array<long>").dropDuplicates(["key"])
 
 
+def _path_batches(seen: dict, least: int) -> Iterator[pa.RecordBatch]:
+    for words, (keys, n, path) in seen.items():
+        keys, path = keys[n >= least], path[n >= least]
+        for start in range(0, len(keys), 50_000):
+            part, rows = keys[start : start + 50_000], path[start : start + 50_000]
+            offsets = pa.array(np.arange(len(part) + 1) * words, pa.int32())
+            column = pa.ListArray.from_arrays(offsets, pa.array(rows.ravel().view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(part.view(np.int64)), column], ["key", "path"])
+
+
 # -- counting --------------------------------------------------------------------------------
 
 
@@ -256,7 +282,7 @@ _ARRAYS = ("symbols", "base", "check", "key")
 
 
 def count_in(encoded: DataFrame, trie) -> DataFrame:
-    """key, n: the tasks' exact counts of a broadcast trie's phrases."""
+    """key, n: the tasks' exact counts of a broadcast trie's phrases, and of their words by symbol."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = trie.value
@@ -264,7 +290,7 @@ def count_in(encoded: DataFrame, trie) -> DataFrame:
         for text in _texts(batches):
             t.add_counts(text, counts)
         found = np.flatnonzero((counts > 0) & (t.key != 0))
-        yield from _key_batches(t.key[found].view(_U), counts[found])
+        yield from _batches(["key", "n"], t.key[found], counts[found])
 
     return encoded.mapInArrow(run, "key long, n long")
 
@@ -280,37 +306,41 @@ def phrase_counts(
     spark = docs.sparkSession
     sc = spark.sparkContext
     stored = materialise(encode(docs), "symbols")
-    encoded = stored.filter("symbols IS NOT NULL").select("symbols")
     totals = stored.filter("symbols IS NULL").groupBy("lang").agg(F.sum("n").alias("n"))
+    size = totals.agg(F.sum("n")).collect()[0][0] or 0
+    tasks = max(sc.defaultParallelism, -(-size // TASK_SYMBOLS))
+    encoded = stored.filter("symbols IS NOT NULL").select("symbols").coalesce(tasks)
 
     filters, levels = [], []
     for _ in range(max_words):
-        keys = key_counts(encoded, filters).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
-        levels.append(materialise(keys, "keys"))
-        filters.append(sc.broadcast(bit_filter(levels[-1], "key")))
+        halves = half_key_counts(encoded, filters).groupBy("half").agg(F.sum("n").alias("n"))
+        levels.append(materialise(halves.filter(F.col("n") >= min_count).select("half"), "halves"))
+        filters.append(sc.broadcast(bit_filter(levels[-1], "half", 32)))
         if levels[-1].isEmpty():
             break
-    words = levels[0].select(F.array("key").alias("path"), F.col("n").alias("a"))
-    longer = levels[0].select("key").limit(0)
+    halves = levels[0].limit(0)
     for level in levels[1:]:
-        longer = longer.union(level.select("key"))
-    candidates = materialise(paths(encoded, filters).join(longer, "key", "left_semi"), "candidates")
+        halves = halves.union(level)
+    # halves of all lengths in one table: a key that only matches one of another length is counted for nothing
+    found = paths(encoded, filters, -(-min_count // tasks)).withColumn("half", F.shiftright("key", 32).cast("int"))
+    candidates = materialise(found.join(halves.distinct(), "half", "left_semi").drop("half"), "candidates")
     tries = materialise(build_tries(candidates, phrases_each), "tries")
-    counted = levels[0].limit(0)
+    counted = candidates.select("key", F.lit(0).cast("long").alias("n")).limit(0)
     for r in tries.select("shard").toLocalIterator():
         row = tries.filter(F.col("shard") == r["shard"]).collect()[0]
         kinds = (_U, np.int32, np.int32, np.int64)
         arrays = [np.frombuffer(row[n], k) for n, k in zip(_ARRAYS, kinds)]
         trie = sc.broadcast(double_array.Trie(*arrays, row["depth"]))
-        part = materialise(count_in(encoded, trie).groupBy("key").agg(F.sum("n").alias("n")), "counts")
-        counted = counted.union(part)
+        part = count_in(encoded, trie).groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_count)
+        counted = counted.union(materialise(part, "counts"))
         trie.unpersist()
-    kept = materialise(
-        candidates.join(counted.filter(F.col("n") >= min_count), "key").select("path", F.col("n").alias("a")), "frequent"
-    )
+    # words are in several tries, with the same count
+    counted = counted.groupBy("key").agg(F.max("n").alias("a"))
+    kept = materialise(candidates.join(counted, "key").select("path", "a"), "frequent")
 
-    used = kept.select(F.explode("path").alias("symbol"))
-    spelling = sc.broadcast(bit_filter(used, "symbol"))
+    used = kept.select(F.explode("path").alias("key")).distinct()
+    words = used.join(counted, "key").select(F.array("key").alias("path"), "a")
+    spelling = sc.broadcast(bit_filter(used, "key"))
     spelled = materialise(spell(docs, spelling), "spelling")
     for f in [*filters, spelling]:
         f.unpersist()
@@ -364,9 +394,9 @@ def collocations(
         weakest.select(
             "lang", F.array_join("words", " ").alias("phrase"), *[F.col("cut")[c].alias(c) for c in ("a", "l", "r", "n", "score")]
         )
-        .withColumn("rank", F.row_number().over(best).cast("long"))
+        .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= top)
-        .select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+        .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
     )
 
 

@@ -3,6 +3,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyloom.llm import double_array, phrases
@@ -56,6 +57,54 @@ def test_against_counting(spark, least, longest, top, each):
     assert sorted(map(tuple, out.collect())) == brute(docs, least, longest, top)
 
 
+class Task:
+    """Takes the function of a pass, to run it here over batches."""
+
+    def mapInArrow(self, run, schema):
+        self.run = run
+        return self
+
+    def dropDuplicates(self, keys):
+        return self
+
+    def rows(self, texts):
+        batches = [pa.RecordBatch.from_arrays([pa.array([t.tobytes()], pa.binary())], ["symbols"]) for t in texts]
+        return [tuple(r.values()) for b in self.run(iter(batches)) for r in b.to_pylist()]
+
+
+class Value:
+    def __init__(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("kept", [5, 10**6])
+def test_passes_with_little_memory(monkeypatch, kept):
+    """What a task gathers is passed on in parts when it gets too much."""
+    for name in ("KEPT_KEYS", "KEPT_PHRASES"):
+        monkeypatch.setattr(phrases, name, kept)
+    monkeypatch.setattr(phrases, "STEP_SYMBOLS", 50)
+    rng = np.random.default_rng(4)
+    words = phrases.symbols_of([b"a", b"b", b"c", b"d", b"e", b"f"], "en")
+    texts = [words[rng.integers(0, 6, 70)] for _ in range(12)]
+    for t in texts:
+        t[rng.random(70) < 0.1] = 0
+        t[-1] = 0
+    every = Value(np.full((1 << phrases.FILTER_BITS) // 8, 255, np.uint8))
+    whole = np.concatenate(texts)
+    *_, (_, _, keys) = phrases.grams(whole, [every.value] * 2)
+    got = Counter()
+    for half, n in phrases.half_key_counts(Task(), [every] * 2).rows(texts):
+        got[half % 2**32] += n
+    assert got == Counter((keys >> np.uint64(32)).tolist())
+    times = Counter(tuple(whole[i : i + k].tolist()) for k in (2, 3) for i in range(len(whole) - k + 1) if whole[i : i + k].all())
+    rows = phrases.paths(Task(), [every] * 3, 4).rows(texts)
+    found = [tuple(x % 2**64 for x in path) for _, path in rows]
+    frequent = {p for p, n in times.items() if n >= 4}
+    assert set(found) <= set(times) and frequent <= set(found) and frequent
+    if kept > 5:
+        assert len(found) == len(frequent)
+
+
 def test_covered_by_share(spark):
     docs = [("x y z", "en")] * 8 + [("x y", "en")] * 2
     df = spark.createDataFrame(docs, "text string, lang string")
@@ -92,7 +141,8 @@ def test_trie_against_lookups():
         text[rng.random(5000) < 0.05] = 0
         counts = np.zeros(len(trie.check), np.int64)
         trie.add_counts(text, counts)
-        want, plain = Counter(), text.tolist()
+        plain = text.tolist()
+        want = Counter(x for x in plain if x in set(trie.symbols.tolist()))
         for p, k in zip(paths, keys):
             look = {tuple(row): key for row, key in zip(p.tolist(), k.tolist())}
             m = p.shape[1]
