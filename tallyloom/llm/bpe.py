@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.wordcache import ChunkCache, as_strings, gather, load_tokenizer, shared, text_groups
+from tallyloom.llm.wordcache import CHUNKED_BYTES, ChunkCache, as_strings, gather, load_tokenizer, shared, text_groups
 
 LEAF = 1024
 WINDOW = 4
@@ -58,7 +58,7 @@ def split_all(texts: list[bytes]) -> pa.ListArray:
         for t in texts
     ]
     if all(plain):  # an empty text has one empty chunk here, which has no ids
-        return pc.split_pattern(as_strings([_AS_IS + t for t in texts]), " ")
+        return pc.split_pattern(as_strings([_AS_IS + t for t in texts]), " ").cast(pa.list_(pa.binary()))
     return pa.array([(_AS_IS + t).split(b" ") if p else split(t) for t, p in zip(texts, plain)], pa.list_(pa.binary()))
 
 
@@ -175,7 +175,7 @@ def encode(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = shared(("codec", tokenizer), lambda: ByteBPE(tokenizer))
         cache = shared(("bytes", tokenizer), lambda: ChunkCache(codec.encode_chunks))
-        for batch, texts in text_groups(batches, "text", [("codec", tokenizer), ("bytes", tokenizer)]):
+        for batch, texts in text_groups(batches, "text", [("codec", tokenizer), ("bytes", tokenizer)], CHUNKED_BYTES):
             ids, ends = cache.join(split_all(texts))
             starts = np.append(0, ends[:-1])
             each = [ids[a:b].tobytes() for a, b in zip(starts, ends)]

@@ -12,6 +12,7 @@ but no two together exceed that partner. The rest goes best-fit, longest first.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.registry import fresh, query, table
-from tallyloom.llm.wordcache import ChunkCache, as_strings, load_tokenizer, shared, text_groups
+from tallyloom.llm.wordcache import CHUNKED_BYTES, ChunkCache, as_strings, load_tokenizer, shared, text_groups
 from tallyloom.session import materialise
 
 CAPACITY = 4096
 END_ID = 1
+# Words of letters that are encoded as one text.
+JOINED = 128
+# A mark between a letter and white space.
+MARKS = ".,;:!?"
+LOOSE = r"(\pL)([.,;:!?])([\t-\r ])"
 
 
 # -- plan ------------------------------------------------------------------------------------
@@ -180,13 +186,16 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key = ("words", tokenizer)
-        cache = shared(key, lambda: ChunkCache(_encoder(tokenizer)))
+        encoder, cache = shared(key, lambda: _cached(tokenizer))
         end = np.array([] if end_id is None else [end_id], "<u4").tobytes()
         step = 4 * capacity
-        for batch, texts in text_groups(batches, "text", [key]):
+        for batch, texts in text_groups(batches, "text", [key], CHUNKED_BYTES):
             owner, piece, ids = [], [], []
+            words = as_strings([fold(t) for t in texts])
+            if encoder.loose_marks:
+                words = pc.replace_substring_regex(words, LOOSE, r"\1 \2\3")
             # a text that begins or ends with white space has an empty word there, which has no ids
-            all_ids, ends = cache.join(pc.ascii_split_whitespace(as_strings([fold(t) for t in texts])))
+            all_ids, ends = cache.join(pc.ascii_split_whitespace(words))
             for i, (a, b) in enumerate(zip(np.append(0, ends), ends)):
                 whole = all_ids[a:b].tobytes() + end
                 for k in range(0, len(whole), step):
@@ -218,14 +227,44 @@ def fold(text: bytes) -> bytes:
     return text if b"\xcc" in text or b"<|" in text else text.lower()
 
 
-def _encoder(path: str):
-    tokenizer = load_tokenizer(path)
-
-    def encode(chunks: list[bytes]) -> list[list[int]]:
-        out = tokenizer.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)
-        return [e.ids for e in out]
-
-    return encode
+def _cached(path: str) -> tuple[WordEncoder, ChunkCache]:
+    encoder = WordEncoder(path)
+    return encoder, ChunkCache(encoder.encode)
+
+
+class WordEncoder:
+    """Ids of words, many words of letters in one text where the ids tell where each word ends."""
+
+    def __init__(self, path: str):
+        self.tokenizer = load_tokenizer(path)
+        suffix = json.loads(self.tokenizer.to_str())["model"].get("end_of_word_suffix")
+        vocab = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocab.values()) + 1, bool)
+        self.last[[i for t, i in vocab.items() if suffix and t.endswith(suffix)]] = True
+        self.joins = bool(suffix)
+        # Whether a mark after a letter is a piece of its own, and so may be cut off before it is looked up.
+        alike = [self.ids([f"{w}{m}", f"{w} {m}"]) for w in ("ab", "é", "there") for m in MARKS]
+        self.loose_marks = all(a == b for a, b in alike)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def encode(self, chunks: list[str]) -> list[list[int]]:
+        """A word of letters only has one piece, which ends with the one id that has the vocabulary's
+        suffix. Letters that fall apart when they are normalised give more ends than words; the
+        words of such a text are encoded one by one, like chunks of other signs."""
+        out: list = [None] * len(chunks)
+        plain = [i for i, c in enumerate(chunks) if self.joins and c.isalpha()]
+        groups = [plain[i : i + JOINED] for i in range(0, len(plain), JOINED)]
+        for group, ids in zip(groups, self.ids([" ".join([chunks[i] for i in g]) for g in groups])):
+            ends = (np.flatnonzero(self.last[ids]) + 1).tolist()
+            if len(ends) == len(group) and ends[-1] == len(ids):
+                for i, a, b in zip(group, [0, *ends], ends):
+                    out[i] = ids[a:b]
+        rest = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(rest, self.ids([chunks[i] for i in rest])):
+            out[i] = ids
+        return out
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, length_col: str = "length") -> DataFrame:

@@ -11,20 +11,22 @@ from __future__ import annotations
 import ctypes
 import os
 from collections.abc import Callable, Iterable, Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Chunks of a generation (about 200 bytes each). A full one becomes the old one and is asked
-# second; what is found there moves on, so that chunks in use stay.
+# Chunks of a generation (about 200 bytes each). A full one becomes the old one and is asked second; what
+# is found there moves on, so that chunks in use stay.
 MAX_CHUNKS = 150_000
 # Longer chunks are encoded each time.
 MAX_CHUNK_BYTES = 4096
 # New chunks encoded together.
 ENCODE_AT_ONCE = 10_000
-# Bytes of text looked up together, and numbers gathered together.
+# Bytes of text looked at together, and in a cache of chunks; numbers gathered together.
 GROUP_BYTES = 4_000_000
+CHUNKED_BYTES = 12_000_000
 GATHERED_AT_ONCE = 1_000_000
 
 
@@ -40,15 +42,15 @@ def load_tokenizer(path: str):
 
 
 class ChunkCache:
-    """Chunk (bytes) -> its ids as little-endian unsigned 32-bit integers."""
+    """Chunk (bytes or text) -> its ids as little-endian unsigned 32-bit integers."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[list[int]]], limit: int = MAX_CHUNKS):
+    def __init__(self, encode: Callable[[list], list[list[int]]], limit: int = MAX_CHUNKS):
         self.encode, self.limit = encode, limit
-        self.new: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.new: dict[bytes | str, bytes] = {}
+        self.old: dict[bytes | str, bytes] = {}
 
-    def look_up(self, chunks: list[bytes]) -> list[bytes]:
-        """The ids of different chunks."""
+    def look_up(self, chunks: list, often: list[bool]) -> list[bytes]:
+        """The ids of different chunks; those that occur often are remembered first."""
         found = list(map(self.new.get, chunks))
         missing = []
         for i in [i for i, ids in enumerate(found) if ids is None]:
@@ -56,28 +58,30 @@ class ChunkCache:
             if ids is None:
                 missing.append(i)
             else:
-                self._keep(chunks[i], ids)
+                self.new[chunks[i]] = ids
         for start in range(0, len(missing), ENCODE_AT_ONCE):
             part = missing[start : start + ENCODE_AT_ONCE]
-            for i, ids in zip(part, self.encode([chunks[i] for i in part])):
-                found[i] = np.asarray(ids, "<u4").tobytes()
-                self._keep(chunks[i], found[i])
+            ids = self.encode([chunks[i] for i in part])
+            ends = list(accumulate(map(len, ids)))
+            flat = np.fromiter(chain.from_iterable(ids), "<u4", ends[-1]).tobytes()
+            for i, a, b in zip(part, [0, *ends], ends):
+                found[i] = flat[4 * a : 4 * b]
+        for keep in (True, False):
+            for i in missing:
+                if often[i] == keep and len(self.new) < self.limit and len(chunks[i]) <= MAX_CHUNK_BYTES:
+                    self.new[chunks[i]] = found[i]
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
         return found
 
-    def _keep(self, chunk: bytes, ids: bytes) -> None:
-        if len(chunk) <= MAX_CHUNK_BYTES:
-            if len(self.new) >= self.limit:
-                self.old, self.new = self.new, {}
-            self.new[chunk] = ids
-
     def join(self, chunks: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, given as lists of chunks, one after the other, and where each text ends."""
         numbered = chunks.flatten().dictionary_encode()
-        ids = self.look_up(numbered.dictionary.cast(pa.binary()).to_pylist())
-        table = np.frombuffer(b"".join(ids), "<u4")
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         which = np.asarray(numbered.indices)
-        out, ends = gather(table, np.cumsum(lengths) - lengths, lengths, which)
+        often = (np.bincount(which, minlength=len(numbered.dictionary)) > 1).tolist()
+        ids = self.look_up(numbered.dictionary.to_pylist(), often)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        out, ends = gather(np.frombuffer(b"".join(ids), "<u4"), np.cumsum(lengths) - lengths, lengths, which)
         offsets = np.asarray(chunks.offsets)
         return out, np.append(0, ends)[offsets[1:] - offsets[0]]
 
@@ -135,9 +139,9 @@ def release() -> None:
 
 
 def text_groups(
-    batches: Iterable[pa.RecordBatch], column: str, keep: Iterable[tuple] = (),
+    batches: Iterable[pa.RecordBatch], column: str, keep: Iterable[tuple] = (), most: int = GROUP_BYTES,
 ) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of the batches with about GROUP_BYTES of text (one row at least); null is empty.
+    """Slices of the batches with about `most` bytes of text (one row at least); null is empty.
 
     The worker drops what earlier tasks shared, but for the keys in `keep`.
     """
@@ -146,7 +150,7 @@ def text_groups(
         sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0), dtype=np.int64)
         start, total = 0, 0
         for i, size in enumerate(sizes):
-            if total and total + size > GROUP_BYTES:
+            if total and total + size > most:
                 part = batch.slice(start, i - start)
                 yield part, texts_of(part, column)
                 start, total = i, 0

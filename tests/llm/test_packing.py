@@ -89,6 +89,23 @@ def test_pieces(spark):
         assert np.frombuffer(got[i], "<u4").tolist() == want, t
 
 
+def test_words_are_joined_and_marks_cut_off(spark):
+    """Random texts of letters that fall apart, marks in all places, signs and digits."""
+    import random
+
+    rng = random.Random(12)
+    library = Tokenizer.from_file(PATH)
+    encoder = packing.WordEncoder(PATH)
+    assert encoder.joins and encoder.loose_marks
+    parts = ["ab", "Don't", "it's", "İstanbul", "ǰ", "각", "é", "e\u0301", "ﬁ", "ßa", "x1", "..", "a.", "b,", ",", "c!?", "d;", "ʰ", "中文", "؛", "z:\u0301", "<|endoftext|>", "'ll", "ñ."]
+    gaps = [" ", " ", " ", "\n", "\t ", "", "\u00a0", "\x0b"]
+    texts = ["".join(rng.choice(parts) + rng.choice(gaps) for _ in range(rng.randint(0, 25))) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: bytes(r.ids) for r in packing.token_pieces(docs, PATH, 10**6, None).collect()}
+    for i, t in enumerate(texts):
+        assert np.frombuffer(got.get(i, b""), "<u4").tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
+
+
 def test_query(spark):
     folder = "/root/testdata/sf0.001"
     out = packing.op10(spark, folder).toPandas()
