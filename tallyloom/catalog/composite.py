@@ -304,7 +304,7 @@ def subject_first_last(spark, d):
     return scores.first_last(fx.events(spark, d), ["user_id"], "day", "value")
 
 
-DISCHARGED = f"""{fx.EVENTS}, base AS (SELECT user_id * 40 + day(day) % 10 * 4 + hour(ts) % 4 AS subject, day, event_type = 'error' AS dis,
+DISCHARGED = f"""{fx.EVENTS}, base AS (SELECT user_id * 40 + day(day) % 10 * 4 + hour(ts) % 4 AS subject, day, CASE WHEN event_id % 9 > 0 THEN event_type = 'error' END AS dis,
   CASE WHEN event_type = 'view' THEN value ELSE 0 END AS a, CASE WHEN event_type = 'click' THEN value ELSE 0 END AS b,
   CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN 0 ELSE value END AS c FROM ev),
 dis AS (SELECT subject, max(day) AS dis_day FROM base WHERE dis GROUP BY 1),
@@ -337,13 +337,14 @@ def discharge_split(spark, d):
 def _discharged(spark, d):
     v, kind, err = F.col("value"), F.col("event_type"), F.col("event_type") == "error"
     base = fx.events(spark, d).select(
-        (F.col("user_id") * 40 + F.dayofmonth("day") % 10 * 4 + F.hour("ts") % 4).alias("subject"), "day", "event_type",
+        (F.col("user_id") * 40 + F.dayofmonth("day") % 10 * 4 + F.hour("ts") % 4).alias("subject"), "day",
+        F.when(F.col("event_id") % 9 > 0, kind).alias("code"),  # some rows have none
         F.when(kind == "view", v).otherwise(0.0).alias("a"),
         F.when(kind == "click", v).otherwise(0.0).alias("b"),
         F.when(err & (F.col("user_id") % 2 == 0), 0.0).otherwise(v).alias("c"),
     )
     return scores.discharge_split(
-        base, "subject", "day", F.col("event_type") == "error", ["a", "b", "c"], dates.day("2024-02-15"), quiet=2, min_days=3
+        base, "subject", "day", F.col("code") == "error", ["a", "b", "c"], dates.day("2024-02-15"), quiet=2, min_days=3
     )
 
 
@@ -515,8 +516,7 @@ def encounters(spark, d):
     )
 
 
-@query("classify_encounter", f"""
-WITH {ENCOUNTERS}, ruled AS (SELECT *, CASE
+RULED = """ruled AS (SELECT *, CASE
   WHEN (type_category IN (1, 2) OR (type_category = -2 AND encounter_type = 'Hospital Encounter'))
     AND coalesce(is_outpatient, 0) <> 1 AND (is_admission = 1 OR patient_class = 'Observation')
     AND coalesce(disposition, '') <> 'Expired' THEN 'Inpatient Admissions'
@@ -526,12 +526,15 @@ WITH {ENCOUNTERS}, ruled AS (SELECT *, CASE
     AND (message_type IS NULL OR message_type NOT IN ('Observation', 'Inpatient Encounter'))
     AND (patient_class IS NULL OR patient_class NOT IN ('Observation', 'Inpatient Encounter')) THEN 'ED Visits (Discharged)' END AS measure,
   CASE WHEN f1 = 1 AND f2 = 0 AND f3 = 0 AND f4 = 0 THEN 1 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 1 THEN 2
-    WHEN f1 = 0 AND f2 = 0 AND f3 = 1 AND f4 = 0 THEN 3 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 0 THEN 4 END AS src FROM enc)
-SELECT k, measure, CAST(src AS DOUBLE) AS source FROM ruled WHERE measure IS NOT NULL""")
+    WHEN f1 = 0 AND f2 = 0 AND f3 = 1 AND f4 = 0 THEN 3 WHEN f1 = 0 AND f2 = 1 AND f3 = 1 AND f4 = 0 THEN 4 END AS src FROM enc)"""
+ENCOUNTER_LISTS = reconcile.EncounterLists(inpatient_types=[1, 2], ed_types=[2, 3], untyped=-2, excluded_classes=[5, 6])
+
+
+@query("classify_encounter", f"""
+WITH {ENCOUNTERS}, {RULED} SELECT k, measure, CAST(src AS DOUBLE) AS source FROM ruled WHERE measure IS NOT NULL""")
 def classify_encounter(spark, d):
-    lists = reconcile.EncounterLists(inpatient_types=[1, 2], ed_types=[2, 3], untyped=-2, excluded_classes=[5, 6])
     source = reconcile.source_class(F.col("f1"), F.col("f2"), F.col("f3"), F.col("f4"))
-    ruled = reconcile.classify(encounters(spark, d), reconcile.encounter_rules(lists))
+    ruled = reconcile.classify(encounters(spark, d), reconcile.encounter_rules(ENCOUNTER_LISTS))
     return ruled.select("k", "measure", source.cast("double").alias("source"))
 
 
@@ -599,8 +602,9 @@ def unmatched_claims(spark, d):
         F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("code"),
         F.date_add(dates.day("1978-06-15"), (F.col("o_custkey") % 9000 * 3 % 9000).cast("int")).alias("birth"),
     )
+    claims = materialise(claims)  # read as claims, as those already reported and for the population
     mapped = fx.t(spark, d, "lineitem").filter("l_linestatus = 'F' AND l_quantity > 45").select(F.col("l_orderkey").alias("o_orderkey"))
-    pop = fx.orders(spark, d).filter("o_custkey % 3 > 0").select("o_custkey", "month")
+    pop = claims.filter("o_custkey % 3 > 0").select("o_custkey", F.trunc("start_date", "MM").alias("month"))
     values = spark.createDataFrame([("1-URGENT",), ("2-HIGH",), ("3-MEDIUM",)], "code string")
     found = reconcile.unmatched_in_population(
         claims, mapped, ["o_orderkey"], claims.filter("o_orderkey % 4 = 0"), ["o_custkey", "start_date", "end_date", "code"],
@@ -613,25 +617,41 @@ def unmatched_claims(spark, d):
 SOURCE_NUMBER = {"purchase": 1.0, "signup": 2.0, "click": 2.1, "view": 3.0, "error": 4.0}
 
 
+MERGED = """ev2 AS (SELECT user_id, day, event_id, event_type, user_id % 4 AS site,
+    CASE WHEN event_id % 3 = 0 THEN 'ED Visits (Discharged)' ELSE 'Inpatient Admissions' END AS measure,
+    CASE WHEN event_id % 5 > 0 THEN CAST(event_id % 2 AS VARCHAR) END AS code_list FROM ev)"""
+
+
 @query("merge_sources_priority", f"""
-WITH {fx.EVENTS} SELECT user_id, day, CAST(source AS DOUBLE) AS source, skey FROM (
-  SELECT user_id, day, event_id, CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 2.0 WHEN 'click' THEN 2.1
+WITH {fx.EVENTS}, {MERGED} SELECT measure, site, user_id, day, code_list, CAST(source AS DOUBLE) AS source, skey FROM (
+  SELECT *, CASE event_type WHEN 'purchase' THEN 1.0 WHEN 'signup' THEN 2.0 WHEN 'click' THEN 2.1
     WHEN 'view' THEN 3.0 ELSE 4.0 END AS source,
     CASE WHEN event_type = 'click' THEN CAST(user_id AS VARCHAR) || '.' || CAST(event_id AS VARCHAR)
-         ELSE 'X.' || CAST(event_id AS VARCHAR) END AS skey FROM ev)
-QUALIFY row_number() OVER (PARTITION BY user_id, day ORDER BY source, event_id) = 1""")
+         ELSE 'X.' || CAST(event_id AS VARCHAR) END AS skey FROM ev2)
+QUALIFY row_number() OVER (PARTITION BY measure, site, user_id, day, code_list ORDER BY source, event_id) = 1""")
 def merge_sources_priority(spark, d):
-    ev = fx.events(spark, d)
+    """Own encounters, mapped claims, unmatched claims and other systems' encounters, four frames into one."""
     kind, user, event = F.col("event_type"), F.col("user_id").cast("string"), F.col("event_id").cast("string")
-    number = F.create_map(*[F.lit(x) for kv in SOURCE_NUMBER.items() for x in kv])
-    encounters = ev.filter(kind != "click").select(
-        "user_id", "day", "event_id", number[kind].alias("source"), F.concat(F.lit("X."), event).alias("skey")
-    )
-    claims = ev.filter(kind == "click").select(
-        "user_id", "day", "event_id", F.lit(SOURCE_NUMBER["click"]).alias("source"), F.concat_ws(".", user, event).alias("skey")
+    ev = fx.events(spark, d).withColumns(
+        {
+            "site": F.col("user_id") % 4,
+            "measure": F.when(F.col("event_id") % 3 == 0, reconcile.ED).otherwise(reconcile.INPATIENT),
+            "code_list": F.when(F.col("event_id") % 5 > 0, (F.col("event_id") % 2).cast("string")),
+        }
     )
-    merged = reconcile.merge_priority([encounters, claims], ["user_id", "day"], "source", [F.col("event_id")])
-    return merged.select("user_id", "day", "source", "skey")
+    key = ["measure", "site", "user_id", "day", "code_list"]
+    encounter, claim = F.concat(F.lit("X."), event), F.concat_ws(".", user, event)
+
+    def source(kinds, number, skey):
+        return ev.filter(kind.isin(kinds)).select(*key, "event_id", number.alias("source"), skey.alias("skey"))
+
+    other = F.when(kind == "view", SOURCE_NUMBER["view"]).otherwise(SOURCE_NUMBER["error"])
+    frames = [
+        source(["purchase"], F.lit(SOURCE_NUMBER["purchase"]), encounter), source(["signup"], F.lit(SOURCE_NUMBER["signup"]), encounter),
+        source(["click"], F.lit(SOURCE_NUMBER["click"]), claim), source(["view", "error"], other, encounter),
+    ]
+    merged = reconcile.merge_priority(frames, key, "source", [F.col("event_id")])
+    return merged.select(*key, "source", "skey")
 
 
 NETWORK_SITES = ["NATION_0", "NATION_1", "NATION_2", "NATION_7", "NATION_13"]
@@ -680,63 +700,109 @@ MEMBERS = fx.SPANS + f""", {fx.SITES}, {fx.MONTHS}, pop AS (
   SELECT months.month, month_end, o_custkey AS subject, site, DATE '1975-01-01' + CAST(o_custkey * 37 % 9000 AS INTEGER) AS birth
   FROM spans JOIN months ON start_date <= month_end JOIN sites ON o_custkey = c_custkey)"""
 
-UTILISATION = MEMBERS + f""", {CODES},
+# Encounters by the ordered rules (every fifth or so from other systems), claims mapped to one (two of three),
+# claims that no encounter has, all of the young population and with the codes of a value set.
+UTILISATION = MEMBERS + f""", {CODES}, {ENCOUNTERS}, {RULED},
 vs AS (SELECT DISTINCT p_size AS dx, p_brand AS code FROM part),
 cl AS (SELECT dx, string_agg(code, '; ' ORDER BY code) AS code_list
        FROM (SELECT *, row_number() OVER (PARTITION BY dx ORDER BY code) AS rn FROM vs) WHERE rn <= 3 GROUP BY 1),
-enc AS (SELECT o_orderkey AS encounter, o_custkey AS subject, o_date AS day, o_orderkey % 60 AS dx,
-    CASE WHEN o_orderkey % 5 = 0 THEN 3 WHEN o_orderkey % 5 = 1 THEN 4 ELSE 1 END AS source,
-    CASE o_orderstatus WHEN 'F' THEN 'Inpatient Admissions' WHEN 'O' THEN 'ED Visits (Discharged)' END AS measure FROM orders_d),
+fact AS (SELECT o_orderkey AS encounter, o_custkey AS subject, o_date AS day, month, o_orderkey % 60 AS dx,
+    nullif(o_orderpriority, '5-LOW') AS code, o_date + CAST(o_orderkey % 12 AS INTEGER) AS end_date FROM orders_d),
+flags AS (SELECT l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS uc,
+    max(CAST(code = '0981' OR (code LIKE '045%' AND code NOT LIKE '0456%') AS INTEGER)) AS ed,
+    max(CAST(code = '0981' OR regexp_full_match(code, '045[^6]') AS INTEGER)) AS ed4,
+    max(CAST(code IN ('0760', '0762', '0769') AS INTEGER)) AS obs,
+    max(CAST((code LIKE '01%' AND code NOT LIKE '018%') OR code LIKE '020%' OR code LIKE '021%' OR code IN ('1000', '1001', '1002') AS INTEGER)) AS ip,
+    max(CAST(regexp_full_match(code, '01[^8].*') OR regexp_full_match(code, '02[01].*') OR code IN ('1000', '1001', '1002') AS INTEGER)) AS ip3,
+    max(admitted) AS adm FROM lines GROUP BY 1),
 clm AS (SELECT l_orderkey, CASE WHEN (obs = 1 OR ip = 1) AND ed = 0 AND uc = 0 THEN 'Inpatient Admissions'
-    WHEN ed = 1 AND uc = 0 AND obs = 0 AND ip = 0 AND adm = 0 THEN 'ED Visits (Discharged)' END AS claim_measure
-  FROM (SELECT l_orderkey, max(CAST(code = '0456' AS INTEGER)) AS uc, max(CAST(code = '0981' OR (code LIKE '045%' AND code NOT LIKE '0456%') AS INTEGER)) AS ed,
-      max(CAST(code IN ('0760', '0762', '0769') AS INTEGER)) AS obs,
-      max(CAST((code LIKE '01%' AND code NOT LIKE '018%') OR code LIKE '020%' OR code LIKE '021%' OR code IN ('1000', '1001', '1002') AS INTEGER)) AS ip, max(admitted) AS adm
-    FROM lines GROUP BY 1)),
-src AS (SELECT encounter, subject, day, dx, source, measure FROM enc WHERE measure IS NOT NULL
-  UNION ALL SELECT encounter, subject, day, dx, 2, claim_measure FROM enc JOIN clm ON l_orderkey = encounter WHERE claim_measure IS NOT NULL),
-inpop AS (SELECT pop.month, site, src.subject, encounter, day, source, measure, code_list FROM src
+    WHEN ed = 1 AND uc = 0 AND obs = 0 AND ip = 0 AND adm = 0 THEN 'ED Visits (Discharged)' END AS mapped_measure,
+    CASE WHEN (obs = 1 OR ip3 = 1) AND ed4 = 0 AND uc = 0 THEN 'Inpatient Admissions'
+    WHEN ed4 = 1 AND uc = 0 AND obs = 0 AND ip3 = 0 THEN 'ED Visits (Discharged)' END AS own_measure FROM flags),
+free_claims AS (SELECT fact.*, own_measure AS measure FROM fact JOIN clm ON l_orderkey = encounter
+  JOIN (SELECT DISTINCT month, subject, birth FROM pop) p ON p.subject = fact.subject AND p.month = fact.month
+  WHERE own_measure IS NOT NULL AND encounter % 3 = 0 AND end_date <= last_day(day) AND code IN ('1-URGENT', '2-HIGH', '3-MEDIUM')
+    AND year(day) - year(birth) - CASE WHEN strftime(day, '%m%d') < strftime(birth, '%m%d') THEN 1 ELSE 0 END < 18
+    AND NOT EXISTS (SELECT 1 FROM fact r WHERE r.encounter % 3 > 0 AND r.encounter % 4 = 0 AND r.subject = fact.subject AND r.day = fact.day
+      AND r.end_date = fact.end_date AND r.code IS NOT DISTINCT FROM fact.code)
+  QUALIFY row_number() OVER (PARTITION BY fact.month, fact.subject, code ORDER BY day, encounter) = 1),
+src AS (SELECT encounter, subject, day, dx, 1.0 AS source, measure, 'X.' || encounter AS skey FROM fact JOIN ruled ON k = encounter
+    WHERE measure IS NOT NULL AND encounter % 5 >= 2
+  UNION ALL SELECT encounter, subject, day, dx, 3.0 + encounter % 5, measure, 'X.' || encounter FROM fact JOIN ruled ON k = encounter
+    WHERE measure IS NOT NULL AND encounter % 5 < 2
+  UNION ALL SELECT encounter, subject, day, dx, 2.0, mapped_measure, 'X.' || encounter FROM fact JOIN clm ON l_orderkey = encounter
+    WHERE mapped_measure IS NOT NULL AND encounter % 3 > 0
+  UNION ALL SELECT encounter, subject, day, dx, 2.1, measure, subject || '.' || encounter FROM free_claims),
+inpop AS (SELECT pop.month, site, src.subject, skey, day, source, measure, code_list FROM src
   JOIN pop ON pop.subject = src.subject AND src.day >= pop.month AND src.day <= pop.month_end JOIN cl ON cl.dx = src.dx
   WHERE year(day) - year(birth) - CASE WHEN strftime(day, '%m%d') < strftime(birth, '%m%d') THEN 1 ELSE 0 END < 18),
-merged AS (SELECT * FROM inpop QUALIFY row_number() OVER (
-  PARTITION BY month, measure, site, subject, day, code_list ORDER BY source, 'X.' || CAST(encounter AS VARCHAR)) = 1),
+merged AS (SELECT * FROM inpop QUALIFY row_number() OVER (PARTITION BY month, measure, site, subject, day, code_list ORDER BY source, skey) = 1),
 young AS (SELECT * FROM pop WHERE year(month_end) - year(birth)
   - CASE WHEN strftime(month_end, '%m%d') < strftime(birth, '%m%d') THEN 1 ELSE 0 END < 18),
 nets AS (SELECT * FROM (VALUES ('NATION_0'), ('NATION_1'), ('NATION_2'), ('NATION_7'), ('NATION_13')) v(site)),
 both_m AS (SELECT * FROM (VALUES ('Inpatient Admissions'), ('ED Visits (Discharged)')) v(measure)),
 dd AS (SELECT month, site, CAST(count(DISTINCT subject) AS DOUBLE) AS denominator, 'Practice' AS aggregation FROM young GROUP BY 1, 2
   UNION ALL SELECT month, 'Main Network', CAST(count(DISTINCT subject) AS DOUBLE), 'Network' FROM young WHERE site IN (SELECT site FROM nets) GROUP BY 1),
-nn AS (SELECT month, measure, site, CAST(count(DISTINCT encounter) AS DOUBLE) AS numerator FROM merged GROUP BY 1, 2, 3
-  UNION ALL SELECT month, measure, 'Main Network', CAST(count(DISTINCT encounter) AS DOUBLE) FROM merged WHERE site IN (SELECT site FROM nets) GROUP BY 1, 2)"""
+nn AS (SELECT month, measure, site, CAST(count(DISTINCT skey) AS DOUBLE) AS numerator FROM merged GROUP BY 1, 2, 3
+  UNION ALL SELECT month, measure, 'Main Network', CAST(count(DISTINCT skey) AS DOUBLE) FROM merged WHERE site IN (SELECT site FROM nets) GROUP BY 1, 2)"""
 
 
-@query("measure_utilisation", f"""
-WITH {UTILISATION} SELECT dd.month, both_m.measure, dd.site, denominator, coalesce(numerator, 0) AS numerator, aggregation
-FROM dd CROSS JOIN both_m LEFT JOIN nn ON nn.month = dd.month AND nn.measure = both_m.measure AND nn.site = dd.site""")
-def measure_utilisation(spark, d):
+def young_population(spark, d):
+    """Members per month, with their site and birth."""
     birth = F.date_add(dates.day("1975-01-01"), (F.col("o_custkey") * 37 % 9000).cast("int"))
     members = fx.spans(spark, d).join(fx.sites(spark, d), F.col("o_custkey") == F.col("c_custkey"))
     lo, hi = bounds()
     pop = joins.expand_months(members, F.col("start_date"), hi, lo, hi)
-    pop = pop.select("month", F.col("o_custkey").alias("subject"), "site", birth.alias("birth"))
-    key = F.col("o_orderkey")
-    enc = fx.orders(spark, d).select(
-        key.alias("encounter"), F.col("o_custkey").alias("subject"), F.col("o_date").alias("day"), (key % 60).alias("dx"),
-        F.when(key % 5 == 0, 3).when(key % 5 == 1, 4).otherwise(1).alias("source"), "o_orderstatus",
+    return pop.select("month", F.col("o_custkey").alias("subject"), "site", birth.alias("birth"))
+
+
+def utilisation_sources(spark, d, pop):
+    """The four sources of the utilisation measures in their common shape."""
+    key = F.col("encounter")
+    fact = fx.orders(spark, d).select(
+        F.col("o_orderkey").alias("encounter"), F.col("o_custkey").alias("subject"), F.col("o_date").alias("day"),
+        (F.col("o_orderkey") % 60).alias("dx"), F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("code"),
+        F.date_add("o_date", (F.col("o_orderkey") % 12).cast("int")).alias("end_date"),
     )
     value_set = fx.t(spark, d, "part").select(F.col("p_size").alias("dx"), "p_brand")
-    # read by the encounters and by the claims
-    young = materialise(utilisation.with_codes(utilisation.in_population(enc, pop), value_set, "dx", "p_brand"))
-    own = reconcile.classify(
-        young, [(F.col("o_orderstatus") == "F", reconcile.INPATIENT), (F.col("o_orderstatus") == "O", reconcile.ED)]
-    )
-    claims = reconcile.claim_class(claim_lines(spark, d), ["l_orderkey"], "code", F.col("is_admission")).select(
-        F.col("l_orderkey").alias("encounter"), "measure"
+    # read by all four sources
+    young = materialise(utilisation.with_codes(utilisation.in_population(fact, pop), value_set, "dx", "p_brand"), "young")
+    ruled = reconcile.classify(encounters(spark, d), reconcile.encounter_rules(ENCOUNTER_LISTS))
+    seen = young.join(ruled.select(F.col("k").alias("encounter"), "measure"), "encounter")
+    lines = claim_lines(spark, d).withColumnRenamed("l_orderkey", "encounter")
+    mapped = reconcile.claim_class(lines, ["encounter"], "code", F.col("is_admission")).select("encounter", "measure")
+    unmapped = reconcile.claim_class(lines, ["encounter"], "code", classes=reconcile.UNMAPPED_REVENUE_CLASS).select("encounter", "measure")
+    claims = young.drop("month", "age", "site", "code_list").join(unmapped, "encounter")
+    priorities = spark.createDataFrame([("1-URGENT",), ("2-HIGH",), ("3-MEDIUM",)], "code string")
+    free = reconcile.unmatched_in_population(
+        claims, young.filter(key % 3 > 0).select("encounter"), ["encounter"],
+        young.filter((key % 3 > 0) & (key % 4 == 0)), ["subject", "day", "end_date", "code"],
+        pop, priorities, "subject", "code", "day", "end_date", "birth", ["month", "subject", "code"], [F.col("day"), key],
     )
-    skey = utilisation.encounter_key(F.col("encounter"))
-    sources = [
-        utilisation.shaped(own, skey),
-        utilisation.shaped(young.join(claims, "encounter"), skey, F.lit(2)),
+    free = utilisation.with_codes(utilisation.in_population(free.drop("month", "birth"), pop), value_set, "dx", "p_brand")
+    skey = utilisation.encounter_key(key)
+    return [
+        utilisation.shaped(seen.filter(key % 5 >= 2), skey, F.lit(1)),
+        utilisation.shaped(young.filter(key % 3 > 0).join(mapped, "encounter"), skey, F.lit(2)),
+        utilisation.shaped(free, F.concat_ws(".", "subject", "encounter"), F.lit(2.1)),
+        utilisation.shaped(seen.filter(key % 5 < 2), skey, 3 + key % 5),
     ]
+
+
+@query("measure_utilisation", f"""
+WITH {UTILISATION} SELECT dd.month, both_m.measure, dd.site, denominator, coalesce(numerator, 0) AS numerator, aggregation
+FROM dd CROSS JOIN both_m LEFT JOIN nn ON nn.month = dd.month AND nn.measure = both_m.measure AND nn.site = dd.site""")
+def measure_utilisation(spark, d):
+    pop = young_population(spark, d)
+    sources = utilisation_sources(spark, d, pop)
     return utilisation.utilisation_rates(pop, F.last_day("month"), sources, NETWORK_SITES, "Main Network")
 
+
+@query("utilisation_sources", f"""
+WITH {UTILISATION} SELECT source, measure, count(*) AS n, CAST(count(DISTINCT subject) AS BIGINT) AS subjects
+FROM (SELECT CAST(source AS DOUBLE) AS source, measure, subject FROM merged) GROUP BY 1, 2""")
+def merged_sources(spark, d):
+    """What each source contributes once earlier ones had their turn."""
+    sources = utilisation_sources(spark, d, young_population(spark, d))
+    merged = reconcile.merge_priority(sources, utilisation.MERGE_KEY, "source", [F.col("skey")])
+    return merged.groupBy("source", "measure").agg(F.count("*").alias("n"), F.countDistinct("subject").alias("subjects"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyloom.catalog import fixtures as fx
-from tallyloom.catalog.registry import query
+from tallyloom.catalog import aggregates, composite, sources  # noqa: F401  their queries are the report's inputs
+from tallyloom.catalog.registry import ORACLE, QUERIES, query
 from tallyloom.functions import dates
+from tallyloom.operators import setops
 from tallyloom.plans import report, series
 from tallyloom.session import materialise, scratch_path
-from tallyloom.sources import tables
+from tallyloom.sources import publish, tables
 
 RULES = series.ChartRules()
 UTILISATION = ("ED Visits (Discharged)", "Inpatient Admissions")
@@ -116,40 +118,95 @@ def series_label(spark, d):
 REPORT_RULES = report.ReportRules(
     as_of=fx.ORDERS_AS_OF, network="ASIA", network_site="ASIA Network", first_month="1996-01-01"
 )
-
-REPORT = fx.SEGMENTS + f""", re_a AS (
-  SELECT site, 'PRO BOS' AS measure, month, numerator, denominator, network, aggregation FROM seg WHERE measure = 'Initial Intake'),
-re_b AS (SELECT site, measure, month, denominator AS numerator, denominator + 1 AS denominator, network, aggregation
-         FROM seg WHERE month >= DATE '2000-01-01' AND measure = 'Initial Intake'),
-re_m AS (SELECT * FROM seg ANTI JOIN re_b USING (site, measure, month) UNION ALL SELECT * FROM re_a UNION ALL SELECT * FROM re_b),
-re_rows AS (SELECT * FROM re_m WHERE month >= DATE '1996-01-01' AND denominator > 0.00001 AND month < DATE '2001-08-01'),
+EVENT_SHIFT = 288  # months from the orders' years to those of the events
+
+# The inputs of the report in the order of delivery: key, whether its rows replace earlier ones of their key, the
+# query they come from, and the measure rows made of them. m0 is a month of the events moved to the orders' years.
+_M0 = f"CAST(month - INTERVAL {EVENT_SHIFT} MONTH AS DATE)"
+REPORT_INPUTS = [
+    ("forms", True, "measure_improved_forms", "site || ' Forms'", "'PRO BOS'", "month", "'EUROPE'", "'Practice'"),
+    ("intake", True, "measure_event_count", "site", "'Initial Intake'", "month", "'ASIA'", "'Practice'"),
+    ("episodes", True, "measure_improved", "site", "'PRO BOS'", _M0, "'ASIA'", "'Practice'"),
+    ("log", True, "measure_improved_log", "'Session Log'", "'PSYCH BOS'", _M0, "'ASIA'", "'Practice'"),
+    ("first", True, "measure_after_first", "'Clinic ' || site", "'Crisis Stabilization'", _M0, "'ASIA'", "'Practice'"),
+    ("old_sites", False, "agg_ratio", "'Old ' || site", "'Crisis Stabilization'", "month", "'AFRICA'", "'Practice'"),
+    ("old_ibh", False, "agg_ratio_join", "'Old IBH ' || site", "'Initial Intake'", "month", "'AMERICA'", "'Practice'"),
+    ("old_pinq", False, "placeholder_row", "'Old ' || site", "'Initial Intake'", "month", "'ASIA'", "'Practice'"),
+    ("use", True, "measure_utilisation WHERE aggregation = 'Practice'", "site", "measure", "month", "'ASIA'", "aggregation"),
+    ("use_net", True, "measure_utilisation WHERE aggregation = 'Network'", "site", "measure", "month", "'ASIA'", "aggregation"),
+    ("ibh", True, "rate_site_network WHERE aggregation = 'Practice'", "site || ' IBH'", "'ED Visits (Discharged)'", "month", "'IBH'", "aggregation"),
+    ("ibh_net", True, "rate_site_network WHERE aggregation = 'Network'", "'IBH Network'", "'ED Visits (Discharged)'", "month", "'IBH'", "aggregation"),
+]
+# Deliveries that arrive together and don't replace each other.
+TOGETHER = {"intake", "episodes", "log", "first"}
+
+
+def _report_sql() -> str:
+    """The chain of the inputs, one anti join and union after the other."""
+    parts = [fx.SEGMENTS]
+    for key, _, source, *made in REPORT_INPUTS:
+        name, _, where = source.partition(" WHERE ")
+        site, measure, month, network, aggregation = made
+        rows = f"(SELECT * FROM ({ORACLE[name]}) q{' WHERE ' + where if where else ''})"
+        parts.append(f"""in_{key} AS (SELECT {site} AS site, {measure} AS measure, {month} AS month, CAST(numerator AS DOUBLE) AS numerator,
+  CAST(denominator AS DOUBLE) AS denominator, {network} AS network, {aggregation} AS aggregation FROM {rows})""")
+    step = "seg"
+    for key, replaces, *_ in REPORT_INPUTS:
+        if key == "intake":  # four deliveries at once
+            keys = " UNION ALL ".join(f"SELECT * FROM in_{k}" for k, *_ in REPORT_INPUTS if k in TOGETHER)
+            parts.append(f"in_four AS ({keys})")
+            key = "four"
+        elif key in TOGETHER:
+            continue
+        old = f"SELECT * FROM {step}" + (f" ANTI JOIN in_{key} USING (site, measure, month)" if replaces else "")
+        step = f"after_{key}"
+        parts.append(f"{step} AS ({old} UNION ALL SELECT * FROM in_{key})")
+    return ", ".join(parts) + f""",
+re_rows AS (SELECT site, measure, month, coalesce(numerator, 0) AS numerator, denominator, network, aggregation FROM {step}
+  WHERE month >= DATE '1996-01-01' AND denominator > 0.00001 AND month < DATE '2001-08-01'),
 re_net AS (SELECT 'ASIA Network' AS site, measure, month, sum(numerator) AS numerator, sum(denominator) AS denominator, network, 'Network' AS aggregation
-  FROM re_rows WHERE network = 'ASIA' AND measure NOT IN ('ED Visits (Discharged)', 'Inpatient Admissions') GROUP BY measure, month, network),
+  FROM re_rows WHERE network = 'ASIA' AND aggregation = 'Practice' AND site <> 'ASIA Network'
+    AND measure NOT IN ('ED Visits (Discharged)', 'Inpatient Admissions') GROUP BY measure, month, network),
 {gap_fill_sql("re_rows", "'Crisis Stabilization', 'Initial Intake'", "1996-01-01", "2001-07-01")},
 re_all AS (SELECT * FROM re_rows UNION ALL SELECT site, measure, month, numerator, denominator, network, 'Practice' FROM gf
            UNION ALL SELECT * FROM re_net), {chart_sql("re_all")}"""
 
 
+REPORT = _report_sql()
+
+
 def report_inputs(spark, d):
-    """History, an appended measure, and a re-delivery that replaces recent months."""
-    base = materialise(fx.segment_series(spark, d))
-    intake = base.filter("measure = 'Initial Intake'")
-    other = intake.withColumn("measure", F.lit("PRO BOS"))
-    redelivered = intake.filter(F.col("month") >= dates.day("2000-01-01")).withColumns(
-        {"numerator": F.col("denominator"), "denominator": F.col("denominator") + 1}
-    )
-    return base, [(other, False), (redelivered, True)]
+    """The history and the deliveries (rows, whether they replace earlier ones) from the measures of this catalog."""
+    done, made = {}, {}
+    for key, _, source, site, measure, month, network, aggregation in REPORT_INPUTS:
+        name, _, where = source.partition(" WHERE ")
+        if name not in done:
+            reads = sum(s.partition(" WHERE ")[0] == name for _, _, s, *_ in REPORT_INPUTS)
+            done[name] = materialise(QUERIES[name](spark, d), name) if reads > 1 else QUERIES[name](spark, d)
+        rows = done[name].filter(where) if where else done[name]
+        made[key] = rows.selectExpr(
+            f"{site} AS site", f"{measure} AS measure", f"{month} AS month", "CAST(numerator AS DOUBLE) AS numerator",
+            "CAST(denominator AS DOUBLE) AS denominator", f"{network} AS network", f"{aggregation} AS aggregation",
+        )
+    four = setops.append(*[made[k] for k, *_ in REPORT_INPUTS if k in TOGETHER])
+    deliveries = []
+    for key, replaces, *_ in REPORT_INPUTS:
+        if key not in TOGETHER:
+            deliveries.append((made[key], replaces))
+        elif key == "intake":
+            deliveries.append((four, True))
+    return fx.segment_series(spark, d), deliveries
 
 
 @query("report_pipeline", f"""
 WITH {REPORT} SELECT {ID}, numerator, denominator, network, aggregation, season, rate, label, shift_period, centerline, ucl, lcl FROM fin""")
 def report_pipeline(spark, d):
-    """The report as its CSV sink holds it, read back."""
-    history, sources = report_inputs(spark, d)
-    built = report.build_report(history, sources, REPORT_RULES, cut=materialise)
+    """The whole report as its one published CSV file holds it, read back."""
+    history, deliveries = report_inputs(spark, d)
+    built = report.build_report(history, deliveries, REPORT_RULES, cut=materialise)
     built = rounded(built, "rate", "shift_period", "centerline", "ucl", "lcl")
-    path = scratch_path(spark, "report")
-    tables.write_csv(built, path)
+    path = scratch_path(spark, "report") + "/report.csv"
+    publish.publish_csv(built, path, ["measure", "site", "month"])
     return tables.read_csv(spark, path, built.schema)
 
 
