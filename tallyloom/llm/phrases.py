@@ -36,9 +36,9 @@ TOP = 2000
 FILTER_BITS = 25
 TRIE_PHRASES = 500_000
 # Symbols of a task: the more, the fewer tasks find the same phrases. Of a stored row: few, since a
-# page of the file has a hundred rows at least. Of a step in numpy.
+# page of the file has a hundred rows at least and a batch ten thousand at most. Of a step in numpy.
 TASK_SYMBOLS = 16_000_000
-ROW_SYMBOLS = 4096
+ROW_SYMBOLS = 256
 STEP_SYMBOLS = 500_000
 # Keys, and phrases or words, that a task gathers before it passes them on.
 KEPT_KEYS = 2_000_000
@@ -120,18 +120,19 @@ def spell(docs: DataFrame, wanted) -> DataFrame:
 
 
 def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-    """The stored arrays, a few rows at a time."""
+    """The stored arrays, some rows of a batch at a time, without a copy."""
     forget()
-    some, size = [], 0
     for batch in batches:
-        for row in batch.column("symbols"):
-            some.append(np.frombuffer(row.as_buffer(), _U))
-            size += len(some[-1])
-            if size >= STEP_SYMBOLS:
-                yield np.concatenate(some)
-                some, size = [], 0
-    if some:
-        yield np.concatenate(some)
+        column = batch.column("symbols")
+        kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+        _, offsets, data = column.buffers()
+        ends = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1] // 8
+        first = 0
+        while first < len(column):
+            last = max(first + 1, int(np.searchsorted(ends, ends[first] + STEP_SYMBOLS, "right")) - 1)
+            if n := int(ends[last] - ends[first]):
+                yield np.frombuffer(data, _U, n, 8 * int(ends[first]))
+            first = last
     release()
 
 
@@ -313,7 +314,8 @@ def phrase_counts(
 
     filters, levels = [], []
     for _ in range(max_words):
-        halves = half_key_counts(encoded, filters).groupBy("half").agg(F.sum("n").alias("n"))
+        # a task has a half once, so there is nothing to add up before the exchange
+        halves = half_key_counts(encoded, filters).repartition("half").groupBy("half").agg(F.sum("n").alias("n"))
         levels.append(materialise(halves.filter(F.col("n") >= min_count).select("half"), "halves"))
         filters.append(sc.broadcast(bit_filter(levels[-1], "half", 32)))
         if levels[-1].isEmpty():
