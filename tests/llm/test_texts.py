@@ -44,6 +44,69 @@ def test_votes_are_estimated():
     assert ((p[at] > 0.5) == good).mean() > 0.99 and abs(found[0, 0, 2] - 0.9) < 0.03
 
 
+def test_votes_against_plain_em():
+    """The same estimate by loops over every document, a point left out of the product."""
+    import math
+
+    patterns, counts = ["-" * 7 + "g", "b--b---g", "bb------", "-" * 8, "-b-----g", "-..-..-.", "b..-..-."], [40, 3, 5, 6, 2, 4, 1]
+    got, _ = quality.fit_votes(patterns, np.array(counts, float), rounds=7)
+    rows = [p for p, n in zip(patterns, counts) for _ in range(n)]
+    p = {v: 0.1 if "b" in v else 0.9 if "g" in v else 0.6 for v in patterns}
+    for _ in range(7):
+        chance = {}
+        for k in range(8):
+            for c in (0, 1):
+                weight = {v: 0.1 for v in "-gb"}
+                for r in rows:
+                    if r[k] != ".":
+                        weight[r[k]] += p[r] if c else 1 - p[r]
+                whole = {v: w / sum(weight.values()) for v, w in weight.items()}
+                if c and k < 7:
+                    high = min(whole["b"], quality.MAX_FALSE_ALARM)
+                    rest = (1 - high) / (1 - whole["b"])
+                    whole = {"-": whole["-"] * rest, "g": whole["g"] * rest, "b": high}
+                chance[k, c] = whole
+        prior = [sum(1 - p[r] for r in rows) + 1, sum(p[r] for r in rows) + 1]
+        odds = {v: [prior[c] * math.prod(chance[k, c][x] for k, x in enumerate(v) if x != ".") for c in (0, 1)] for v in patterns}
+        p = {v: g / (b + g) for v, (b, g) in odds.items()}
+    assert np.allclose(got, [p[v] for v in patterns], atol=1e-9)
+
+
+def test_scripts_that_do_not_part_words(spark):
+    """Clean Chinese, Japanese, Thai and Korean texts stay, junk goes, whatever share they have."""
+    import random
+
+    rng = random.Random(1)
+    han = sorted(set("今天的气很好我们一起去公园散步孩子在草地上跑来大人坐长椅聊河边有多花风从水面吹让觉得舒服"))
+    kana = sorted(set("きょうはてんきがよいのでみんなでこうえんへいきましたこどもたちはくさのうえをはしる"))
+    thai = ["วันนี้", "อากาศ", "ดีมาก", "และ", "เราไป", "เดินเล่น", "ที่สวน", "ด้วยกัน", "เด็กๆ", "วิ่ง", "บนสนาม", "หญ้า"]
+    hangul = ["오늘은", "날씨가", "좋아서", "우리는", "공원에서", "산책을", "했다", "아이들은", "풀밭에서", "뛰어"]
+    english = "the house river was small and people walked slowly along green fields with their children".split()
+
+    def unparted(letters, mark):
+        return "".join("".join(rng.choices(letters, k=rng.randint(6, 18))) + mark for _ in range(20))
+
+    def parted(words, n=8):
+        return ". ".join(" ".join(rng.choices(words, k=rng.randint(6, 14))).capitalize() for _ in range(n)) + "."
+
+    kinds = {
+        "en": [parted(english) for _ in range(300)], "junk": ["".join(rng.choices("!#$%|@~ aXZQ", k=300)) for _ in range(40)],
+        "han": [unparted(han, "。") for _ in range(12)], "kana": [unparted(kana, "。\n") for _ in range(12)],
+        "thai": ["".join(rng.choices(thai, k=60)) for _ in range(12)], "hangul": [parted(hangul) for _ in range(12)],
+    }
+    texts = [(k, t) for k, all_ in kinds.items() for t in all_]
+    good = {r.doc_id for r in quality.classify(frame(spark, [t for _, t in texts])).filter("good").collect()}
+    kept = {k: sum(i in good for i, (x, _) in enumerate(texts) if x == k) / len(all_) for k, all_ in kinds.items()}
+    assert kept == {"en": 1, "junk": 0, "han": 1, "kana": 1, "thai": 1, "hangul": 1}
+    assert quality.votes(kinds["thai"][0].encode()) == "--..-..." and quality.votes(kinds["han"][0].encode()) == "--..-..g"
+
+
+def test_own_columns_of_any_name(spark):
+    df = spark.createDataFrame([(1, "All is well here. It is so.", "a", "b")], "doc_id long, text string, __text string, Votes_ string")
+    out = quality.classify(df, keep_all=True)
+    assert out.columns == [*df.columns, "votes", "label", "score", "good"] and out.first()["__text"] == "a"
+
+
 # -- personal data
 
 
