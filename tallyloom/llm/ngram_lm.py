@@ -15,39 +15,50 @@ contexts, one file each, built by one task each and mapped into memory where the
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import elias_fano as ef
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.shingles import word_hashes
-from tallyloom.llm.wordcache import text_groups
+from tallyloom.llm.wordcache import as_strings, text_groups
 from tallyloom.session import materialise, scratch_path
 
 ORDER = 3
 DISCOUNT = 0.75
 KEYS_AT_ONCE = 3_000_000
 END = np.uint64(0x656E64206F662074)  # the end token, which is no word's hash
-# 8-bit codes: log10 of a number in (1e-8, 1], rounded to the nearest of 255 steps; 0 codes zero.
-LOWEST = -8.0
 
 
-def to_code(p: np.ndarray) -> np.ndarray:
+def to_code(p: np.ndarray) -> tuple[np.ndarray, float]:
+    """8-bit codes of numbers of at most 1, and the lowest log10 among them.
+
+    log10 between that and 0 is rounded to the nearest of 255 steps; 0 codes zero.
+    """
+    some = p[p > 0]
+    lowest = min(float(np.log10(some.min())), -1e-9) if len(some) else -1.0
     with np.errstate(divide="ignore"):
-        step = np.rint(np.maximum(np.log10(p), LOWEST) / LOWEST * 254)
-    return np.where(p > 0, 255 - step, 0).astype(np.uint8)
+        step = np.rint(np.maximum(np.log10(p), lowest) / lowest * 254)
+    return np.where(p > 0, 255 - step, 0).astype(np.uint8), lowest
 
 
-def of_code() -> np.ndarray:
+def of_code(lowest: float) -> np.ndarray:
+    """The numbers of all codes."""
     steps = 255 - np.arange(256)
-    return np.where(steps == 255, 0.0, 10 ** (steps * LOWEST / 254))
+    return np.where(steps == 255, 0.0, 10 ** (steps * lowest / 254))
+
+
+def _fits(contexts: int, successors: int) -> None:
+    """A context and its successor share one signed 64-bit number."""
+    if contexts * successors >= 1 << 63:
+        raise OverflowError(f"{contexts} contexts of {successors} successors don't fit into 64 bits")
 
 
 # -- files -----------------------------------------------------------------------------------
@@ -56,7 +67,16 @@ def of_code() -> np.ndarray:
 def _filesystem(uri: str):
     from pyarrow import fs
 
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else "file://" + os.path.abspath(uri))
+    scheme, _, rest = uri.partition(":")
+    if not rest:
+        raise ValueError(f"{uri} has no scheme: executors can't tell which store it is in")
+    return fs.FileSystem.from_uri("s3:" + rest if scheme in ("s3a", "s3n") else uri)
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its scheme, as Spark resolves it: on the default file system if it names none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(p).toString()
 
 
 def write_file(folder: str, data: bytes) -> str:
@@ -148,7 +168,6 @@ class Trie:
 
     def children(self, level: int, contexts: np.ndarray, successors: np.ndarray, probabilities: bool = True):
         """For contexts (sorted) and successors: id or -1, alpha, context weight, first child's id."""
-        codes = of_code()
         ids, alpha = np.full(len(contexts), -1, np.int64), np.zeros(len(contexts))
         weight, begin = np.ones(len(contexts)), np.zeros(len(contexts), np.int64)
         for i, part in self.by_shard(level, contexts.astype(np.uint64)):
@@ -163,7 +182,7 @@ class Trie:
             prefix = np.where(a > 0, s["keys"].access(np.maximum(a - 1, 0)), 0)
             of = np.cumsum(new) - 1
             if probabilities:
-                weight[part] = np.where(some, codes[s["arrays"]["weight"][local]], 1)[of]
+                weight[part] = np.where(some, of_code(s["head"]["weight"])[s["arrays"]["weight"][local]], 1)[of]
             begin[part] = a[of] + base
             want = prefix[of] + successors[part] + 1
             may = np.flatnonzero(some[of] & (successors[part] >= 0) & (want <= s["head"]["last"]))
@@ -172,7 +191,7 @@ class Trie:
             may, at = may[hit] + part.start, at[hit]
             ids[may] = at + base
             if probabilities:
-                alpha[may] = codes[s["arrays"]["alpha"][at]]
+                alpha[may] = of_code(s["head"]["alpha"])[s["arrays"]["alpha"][at]]
         return ids, alpha, weight, begin
 
     def look_up(self, level: int, contexts: np.ndarray, successors: np.ndarray, probabilities: bool = True):
@@ -182,18 +201,18 @@ class Trie:
         weight, begin = np.ones(len(contexts)), np.zeros(len(contexts), np.int64)
         if len(known):
             span = int(successors.max(initial=0)) + 2
+            _fits(int(contexts.max()) + 1, span)
             both, back = np.unique(contexts[known] * span + successors[known] + 1, return_inverse=True)
             for out, found in zip((ids, alpha, weight, begin), self.children(level, both // span, both % span - 1, probabilities)):
                 out[known] = found[back]
         return ids, alpha, weight, begin
 
-    def walk(self, hashes: np.ndarray, starts: np.ndarray, levels: int, probabilities: bool = True):
+    def walk(self, distinct: np.ndarray, back: np.ndarray, starts: np.ndarray, levels: int, probabilities: bool = True):
         """Per level k the ids of the k-grams that end at each token, -1 if unknown or cut off.
 
         Also the contexts and successors looked for, and what was found of probabilities.
-        `starts` marks the first token of each text.
+        The tokens' hashes are `distinct[back]`; `starts` marks the first token of each text.
         """
-        distinct, back = np.unique(hashes, return_inverse=True)
         word = self.word_ids(distinct)
         ids = word[back]
         yield 1, distinct, back, word, ids
@@ -215,15 +234,28 @@ class Trie:
 # -- building --------------------------------------------------------------------------------
 
 
-def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all texts' tokens, each text with its end token, and the marks of first tokens."""
-    parts = []
-    for t in texts:
-        parts += [word_hashes(t), np.array([END])]
-    sizes = np.array([len(p) + 1 for p in parts[::2]], np.int64)
-    starts = np.zeros(int(sizes.sum()), bool)
-    starts[np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64)] = True
-    return np.concatenate(parts).astype(np.uint64), starts
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different hashes of all tokens, sorted, the number of each token's among them, and the marks of first tokens.
+
+    Words are as in `shingles`, and every text has its end token.
+    """
+    lists = pc.ascii_split_whitespace(as_strings([t.lower() for t in texts]))
+    numbered = lists.flatten().dictionary_encode()
+    known = numbered.dictionary.cast(pa.binary()).to_pylist()
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
+    distinct, rank = np.unique(np.append(hashes, END), return_inverse=True)
+    which = np.asarray(numbered.indices)
+    words = np.asarray(lists.offsets).astype(np.int64)
+    words -= words[0]
+    if b"" in known:  # a text that begins or ends with white space has an empty word there
+        real = which != known.index(b"")
+        words, which = np.append(0, np.cumsum(real))[words], which[real]
+    is_word = np.ones(int(words[-1]) + len(texts), bool)
+    is_word[words[1:] + np.arange(len(texts))] = False
+    back = np.full(len(is_word), rank[-1], np.int64)
+    back[is_word] = rank[which]
+    starts = np.append(True, ~is_word[:-1])[: len(is_word)]
+    return distinct, back, starts
 
 
 def _squeeze(keys: np.ndarray) -> bytes:
@@ -280,7 +312,7 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
     """
     spark = docs.sparkSession
     read = docs.select(F.col(text_col).alias("text"))
-    folder = scratch_path(spark, "model")
+    folder = qualified(spark, scratch_path(spark, "model"))
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     trie = Trie(folder)
     result = "first decimal(20,0), n long, tokens long, path string"
@@ -292,7 +324,7 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
 
     def level_1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = (1 << 64) // shards + 1
-        return _count((t for _, t in text_groups(batches, "text")), lambda h, _: h, lambda k: (k // np.uint64(width)).astype(np.int64))
+        return _count((t for _, t in text_groups(batches, "text")), lambda h, back, _: h[back], lambda k: (k // np.uint64(width)).astype(np.int64))
 
     def write_1(t: pa.Table) -> pa.Table:
         keys, n = _merged(t)
@@ -314,11 +346,12 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
             break
         per = -(-trie.sizes[-1] // shards)
         span = trie.words + 1  # no context has more successors
+        _fits(trie.sizes[-1] + 1, span)
         last_level = level == order
 
         def counter(batches: Iterator[pa.RecordBatch], level=level, per=per, span=span) -> Iterator[pa.RecordBatch]:
-            def keys_of(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
-                for at in trie.walk(hashes, starts, level, False):
+            def keys_of(distinct: np.ndarray, back: np.ndarray, starts: np.ndarray) -> np.ndarray:
+                for at in trie.walk(distinct, back, starts, level, False):
                     if at[0] == level:
                         contexts, successors = at[1], at[2]
                 ok = (contexts >= 0) & (successors >= 0)
@@ -345,11 +378,12 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
             value = base[local] + successor + 1
             alpha = np.maximum(n - discount, 0) / size[local]
             arrays = ef.named("keys", ef.encode(value, int(value[-1]) + 1)) | ef.named("starts", ef.encode(starts, len(keys) + 1))
-            arrays |= {"alpha": to_code(alpha), "weight": to_code(np.minimum(discount * many / size, 1))}
+            (alpha, alpha_low), (weight, weight_low) = to_code(alpha), to_code(np.minimum(discount * many / size, 1))
+            arrays |= {"alpha": alpha, "weight": weight}
             if not last_level:
                 total = np.concatenate([[0], np.cumsum(n)])
                 arrays |= ef.named("counts", ef.encode(total, int(total[-1]) + 1))
-            head = {"first": first, "contexts": contexts, "last": int(value[-1])}
+            head = {"first": first, "contexts": contexts, "last": int(value[-1]), "alpha": alpha_low, "weight": weight_low}
             return done(first, len(keys), int(n.sum()), write_file(folder, ef.file_bytes(arrays, head)))
 
         make(level, counter, _one_argument(writer))
@@ -367,11 +401,11 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches, "text"):
-            hashes, starts = tokens_of(texts)
+            distinct, back, starts = tokens_of(texts)
             p = count = None
-            for at in trie.walk(hashes, starts, order):
+            for at in trie.walk(distinct, back, starts, order):
                 if at[0] == 1:
-                    _, _, back, word, _ = at
+                    word = at[3]
                     known = np.flatnonzero(word >= 0)
                     c = np.zeros(len(word), np.int64)
                     c[known] = trie.counts(1, word[known])

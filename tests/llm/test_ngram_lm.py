@@ -64,8 +64,30 @@ def words_of(text):
 
 def test_codes():
     p = np.array([1.0, 0.5, 1e-3, 1e-12, 0.0])
-    back = lm.of_code()[lm.to_code(p)]
-    assert back[4] == 0 and np.abs(np.log10(back[:3] / p[:3])).max() <= 4 / 254 + 1e-9
+    codes, lowest = lm.to_code(p)
+    back = lm.of_code(lowest)[codes]
+    assert lowest == -12 and back[4] == 0 and np.abs(np.log10(back[:4] / p[:4])).max() <= 6 / 254 + 1e-9
+    for odd in (np.zeros(3), np.ones(2), np.zeros(0)):
+        codes, lowest = lm.to_code(odd)
+        assert np.allclose(lm.of_code(lowest)[codes], odd)
+
+
+def test_tokens():
+    texts = [b"", b" a  B\tc", b"a", b"  ", b"C a ", "é É".encode()]
+    distinct, back, starts = lm.tokens_of(texts)
+    want = [x for t in texts for x in [*(lm.xxhash.xxh64_intdigest(w) for w in t.lower().split()), int(lm.END)]]
+    assert distinct[back].tolist() == want and (np.diff(distinct.astype(float)) > 0).all()
+    assert np.flatnonzero(starts).tolist() == [0, 1, 5, 7, 8, 11]
+    assert all(len(x) == n for x, n in zip(lm.tokens_of([]), (1, 0, 0)))
+
+
+def test_limits(spark):
+    lm._fits(2**31, 2**31)
+    with pytest.raises(OverflowError):
+        lm._fits(10**10, 10**9)
+    assert lm.qualified(spark, "/x/y") == "file:/x/y" and lm.qualified(spark, "file:///x") == "file:/x"
+    with pytest.raises(ValueError):
+        lm._filesystem("/x/y")
 
 
 @pytest.mark.parametrize("order", [1, 2, 3, 4])
