@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates, logic
-from tallyloom.operators import intervals, calendar, joins, project
+from tallyloom.operators import calendar, intervals, joins, project, rules
 from tallyloom.plans import facts, population
 from tallyloom.sources import tables
 
@@ -110,8 +110,24 @@ def not_in_sql(spark, d):
 
 @query("like_class", """
 SELECT p_brand, count(*) AS n FROM part
-WHERE regexp_matches(p_brand, '^Brand#1[^8]$') OR p_brand LIKE '%#2_' OR p_name LIKE 'red%' GROUP BY 1""")
+WHERE (p_brand LIKE 'Brand#1%' AND p_brand NOT LIKE 'Brand#18%') OR p_brand LIKE 'Brand#2%' OR p_name LIKE 'red%' GROUP BY 1""")
 def like_class(spark, d):
+    """The classes are rows: a longer prefix takes out what a shorter one takes in, and of equal ones the first counts."""
+    table = tables.params(
+        spark,
+        [(1, "Brand#1", False, True), (2, "Brand#18", False, False), (3, "Brand#2", False, True), (4, "red", False, True), (5, "red", False, False)],
+        f"{rules.RULE}, taken boolean",
+    )
+    part = fx.t(spark, d, "part").select("p_brand", "p_name")
+    brands = rules.by_prefix(part, "p_brand", table.withColumnRenamed("taken", "by_brand"), ["by_brand"])
+    both = rules.by_prefix(brands, "p_name", table.withColumnRenamed("taken", "by_name"), ["by_name"])
+    return both.filter("by_brand OR by_name").groupBy("p_brand").agg(F.count("*").alias("n"))
+
+
+@query("like_pattern", """
+SELECT p_brand, count(*) AS n FROM part
+WHERE regexp_matches(p_brand, '^Brand#1[^8]$') OR p_brand LIKE '%#2_' OR p_name LIKE 'red%' GROUP BY 1""")
+def like_pattern(spark, d):
     brand = F.col("p_brand")
     return (
         fx.t(spark, d, "part")
@@ -250,6 +266,40 @@ def join_null_safe(spark, d):
     return joins.natural_join(customers, held)
 
 
+# Three of ten orders don't know their customer; the unknown one is a row of the dimension.
+@query("join_null_keys", """
+WITH o AS (SELECT CASE WHEN o_orderkey % 10 >= 3 THEN o_custkey END AS k, o_orderstatus, o_totalprice FROM orders),
+c AS (SELECT c_custkey AS k, c_mktsegment AS segment FROM customer UNION ALL SELECT NULL, 'unknown')
+SELECT segment, o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS price
+FROM o JOIN c ON o.k IS NOT DISTINCT FROM c.k GROUP BY 1, 2""")
+def join_null_keys(spark, d):
+    o, c = orders_of_some(spark, d), fx.t(spark, d, "customer").select(F.col("c_custkey").alias("k"), F.col("c_mktsegment").alias("segment"))
+    c = c.union(spark.createDataFrame([(None, "unknown")], c.schema))
+    found = joins.null_split_join(o, c, ["k"])
+    return found.groupBy("segment", "o_orderstatus").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("price"))
+
+
+def orders_of_some(spark, d):
+    key = F.when(F.col("o_orderkey") % 10 >= 3, F.col("o_custkey")).alias("k")
+    return fx.t(spark, d, "orders").select(key, "o_orderkey", "o_orderstatus", "o_totalprice")
+
+
+@query("join_null_anti", """
+WITH o AS (SELECT CASE WHEN o_orderkey % 10 >= 3 THEN o_custkey END AS k, o_orderkey, o_orderstatus FROM orders),
+gone AS (SELECT c_custkey AS k FROM customer WHERE c_mktsegment = 'BUILDING'), gone2 AS (SELECT k FROM gone UNION ALL SELECT NULL)
+SELECT 'without' AS list, o_orderstatus, count(*) AS n FROM o WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.k IS NOT DISTINCT FROM o.k) GROUP BY 1, 2
+UNION ALL SELECT 'known', o_orderstatus, count(*) FROM o WHERE NOT EXISTS (SELECT 1 FROM gone2 g WHERE g.k IS NOT DISTINCT FROM o.k) GROUP BY 1, 2""")
+def join_null_anti(spark, d):
+    """Orders without the customers of a list, which holds the unknown one or doesn't."""
+    gone = fx.t(spark, d, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("k"))
+    lists = {"without": gone, "known": gone.union(spark.createDataFrame([(None,)], gone.schema))}
+    parts = [
+        joins.anti(orders_of_some(spark, d), keys, ["k"]).groupBy(F.lit(name).alias("list"), "o_orderstatus").agg(F.count("*").alias("n"))
+        for name, keys in lists.items()
+    ]
+    return parts[0].union(parts[1])
+
+
 @query("join_renamed_keys", """
 SELECT l_orderkey, l_linenumber, l_suppkey, s_name FROM lineitem JOIN supplier ON l_suppkey = s_suppkey""")
 def join_renamed_keys(spark, d):

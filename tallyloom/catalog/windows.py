@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallyloom.catalog import fixtures as fx
 from tallyloom.catalog.registry import query
 from tallyloom.functions import dates, numbers
-from tallyloom.operators import groups, windows
+from tallyloom.operators import groups, longwindows, windows
 
 
 def site_months(spark, d):
@@ -178,3 +178,42 @@ QUALIFY row_number() OVER (PARTITION BY site ORDER BY month) <= 24""")
 def topk_per_group(spark, d):
     rows = site_months(spark, d).filter(F.col("month") >= dates.day("1997-01-01"))
     return groups.head_per(rows, ["site"], [F.col("month")], 24).select("site", "month", "n")
+
+
+# A third of all lines is under one key here.
+HOT = """hot AS (SELECT CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_suppkey END AS k, CAST(l_shipdate AS DATE) AS day, l_orderkey, l_linenumber, l_partkey,
+    CAST(l_quantity AS BIGINT) AS quantity, l_extendedprice, CASE WHEN l_quantity < 10 THEN NULL ELSE l_returnflag END AS flag FROM lineitem)"""
+HOT_ORDER = ("day", "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice")
+
+
+def hot_lines(spark, d):
+    return fx.t(spark, d, "lineitem").select(
+        F.when(F.col("l_orderkey") % 3 == 0, F.lit(0)).otherwise(F.col("l_suppkey")).alias("k"), F.to_date("l_shipdate").alias("day"),
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_quantity").cast("long").alias("quantity"), "l_extendedprice",
+        F.when(F.col("l_quantity") >= 10, F.col("l_returnflag")).alias("flag"),
+    )
+
+
+@query("win_long_sequence", f"""
+WITH {HOT} SELECT k, l_orderkey, l_linenumber, quantity, row_number() OVER w AS row_no, lag(quantity) OVER w AS before,
+  lead(quantity) OVER w AS after, CAST(sum(quantity) OVER (w ROWS UNBOUNDED PRECEDING) AS BIGINT) AS so_far
+FROM hot WINDOW w AS (PARTITION BY k ORDER BY day, l_orderkey, l_linenumber, l_partkey, l_extendedprice)""")
+def win_long_sequence(spark, d):
+    """Numbers, neighbours and running sums over raw rows of which one key has a third."""
+    made = longwindows.over(hot_lines(spark, d), ["k"], HOT_ORDER).add(
+        number="row_no", lag={"before": "quantity"}, lead={"after": "quantity"}, total={"so_far": "quantity"}
+    )
+    return made.result().select("k", "l_orderkey", "l_linenumber", "quantity", "row_no", "before", "after", "so_far")
+
+
+@query("win_long_runs", f"""
+WITH {HOT}, m AS (SELECT *, lag(flag) OVER w AS was, row_number() OVER w AS rn
+  FROM hot WINDOW w AS (PARTITION BY k ORDER BY day, l_orderkey, l_linenumber, l_partkey, l_extendedprice)),
+r AS (SELECT k, flag, sum(CASE WHEN rn = 1 OR flag IS DISTINCT FROM was THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY rn) AS run_no FROM m),
+l AS (SELECT k, run_no, flag, count(*) AS len FROM r GROUP BY 1, 2, 3)
+SELECT k, flag, count(*) AS runs, max(len) AS longest FROM l GROUP BY 1, 2""")
+def win_long_runs(spark, d):
+    """Runs of equal flags over the same rows."""
+    rows = longwindows.runs(hot_lines(spark, d), ["k"], HOT_ORDER, "flag")
+    each = rows.groupBy("k", "run_no", "flag").agg(F.count("*").alias("len"))
+    return each.groupBy("k", "flag").agg(F.count("*").alias("runs"), F.max("len").alias("longest"))

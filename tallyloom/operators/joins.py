@@ -35,6 +35,25 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return joined.drop(*[_R + k for k in keys])
 
 
+def null_split_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner", salts: int = 32
+) -> DataFrame:
+    """The same join where many left rows miss all keys and would meet in one task.
+
+    Those rows are dealt over ``salts`` places, and the right rows that miss all keys are there in each
+    of them; all other rows join as they are. So it takes a right side with few such rows, like
+    distinct keys or a dimension with one row for the unknown.
+    """
+    if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
+        raise ValueError(f"the right side of a {how} join can't be repeated")
+    none = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys])
+    place = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    dealt = left.withColumn("__salt", F.when(none, place).otherwise(F.lit(0)))
+    every = F.when(none, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    spread = right.withColumn("__salt", F.explode(every))
+    return null_safe_join(dealt, spread, [*keys, "__salt"], how).drop("__salt")
+
+
 def natural_join(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     """Null-safe join on all common columns."""
     return null_safe_join(left, right, [c for c in left.columns if c in right.columns], how)
@@ -48,12 +67,12 @@ def join_renamed(left: DataFrame, right: DataFrame, keys: Mapping[str, str], how
 
 def semi(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key exists on the right, each once."""
-    return null_safe_join(left, right.select(*keys).distinct(), keys, "left_semi")
+    return null_split_join(left, right.select(*keys).distinct(), keys, "left_semi")
 
 
 def anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is absent on the right."""
-    return null_safe_join(left, right.select(*keys).distinct(), keys, "left_anti")
+    return null_split_join(left, right.select(*keys).distinct(), keys, "left_anti")
 
 
 def join_where(
