@@ -28,6 +28,16 @@ def _select(words: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return at.astype(np.int64)
 
 
+def _next_bit(words: np.ndarray, at: np.ndarray, zero: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Position of the first one (or zero) from each place on, if its word has it, and the places where not."""
+    w = np.minimum(at >> 6, len(words) - 1)
+    word = ~words[w] if zero else words[w]
+    rest = word >> (at & 63).astype(np.uint64)
+    last = rest & (~rest + _ONE)  # the lowest bit alone
+    found = at + np.bitwise_count(last - _ONE).astype(np.int64)
+    return found, np.flatnonzero((rest == 0) | (at >> 6 >= len(words)))
+
+
 def pack_low(values: np.ndarray, bits: int) -> np.ndarray:
     """The lowest bits of each value, one after the other, with room for unaligned reads."""
     parts = []
@@ -64,12 +74,26 @@ class EliasFano:
         at = i * self.bits
         return (self.low[at >> 3] >> (at & 7).astype(np.uint64)) & self.mask
 
+    def _place(self, i: np.ndarray) -> np.ndarray:
+        """Position of the i-th one of the unary part."""
+        w = np.searchsorted(self.ones, i, "right") - 1
+        return w * 64 + _select(self.words[w], i - self.ones[w])
+
+    def _value(self, i: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return ((at - i).astype(np.uint64) << np.uint64(self.bits) | self._low(i)).astype(np.int64)
+
     def access(self, i: np.ndarray) -> np.ndarray:
         """The i-th numbers."""
         i = np.asarray(i, np.int64)
-        w = np.searchsorted(self.ones, i, "right") - 1
-        at = w * 64 + _select(self.words[w], i - self.ones[w])
-        return ((at - i).astype(np.uint64) << np.uint64(self.bits) | self._low(i)).astype(np.int64)
+        return self._value(i, self._place(i))
+
+    def access_two(self, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The i-th numbers and those after them, whose ones are next in the unary part."""
+        i = np.asarray(i, np.int64)
+        at = self._place(i)
+        after, far = _next_bit(self.words, at + 1, False)
+        after[far] = self._place(i[far] + 1)
+        return self._value(i, at), self._value(i + 1, after)
 
     def _zero(self, k: np.ndarray) -> np.ndarray:
         """Position of the k-th zero of the unary part; -1 for k = -1."""
@@ -82,7 +106,10 @@ class EliasFano:
         """Position of each x (below the universe), -1 if it isn't there; numbers must differ."""
         x = np.asarray(x, np.uint64)
         h, low = (x >> np.uint64(self.bits)).astype(np.int64), x & self.mask
-        a, b = self._zero(h - 1) - (h - 1), self._zero(h) - h
+        before = self._zero(h - 1)
+        behind, far = _next_bit(self.words, before + 1, True)
+        behind[far] = self._zero(h[far])
+        a, b = before - (h - 1), behind - h
         out = np.full(len(x), -1, np.int64)
         if not self.n:
             return out

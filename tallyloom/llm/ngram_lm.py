@@ -162,8 +162,8 @@ class Trie:
         out = np.zeros(len(ids), np.int64)
         for i, part in self.by_shard(level, ids, True):
             at = ids[part] - self.levels[level - 1][1][i]
-            c = self.shard(level, i)["counts"]
-            out[part] = c.access(at + 1) - c.access(at)
+            begin, end = self.shard(level, i)["counts"].access_two(at)
+            out[part] = end - begin
         return out
 
     def children(self, level: int, contexts: np.ndarray, successors: np.ndarray, probabilities: bool = True):
@@ -177,7 +177,7 @@ class Trie:
             local = contexts[part][new] - s["head"]["first"]
             inside = local < s["head"]["contexts"]
             local = np.where(inside, local, 0)
-            a, b = s["starts"].access(local), s["starts"].access(local + 1)
+            a, b = s["starts"].access_two(local)
             some = inside & (a < b)
             prefix = np.where(a > 0, s["keys"].access(np.maximum(a - 1, 0)), 0)
             of = np.cumsum(new) - 1
@@ -402,22 +402,23 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches, "text"):
             distinct, back, starts = tokens_of(texts)
-            p = count = None
+            p = base = seen = None
             for at in trie.walk(distinct, back, starts, order):
                 if at[0] == 1:
                     word = at[3]
                     known = np.flatnonzero(word >= 0)
                     c = np.zeros(len(word), np.int64)
                     c[known] = trie.counts(1, word[known])
-                    count = c[back]
-                    p = (count + 1) / (trie.tokens + trie.words + 1)
+                    base = (np.log10(c + 1) - bottom)[back]
+                    seen = (c > 0)[back]
+                    p = ((c + 1) / (trie.tokens + trie.words + 1))[back]
                 else:
                     _, alpha, weight, _ = at[3]
                     p = alpha + weight * p
             begin = np.flatnonzero(starts)
             total = lambda x: np.add.reduceat(x, begin) if len(begin) else np.zeros(0, x.dtype)
             columns = [
-                total(np.ones(len(starts), np.int64)), total((count > 0).astype(np.int64)), total(np.log10(count + 1) - bottom), total(np.log10(p)),
+                np.diff(begin, append=len(starts)), total(seen.astype(np.int64)), total(base), total(np.log10(p)),
             ]
             yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns)], ["id", "n_tokens", "n_known", "base_score", "score"])
 

@@ -19,6 +19,8 @@ def test_elias_fano(n, universe):
     s = ef.sequence(arrays, "x")
     assert head["a"] == 1 and (s.access(np.arange(len(values))) == values.astype(np.int64)).all()
     assert (s.find(values) == np.arange(len(values))).all()
+    first, second = s.access_two(np.arange(len(values) - 1))
+    assert (first == values[:-1].astype(np.int64)).all() and (second == values[1:].astype(np.int64)).all()
     other = rng.integers(0, universe, 500, dtype=np.uint64)
     where = {int(v): i for i, v in enumerate(values)}
     assert list(s.find(other)) == [where.get(int(x), -1) for x in other]
