@@ -53,22 +53,29 @@ class Template:
             return self.roles[role]
         return self.other[0] + self.escaped(role) + self.other[1], self.other[2], False
 
-    def read_back(self, formatted: str) -> list[tuple[str, str]]:
-        """Role and text of each turn of a formatted conversation."""
+    def pattern(self) -> re.Pattern:
+        """One whole turn."""
         body = f"(?:[^{re.escape(self.guarded)}]|{re.escape(self.escape)}.)*"
         ways = [f"{re.escape(a)}(?P<{r}>{body}){re.escape(b)}" for r, (a, b, _) in self.roles.items()]
         ways.append(f"{re.escape(self.other[0])}(?P<_role>{body}){re.escape(self.other[1])}(?P<_text>{body}){re.escape(self.other[2])}")
-        pattern, at, out = re.compile("|".join(ways), re.DOTALL), len(self.begin), []
+        return re.compile("|".join(ways), re.DOTALL)
+
+    def read_turn(self, pattern: re.Pattern, formatted: str, at: int = 0) -> tuple[str, str, int]:
+        """Role and text of the turn that begins at a place, and where it ends."""
+        m = pattern.match(formatted, at)
+        if m is None:
+            raise ValueError(f"no turn at {at}")
+        if m["_role"] is not None:
+            return self.plain(m["_role"]), self.plain(m["_text"]), m.end()
+        role = next(r for r in self.roles if m[r] is not None)
+        return role, self.plain(m[role]), m.end()
+
+    def read_back(self, formatted: str) -> list[tuple[str, str]]:
+        """Role and text of each turn of a formatted conversation."""
+        pattern, at, out = self.pattern(), len(self.begin), []
         while at < len(formatted):
-            m = pattern.match(formatted, at)
-            if m is None:
-                raise ValueError(f"no turn at {at}")
-            if m["_role"] is not None:
-                out.append((self.plain(m["_role"]), self.plain(m["_text"])))
-            else:
-                role = next(r for r in self.roles if m[r] is not None)
-                out.append((role, self.plain(m[role])))
-            at = m.end()
+            role, text, at = self.read_turn(pattern, formatted, at)
+            out.append((role, text))
         return out
 
 
@@ -122,20 +129,49 @@ def format_chats(turns: DataFrame, template: Template = Template()) -> DataFrame
     )
 
 
+SEGMENTS_PER_TURN = 3
+
+
+class Digest:
+    """What is known of a conversation so far; it is read back one turn at a time."""
+
+    def __init__(self, conv, template: Template, pattern: re.Pattern):
+        self.conv, self.template, self.pattern = conv, template, pattern
+        self.turns, self.whole, self.loss = 0, hashlib.sha256(), hashlib.sha256()
+        self.loss_chars = self.chars = 0
+        self.valid, self.role, self.waiting = True, "", []
+
+    def add(self, number: int, text: str, counts: bool, valid: bool) -> None:
+        self.chars += len(text)
+        self.valid = valid
+        if counts:
+            plain = self.template.plain(text)
+            self.loss.update(plain.encode())
+            self.loss_chars += len(plain)
+        if number == 0:  # what opens a conversation
+            return
+        self.waiting.append(text)
+        if number % SEGMENTS_PER_TURN == 0:
+            piece, self.waiting = "".join(self.waiting), []
+            self.role, said, end = self.template.read_turn(self.pattern, piece)
+            if end < len(piece):
+                raise ValueError(f"more than a turn before {end}")
+            self.whole.update(f"{self.role}\n{said}\n".encode())
+            self.turns += 1
+
+    def row(self) -> tuple:
+        valid = self.valid and self.role in self.template.final
+        return self.conv, self.turns, self.whole.hexdigest(), self.loss_chars, self.loss.hexdigest(), self.chars, valid
+
+
 def digest(segments: DataFrame, template: Template = Template()) -> DataFrame:
-    """Per conversation, read back from its formatted text: turns, loss text, length, validity."""
+    """Per conversation, read back from its formatted text: turns, loss text, length, validity.
 
-    def line(conv, segs) -> tuple:
-        formatted = "".join(s for s, _, _ in segs)
-        turns = template.read_back(formatted)
-        loss = "".join(template.plain(s) for s, counts, _ in segs if counts)
-        whole = "".join(f"{r}\n{t}\n" for r, t in turns)
-        valid = segs[-1][2] and turns[-1][0] in template.final
-        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
-        return conv, len(turns), sha(whole), len(loss), sha(loss), len(formatted), valid
+    `segments` as `format_chats` gives them. Of a conversation only the turn at hand is kept.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, segs = None, []
+        pattern, now = template.pattern(), None
 
         def out(rows: list[tuple]) -> pa.RecordBatch:
             columns = list(zip(*rows)) or [()] * len(schema)
@@ -146,14 +182,14 @@ def digest(segments: DataFrame, template: Template = Template()) -> DataFrame:
             for c, number, text, counts, valid in zip(
                 *(batch.column(k).to_pylist() for k in ("conv_id", "segment", "text", "loss", "valid_so_far"))
             ):
-                if number == 0 and segs:
-                    rows.append(line(conv, segs))
-                    segs = []
-                conv = c
-                segs.append((text, counts, valid))
+                if number == 0:
+                    if now:
+                        rows.append(now.row())
+                    now = Digest(c, template, pattern)
+                now.add(number, text, counts, valid)
             yield out(rows)
-        if segs:
-            yield out([line(conv, segs)])
+        if now:
+            yield out([now.row()])
 
     kind = segments.schema["conv_id"].dataType
     from pyspark.sql.pandas.types import to_arrow_type
