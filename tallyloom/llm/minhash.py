@@ -30,7 +30,7 @@ ROWS_PER_BAND = 6
 BANDS = 56
 # A sketch of this many bins is off by more than this much once in several 100,000 pairs.
 SLACK = 0.16
-BLOCK = 256
+BLOCK = 512
 _U = np.uint64
 
 
