@@ -26,7 +26,7 @@ MAX_CHUNK_BYTES = 4096
 ENCODE_AT_ONCE = 10_000
 # Bytes of text looked at together, and in a cache of chunks; numbers gathered together.
 GROUP_BYTES = 4_000_000
-CHUNKED_BYTES = 12_000_000
+CHUNKED_BYTES = 5_000_000
 GATHERED_AT_ONCE = 1_000_000
 
 
