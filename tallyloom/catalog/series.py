@@ -127,15 +127,15 @@ REPORT_INPUTS = [
     ("forms", True, "measure_improved_forms", "site || ' Forms'", "'PRO BOS'", "month", "'EUROPE'", "'Practice'"),
     ("intake", True, "measure_event_count", "site", "'Initial Intake'", "month", "'ASIA'", "'Practice'"),
     ("episodes", True, "measure_improved", "site", "'PRO BOS'", _M0, "'ASIA'", "'Practice'"),
-    ("log", True, "measure_improved_log", "'Session Log'", "'PSYCH BOS'", _M0, "'ASIA'", "'Practice'"),
+    ("log", True, "measure_improved_log", "'Session Log'", "'Session Score'", _M0, "'ASIA'", "'Practice'"),
     ("first", True, "measure_after_first", "'Clinic ' || site", "'Crisis Stabilization'", _M0, "'ASIA'", "'Practice'"),
     ("old_sites", False, "agg_ratio", "'Old ' || site", "'Crisis Stabilization'", "month", "'AFRICA'", "'Practice'"),
-    ("old_ibh", False, "agg_ratio_join", "'Old IBH ' || site", "'Initial Intake'", "month", "'AMERICA'", "'Practice'"),
-    ("old_pinq", False, "placeholder_row", "'Old ' || site", "'Initial Intake'", "month", "'ASIA'", "'Practice'"),
+    ("old_partners", False, "agg_ratio_join", "'Old Partner ' || site", "'Initial Intake'", "month", "'AMERICA'", "'Practice'"),
+    ("old_intake", False, "placeholder_row", "'Old ' || site", "'Initial Intake'", "month", "'ASIA'", "'Practice'"),
     ("use", True, "measure_utilisation WHERE aggregation = 'Practice'", "site", "measure", "month", "'ASIA'", "aggregation"),
     ("use_net", True, "measure_utilisation WHERE aggregation = 'Network'", "site", "measure", "month", "'ASIA'", "aggregation"),
-    ("ibh", True, "rate_site_network WHERE aggregation = 'Practice'", "site || ' IBH'", "'ED Visits (Discharged)'", "month", "'IBH'", "aggregation"),
-    ("ibh_net", True, "rate_site_network WHERE aggregation = 'Network'", "'IBH Network'", "'ED Visits (Discharged)'", "month", "'IBH'", "aggregation"),
+    ("partners", True, "rate_site_network WHERE aggregation = 'Practice'", "site || ' Partner'", "'ED Visits (Discharged)'", "month", "'PARTNERS'", "aggregation"),
+    ("partner_net", True, "rate_site_network WHERE aggregation = 'Network'", "'Partner Network'", "'ED Visits (Discharged)'", "month", "'PARTNERS'", "aggregation"),
 ]
 # Deliveries that arrive together and don't replace each other.
 TOGETHER = {"intake", "episodes", "log", "first"}

@@ -110,7 +110,7 @@ def test_shared_frames_are_stored_in_the_shared_folder(spark, frame):
 
 
 def test_published_file_is_replaced_whole(spark, frame, tmp_path):
-    path = tmp_path / "for report.csv"
+    path = tmp_path / "report.csv"
     df = frame("k int, t string, d date", (2, "b", None), (3, None, "2024-01-01"), (1, "a,x", "2024-02-01"))
     publish.publish_csv(df.repartition(3), str(path), ["k"])
     assert path.read_text().splitlines() == ["k,t,d", '1,"a,x",2024-02-01', "2,b,NA", "3,NA,2024-01-01"]
@@ -122,7 +122,7 @@ def test_published_file_is_replaced_whole(spark, frame, tmp_path):
     assert path.read_text().splitlines() == ["k,t,d", "2,b,NA"]
     publish.publish_csv(df.filter("k = 9"), str(path), ["k"])
     assert path.read_text().splitlines() in (["k,t,d"], [])
-    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["for report.csv"]
+    assert [p.name for p in tmp_path.iterdir() if not p.name.endswith(".crc")] == ["report.csv"]
 
 
 def test_months_are_replaced_alone(spark, frame, tmp_path):
