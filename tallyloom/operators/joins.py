@@ -40,14 +40,16 @@ def null_split_join(
 ) -> DataFrame:
     """The same join where many left rows miss all keys and would meet in one task.
 
-    Those rows are dealt over ``salts`` places, and the right rows that miss all keys are there in each
-    of them; all other rows join as they are. So it takes a right side with few such rows, like
-    distinct keys or a dimension with one row for the unknown.
+    Those rows are dealt over ``salts`` places by a hash of their other columns, and the right rows that miss
+    all keys are there in each of them; all other rows join as they are. So it takes a right side
+    with few such rows, like distinct keys or a dimension with one row for the unknown.
     """
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError(f"the right side of a {how} join can't be repeated")
     none = reduce(lambda a, b: a & b, [F.col(k).isNull() for k in keys])
-    place = F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int")
+    # a place that follows from the row lets filters pass through to the scan; maps have no hash
+    known = [f.name for f in left.schema if f.name not in keys and "map<" not in f.dataType.simpleString()]
+    place = F.pmod(F.xxhash64(*known), F.lit(salts)).cast("int") if known else F.lit(0)
     dealt = left.withColumn("__salt", F.when(none, place).otherwise(F.lit(0)))
     every = F.when(none, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     spread = right.withColumn("__salt", F.explode(every))

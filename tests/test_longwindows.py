@@ -77,3 +77,12 @@ def test_missing_keys_join_as_before(spark, how, with_none):
     assert got.columns == want.columns and sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
     with pytest.raises(ValueError):
         joins.null_split_join(left, right, ["a"], "right")
+
+
+def test_missing_keys_of_odd_frames(spark):
+    left = spark.createDataFrame([(None, {"x": 1}), (1, None), (None, None)], "a int, m map<string,int>")
+    right = spark.createDataFrame([(None,), (2,)], "a int")
+    assert joins.null_split_join(left, right, ["a"], "left_semi").count() == 2
+    assert joins.null_split_join(left.select("a"), right, ["a"], "left_anti").collect() == [(1,)]
+    plan = joins.anti(left.select("a", F.lit("v").alias("b")), right, ["a"]).filter("a > 0")._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically" not in plan
