@@ -114,16 +114,15 @@ class EliasFano:
         if not self.n:
             return out
         todo = np.flatnonzero(a < b)
-        a, b = a[todo], b[todo]  # binary search among equal high parts
+        a, b, want = a[todo], b[todo], low[todo]  # binary search among equal high parts
         while len(todo):
             mid = (a + b) >> 1
             got = self._low(mid)
-            hit = got == low[todo]
+            hit, up = got == want, got < want
             out[todo[hit]] = mid[hit]
-            up = got < low[todo]
             a, b = np.where(up, mid + 1, a), np.where(up, b, mid)
-            on = ~hit & (a < b)
-            todo, a, b = todo[on], a[on], b[on]
+            on = np.flatnonzero(~hit & (a < b))
+            todo, a, b, want = todo[on], a[on], b[on], want[on]
         return out
 
 

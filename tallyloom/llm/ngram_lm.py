@@ -21,20 +21,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.llm import elias_fano as ef
 from tallyloom.llm.registry import query, table
-from tallyloom.llm.wordcache import as_strings, text_groups
+from tallyloom.llm.shingles import mix
+from tallyloom.llm.wordcache import forget, shared, text_groups
 from tallyloom.session import materialise, scratch_path
 
 ORDER = 3
 DISCOUNT = 0.75
 KEYS_AT_ONCE = 3_000_000
 END = np.uint64(0x656E64206F662074)  # the end token, which is no word's hash
+# Bytes whose words are hashed together; longer words are hashed one by one.
+HASHED_AT_ONCE = 1 << 18
+LONG_WORD = 64
+_SPACE = np.zeros(256, bool)
+_SPACE[list(b" \t\n\v\f\r")] = True
 
 
 def to_code(p: np.ndarray) -> tuple[np.ndarray, float]:
@@ -207,12 +212,13 @@ class Trie:
                 out[known] = found[back]
         return ids, alpha, weight, begin
 
-    def walk(self, distinct: np.ndarray, back: np.ndarray, starts: np.ndarray, levels: int, probabilities: bool = True):
+    def walk(self, hashes: np.ndarray, starts: np.ndarray, levels: int, probabilities: bool = True):
         """Per level k the ids of the k-grams that end at each token, -1 if unknown or cut off.
 
         Also the contexts and successors looked for, and what was found of probabilities.
-        The tokens' hashes are `distinct[back]`; `starts` marks the first token of each text.
+        `starts` marks the first token of each text.
         """
+        distinct, back = np.unique(hashes, return_inverse=True)
         word = self.word_ids(distinct)
         ids = word[back]
         yield 1, distinct, back, word, ids
@@ -234,28 +240,54 @@ class Trie:
 # -- building --------------------------------------------------------------------------------
 
 
-def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The different hashes of all tokens, sorted, the number of each token's among them, and the marks of first tokens.
+class _Powers:
+    """Powers of an odd number and of its inverse modulo 2^64, as many as a block has bytes."""
 
-    Words are as in `shingles`, and every text has its end token.
+    base = 0x9E3779B97F4A7C15
+
+    def __init__(self, n: int):
+        inverse = pow(self.base, -1, 1 << 64)
+        self.up, self.down = (np.cumprod(np.append(np.uint64(1), np.full(n - 1, x, np.uint64))) for x in (self.base, inverse))
+
+
+def word_keys(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit keys of the words in bytes that end with white space, and where each begins.
+
+    A word's key is a polynomial in its bytes, the difference of two running sums moved to the word's
+    start, then mixed; so all words of a block are hashed at once. Of words that are longer than
+    natural ones the bytes are hashed one by one.
     """
-    lists = pc.ascii_split_whitespace(as_strings([t.lower() for t in texts]))
-    numbered = lists.flatten().dictionary_encode()
-    known = numbered.dictionary.cast(pa.binary()).to_pylist()
-    hashes = np.fromiter((xxhash.xxh64_intdigest(w) for w in known), np.uint64, len(known))
-    distinct, rank = np.unique(np.append(hashes, END), return_inverse=True)
-    which = np.asarray(numbered.indices)
-    words = np.asarray(lists.offsets).astype(np.int64)
-    words -= words[0]
-    if b"" in known:  # a text that begins or ends with white space has an empty word there
-        real = which != known.index(b"")
-        words, which = np.append(0, np.cumsum(real))[words], which[real]
-    is_word = np.ones(int(words[-1]) + len(texts), bool)
-    is_word[words[1:] + np.arange(len(texts))] = False
-    back = np.full(len(is_word), rank[-1], np.int64)
-    back[is_word] = rank[which]
-    starts = np.append(True, ~is_word[:-1])[: len(is_word)]
-    return distinct, back, starts
+    space, keys, places, at = _SPACE[data], [], [], 0
+    while at < len(data):
+        end = min(at + HASHED_AT_ONCE, len(data))
+        if end < len(data):  # cut behind a white space; a word longer than a block makes a block of its own
+            gaps = np.flatnonzero(space[at:end])
+            end = at + int(gaps[-1]) + 1 if len(gaps) else end + int(np.argmax(space[end:])) + 1
+        part, gap = data[at:end], space[at:end]
+        powers = shared(("powers",), lambda: _Powers(HASHED_AT_ONCE)) if end - at <= HASHED_AT_ONCE else _Powers(end - at)
+        before = np.append(True, gap[:-1])
+        first, last = np.flatnonzero(~gap & before), np.flatnonzero(gap & ~before)
+        sums = np.append(np.uint64(0), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers.up[: len(part)]))
+        size = (last - first).astype(np.uint64)
+        key = mix((sums[last] - sums[first]) * powers.down[first] ^ size * np.uint64(0xD6E8FEB86659FD93))
+        for i in np.flatnonzero(last - first > LONG_WORD).tolist():
+            key[i] = xxhash.xxh64_intdigest(part[first[i] : last[i]].tobytes())
+        keys.append(key)
+        places.append(first + at)
+        at = end
+    return np.concatenate(keys or [np.zeros(0, np.uint64)]), np.concatenate(places or [np.zeros(0, np.int64)])
+
+
+def tokens_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all texts' tokens, each text with its end token, and the marks of first tokens."""
+    lowered = [t.lower() for t in texts]
+    keys, places = word_keys(np.frombuffer(b"".join([t + b"\n" for t in lowered]), np.uint8))
+    words = np.searchsorted(places, np.cumsum([len(t) + 1 for t in lowered]))  # up to the end of each text
+    is_word = np.ones(len(keys) + len(texts), bool)
+    is_word[words + np.arange(len(texts))] = False
+    hashes = np.full(len(is_word), END, np.uint64)
+    hashes[is_word] = keys
+    return hashes, np.append(True, ~is_word[:-1])[: len(is_word)]
 
 
 def _squeeze(keys: np.ndarray) -> bytes:
@@ -324,7 +356,7 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
 
     def level_1(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         width = (1 << 64) // shards + 1
-        return _count((t for _, t in text_groups(batches, "text")), lambda h, back, _: h[back], lambda k: (k // np.uint64(width)).astype(np.int64))
+        return _count((t for _, t in text_groups(batches, "text")), lambda h, _: h, lambda k: (k // np.uint64(width)).astype(np.int64))
 
     def write_1(t: pa.Table) -> pa.Table:
         keys, n = _merged(t)
@@ -350,8 +382,8 @@ def build(docs: DataFrame, order: int = ORDER, discount: float = DISCOUNT, text_
         last_level = level == order
 
         def counter(batches: Iterator[pa.RecordBatch], level=level, per=per, span=span) -> Iterator[pa.RecordBatch]:
-            def keys_of(distinct: np.ndarray, back: np.ndarray, starts: np.ndarray) -> np.ndarray:
-                for at in trie.walk(distinct, back, starts, level, False):
+            def keys_of(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+                for at in trie.walk(hashes, starts, level, False):
                     if at[0] == level:
                         contexts, successors = at[1], at[2]
                 ok = (contexts >= 0) & (successors >= 0)
@@ -401,11 +433,11 @@ def score(docs: DataFrame, trie: Trie, id_col: str = "doc_id", text_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in text_groups(batches, "text"):
-            distinct, back, starts = tokens_of(texts)
+            hashes, starts = tokens_of(texts)
             p = base = seen = None
-            for at in trie.walk(distinct, back, starts, order):
+            for at in trie.walk(hashes, starts, order):
                 if at[0] == 1:
-                    word = at[3]
+                    _, _, back, word, _ = at
                     known = np.flatnonzero(word >= 0)
                     c = np.zeros(len(word), np.int64)
                     c[known] = trie.counts(1, word[known])

@@ -74,13 +74,24 @@ def test_codes():
         assert np.allclose(lm.of_code(lowest)[codes], odd)
 
 
-def test_tokens():
-    texts = [b"", b" a  B\tc", b"a", b"  ", b"C a ", "é É".encode()]
-    distinct, back, starts = lm.tokens_of(texts)
-    want = [x for t in texts for x in [*(lm.xxhash.xxh64_intdigest(w) for w in t.lower().split()), int(lm.END)]]
-    assert distinct[back].tolist() == want and (np.diff(distinct.astype(float)) > 0).all()
-    assert np.flatnonzero(starts).tolist() == [0, 1, 5, 7, 8, 11]
-    assert all(len(x) == n for x, n in zip(lm.tokens_of([]), (1, 0, 0)))
+@pytest.mark.parametrize("block", [16, 64, 1 << 18])
+def test_tokens(monkeypatch, block):
+    """Equal words have equal keys wherever they stand, different ones different keys."""
+    monkeypatch.setattr(lm, "HASHED_AT_ONCE", block)
+    lm.forget()
+    rng = np.random.default_rng(block)
+    letters = [b"a", b"b", b"\x00", "é".encode(), b"Z", b"\x1c"]
+    words = [b"".join(rng.choice(letters, int(n))) for n in rng.integers(1, 12, 400)] + [b"x" * 63, b"x" * 64, b"x" * 65, b"y" * 300]
+    gaps = [b" ", b"\t", b"\n ", b"\r\n", b"  "]
+    texts = [b"".join(rng.choice(words) + rng.choice(gaps) for _ in range(int(n))) for n in rng.integers(0, 40, 60)] + [b"", b" a  B\tc", b"a", b"  "]
+    hashes, starts = lm.tokens_of(texts)
+    want = [w for t in texts for w in [*t.lower().split(), None]]
+    key = dict(zip(want, hashes.tolist()))
+    assert [key[w] for w in want] == hashes.tolist() and len(set(key.values())) == len(key) and key[None] == int(lm.END)
+    first = np.cumsum([0] + [len(t.split()) + 1 for t in texts])[:-1]
+    assert np.flatnonzero(starts).tolist() == first.tolist()
+    assert all(len(x) == 0 for x in lm.tokens_of([]))
+    lm.forget()
 
 
 def test_limits(spark):
