@@ -51,10 +51,22 @@ def scratch_dir(spark: SparkSession) -> str:
     """Folder all executors can reach: the one the cluster names in spark.checkpoint.dir.
 
     Where nothing is named, a folder of the warehouse, which driver and executors share as
-    well; the rule is the same in every mode.
+    well. On a cluster a warehouse on the machine's own disk is no such folder, and is refused.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    if named:
+        return named
+    folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_scratch"
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    scheme = path.getFileSystem(spark._jsc.hadoopConfiguration()).getScheme()
+    check_shared(spark.sparkContext.master, scheme)
+    return folder
+
+
+def check_shared(master: str, scheme: str) -> None:
+    """Executors of a cluster can't see a folder on the driver's disk."""
+    if scheme == "file" and master.partition("[")[0] != "local":
+        raise ValueError("name a folder that all executors share in spark.checkpoint.dir")
 
 
 _stored: list[str] = []

@@ -171,3 +171,13 @@ def test_files_of_a_folder(spark, tmp_path):
     assert sorted(r.line for r in got.filter("bad IS NOT NULL").collect()) == ["2,,2020-13-01", "6,2020-03-01", "7,2020-03-02,9,9,9", "x,2020-01-01,7,1"]
     none = folders.read_files(spark, [], schema)
     assert none.count() == 0 and none.columns == got.columns
+
+
+def test_own_disk_is_no_shared_folder():
+    from tallyloom.session import check_shared
+
+    for master, scheme in (("local", "file"), ("local[8]", "file"), ("yarn", "hdfs"), ("spark://x:7077", "s3a")):
+        check_shared(master, scheme)
+    for master in ("yarn", "spark://x:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError):
+            check_shared(master, "file")
