@@ -772,14 +772,14 @@ def utilisation_sources(spark, d, pop):
     lines = claim_lines(spark, d).withColumnRenamed("l_orderkey", "encounter")
     mapped = reconcile.claim_class(lines, ["encounter"], "code", F.col("is_admission")).select("encounter", "measure")
     unmapped = reconcile.claim_class(lines, ["encounter"], "code", classes=reconcile.UNMAPPED_REVENUE_CLASS).select("encounter", "measure")
-    claims = young.drop("month", "age", "site", "code_list").join(unmapped, "encounter")
+    claims = young.join(unmapped, "encounter")
     priorities = spark.createDataFrame([("1-URGENT",), ("2-HIGH",), ("3-MEDIUM",)], "code string")
     free = reconcile.unmatched_in_population(
         claims, young.filter(key % 3 > 0).select("encounter"), ["encounter"],
         young.filter((key % 3 > 0) & (key % 4 == 0)), ["subject", "day", "end_date", "code"],
-        pop, priorities, "subject", "code", "day", "end_date", "birth", ["month", "subject", "code"], [F.col("day"), key],
+        young.select("subject", "month"), priorities, "subject", "code", "day", "end_date", "birth",
+        ["month", "subject", "code"], [F.col("day"), key],
     )
-    free = utilisation.with_codes(utilisation.in_population(free.drop("month", "birth"), pop), value_set, "dx", "p_brand")
     skey = utilisation.encounter_key(key)
     return [
         utilisation.shaped(seen.filter(key % 5 >= 2), skey, F.lit(1)),
@@ -795,7 +795,9 @@ FROM dd CROSS JOIN both_m LEFT JOIN nn ON nn.month = dd.month AND nn.measure = b
 def measure_utilisation(spark, d):
     pop = young_population(spark, d)
     sources = utilisation_sources(spark, d, pop)
-    return utilisation.utilisation_rates(pop, F.last_day("month"), sources, NETWORK_SITES, "Main Network")
+    return utilisation.utilisation_rates(
+        pop, F.last_day("month"), sources, NETWORK_SITES, "Main Network", dense_members=True
+    )
 
 
 @query("utilisation_sources", f"""

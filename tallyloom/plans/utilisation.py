@@ -45,16 +45,17 @@ def encounter_key(encounter: Column) -> Column:
 
 def utilisation_rates(
     population: DataFrame, as_of_age: Column, sources: Sequence[DataFrame], network_sites: Sequence[str], network: str,
-    max_age: int = 18, zero_fill: bool = True, recount: bool = True,
+    max_age: int = 18, zero_fill: bool = True, recount: bool = True, dense_members: bool = False,
 ) -> DataFrame:
     """Merged sources over the population, per measure, month and site or network.
 
     Denominator: members below the age at the day ``as_of_age`` gives for a month. Of the
-    rows for one subject, day and code list the lowest source number counts.
+    rows for one subject, day and code list the lowest source number counts. ``dense_members`` as in
+    ``measures.site_and_network_rates``.
     """
     young = population.filter(dates.age_at(F.col("birth"), as_of_age) < max_age)
     merged = reconcile.merge_priority(sources, MERGE_KEY, "source", [F.col("skey")])
     return measures.site_and_network_rates(
         young, merged, "subject", "skey", network_sites, network, zero_fill, recount,
-        measure_names=(reconcile.INPATIENT, reconcile.ED),
+        measure_names=(reconcile.INPATIENT, reconcile.ED), dense_members=dense_members,
     )
